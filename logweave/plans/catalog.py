@@ -39,3 +39,81 @@ def kpi_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("sales_tumbling_30s")
 def sales_tumbling_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_sales(fx.transactions(spark, sf_dir), window_s=30)
+
+
+# ------------------------------------------------------ transforms / rolling
+from logweave.functions import transforms  # noqa: E402
+from logweave.operators import eventsourcing as es  # noqa: E402
+from logweave.operators import rolling  # noqa: E402
+
+
+@register("high_value_tier")
+def high_value_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transforms.high_value(fx.transactions(spark, sf_dir), stamp_col=None)
+
+
+@register("rolling_snapshot")
+def rolling_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.rolling_snapshot(fx.analytics_events(spark, sf_dir), window_s=60)
+
+
+@register("rolling_snapshot_1d")
+def rolling_snapshot_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.rolling_snapshot(fx.analytics_events(spark, sf_dir), window_s=86400)
+
+
+@register("rolling_series")
+def rolling_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.rolling_series(fx.analytics_events(spark, sf_dir), window_s=60)
+
+
+@register("rolling_series_1h")
+def rolling_series_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.rolling_series(fx.analytics_events(spark, sf_dir), window_s=3600)
+
+
+@register("top_products")
+def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.top_products(fx.analytics_events(spark, sf_dir), k=5, window_s=60)
+
+
+@register("top_products_1d")
+def top_products_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rolling.top_products(fx.analytics_events(spark, sf_dir), k=5, window_s=86400)
+
+
+# ------------------------------------------------------------ event sourcing
+# Fixed parameters of the replay queries (epoch seconds, aggregate id).
+REPLAY_SINCE = 883612800    # 1998-01-01T00:00:00Z
+REPLAY_UNTIL = 852076800    # 1997-01-01T00:00:00Z
+ONE_ORDER = 8
+
+
+@register("fold_all")
+def fold_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return es.fold_states(fx.order_log(spark, sf_dir))
+
+
+@register("fold_one")
+def fold_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return es.rebuild_state(fx.order_log(spark, sf_dir), ONE_ORDER)
+
+
+@register("event_history")
+def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return es.event_history(fx.order_log(spark, sf_dir), ONE_ORDER)
+
+
+@register("replay_since")
+def replay_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return es.fold_states(es.since(fx.order_log(spark, sf_dir), REPLAY_SINCE))
+
+
+@register("replay_until")
+def replay_until(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return es.fold_states(es.until(fx.order_log(spark, sf_dir), REPLAY_UNTIL))
+
+
+@register("whatif_drop_payments")
+def whatif_drop_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return es.whatif_diff(fx.order_log(spark, sf_dir), "drop-payments")

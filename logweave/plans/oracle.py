@@ -213,3 +213,154 @@ FROM (
          CAST(COALESCE(SUM(CAST(amount AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_amount
   FROM transactions WHERE event_epoch IS NOT NULL GROUP BY 1
 ) t ORDER BY window_start""", "transactions")
+
+ORACLE["high_value_tier"] = with_views("""
+SELECT txn_id, amount, event_epoch,
+       CASE WHEN amount > 100000 THEN 'platinum' WHEN amount > 50000 THEN 'gold'
+            ELSE 'silver' END AS tier
+FROM transactions WHERE COALESCE(amount, 0) > 10000""", "transactions")
+
+
+def _snapshot(window_s: int) -> str:
+    return with_views(f"""
+SELECT page_views, add_to_carts, purchases, gmv,
+       CASE WHEN page_views > 0 THEN purchases / page_views ELSE 0.0 END AS cvr,
+       window_count / CAST({window_s} AS DOUBLE) AS eps, window_count, total
+FROM (
+  SELECT count(*) FILTER (WHERE inw AND type = 'page_view') AS page_views,
+         count(*) FILTER (WHERE inw AND type = 'add_to_cart') AS add_to_carts,
+         count(*) FILTER (WHERE inw AND type = 'purchase') AS purchases,
+         CAST(COALESCE(SUM(CASE WHEN inw AND type = 'purchase'
+                                THEN CAST(amount AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS gmv,
+         count(*) FILTER (WHERE inw) AS window_count, count(*) AS total
+  FROM (SELECT *, event_epoch >= (SELECT max(event_epoch) FROM analytics_events) - {window_s}
+                  AS inw FROM analytics_events) a
+) t""", "analytics_events")
+
+
+ORACLE["rolling_snapshot"] = _snapshot(60)
+ORACLE["rolling_snapshot_1d"] = _snapshot(86400)
+
+
+def _series(window_s: int) -> str:
+    return with_views(f"""
+SELECT event_id, event_epoch,
+       count(*) FILTER (WHERE type = 'page_view') OVER w AS page_views,
+       count(*) FILTER (WHERE type = 'add_to_cart') OVER w AS add_to_carts,
+       count(*) FILTER (WHERE type = 'purchase') OVER w AS purchases,
+       CAST(COALESCE(SUM(CASE WHEN type = 'purchase' THEN CAST(amount AS DECIMAL(18,2)) END)
+                     OVER w, 0) AS DOUBLE) AS gmv,
+       count(*) OVER w AS window_count
+FROM analytics_events WHERE event_epoch IS NOT NULL
+WINDOW w AS (ORDER BY event_epoch RANGE BETWEEN {window_s} PRECEDING AND CURRENT ROW)""",
+                      "analytics_events")
+
+
+ORACLE["rolling_series"] = _series(60)
+ORACLE["rolling_series_1h"] = _series(3600)
+
+
+def _top(window_s: int) -> str:
+    return with_views(f"""
+SELECT row_number() OVER (ORDER BY purchases DESC, first ASC, product ASC) AS rank,
+       product, purchases
+FROM (
+  SELECT product, count(*) AS purchases, min((event_epoch, event_id)) AS first
+  FROM analytics_events
+  WHERE type = 'purchase'
+    AND event_epoch >= (SELECT max(event_epoch) FROM analytics_events) - {window_s}
+  GROUP BY product
+  ORDER BY purchases DESC, first ASC, product ASC LIMIT 5
+) t""", "analytics_events")
+
+
+ORACLE["top_products"] = _top(60)
+ORACLE["top_products_1d"] = _top(86400)
+
+# --------------------------------------------------------- event sourcing
+_FOLD_STEPS = """
+steps AS (
+  SELECT *,
+         COALESCE(SUM(CASE WHEN event_type = 'PaymentReceived'
+                           THEN CAST(amount AS DECIMAL(18,2)) END) OVER w, 0) AS run_paid,
+         last_value(CASE WHEN event_type = 'OrderCreated' THEN CAST(amount AS DECIMAL(18,2)) END
+                    IGNORE NULLS) OVER w AS known
+  FROM ev
+  WINDOW w AS (PARTITION BY aggregate_id ORDER BY seq
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+cand AS (
+  SELECT *, CASE WHEN event_type = 'OrderCreated' THEN 'CREATED'
+                 WHEN event_type = 'PaymentReceived' AND run_paid >= COALESCE(known, 0) THEN 'PAID'
+                 WHEN event_type = 'OrderShipped' THEN 'SHIPPED'
+                 WHEN event_type = 'OrderCancelled' THEN 'CANCELLED' END AS cand
+  FROM steps
+)"""
+
+
+def _fold(where: str = "TRUE", extra_filter: str = "TRUE") -> str:
+    return with_views(f"""
+, ev AS (SELECT * FROM order_log WHERE {where} AND {extra_filter}),
+{_FOLD_STEPS}
+SELECT aggregate_id AS order_id,
+       COALESCE(arg_max(cand, seq) FILTER (WHERE cand IS NOT NULL), 'UNKNOWN') AS status,
+       CAST(COALESCE(SUM(CASE WHEN event_type = 'PaymentReceived'
+                              THEN CAST(amount AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS paid,
+       arg_max(amount, seq) FILTER (WHERE event_type = 'OrderCreated') AS amount
+FROM cand GROUP BY aggregate_id""", "order_log").replace("\n, ev AS", ",\nev AS", 1)
+
+
+ORACLE["fold_all"] = _fold()
+ORACLE["replay_since"] = _fold("event_epoch >= 883612800")
+ORACLE["replay_until"] = _fold("event_epoch <= 852076800")
+
+ORACLE["fold_one"] = with_views("""
+, ev AS (SELECT * FROM order_log WHERE aggregate_id = 8),
+""" + _FOLD_STEPS + """
+SELECT CAST(8 AS BIGINT) AS order_id,
+       COALESCE((SELECT arg_max(cand, seq) FILTER (WHERE cand IS NOT NULL) FROM cand), 'UNKNOWN')
+         AS status,
+       (SELECT CAST(COALESCE(SUM(CASE WHEN event_type = 'PaymentReceived'
+                                      THEN CAST(amount AS DECIMAL(18,2)) END), 0) AS DOUBLE)
+        FROM ev) AS paid,
+       (SELECT arg_max(amount, seq) FILTER (WHERE event_type = 'OrderCreated') FROM ev) AS amount,
+       (SELECT arg_max(customer, seq) FILTER (WHERE event_type = 'OrderCreated') FROM ev)
+         AS customer,
+       (SELECT arg_max(carrier, seq) FILTER (WHERE event_type = 'OrderShipped') FROM ev)
+         AS carrier,
+       (SELECT arg_max(tracking, seq) FILTER (WHERE event_type = 'OrderShipped') FROM ev)
+         AS tracking,
+       (SELECT arg_max(reason, seq) FILTER (WHERE event_type = 'OrderCancelled') FROM ev)
+         AS reason""", "order_log").replace("\n, ev AS", ",\nev AS", 1)
+
+ORACLE["event_history"] = with_views("""
+, ev AS (SELECT * FROM order_log WHERE aggregate_id = 8),
+""" + _FOLD_STEPS + """
+SELECT aggregate_id AS order_id, seq, event_type, amount, CAST(run_paid AS DOUBLE) AS paid,
+       COALESCE(last_value(cand IGNORE NULLS) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING
+                                                    AND CURRENT ROW), 'UNKNOWN') AS status
+FROM cand ORDER BY seq""", "order_log").replace("\n, ev AS", ",\nev AS", 1)
+
+ORACLE["whatif_drop_payments"] = with_views(f"""
+, ev AS (SELECT * FROM order_log),
+{_FOLD_STEPS},
+actual AS (
+  SELECT aggregate_id AS order_id,
+         COALESCE(arg_max(cand, seq) FILTER (WHERE cand IS NOT NULL), 'UNKNOWN') AS status
+  FROM cand GROUP BY aggregate_id
+),
+hypo AS (
+  SELECT aggregate_id AS order_id,
+         COALESCE(arg_max(CASE event_type WHEN 'OrderCreated' THEN 'CREATED'
+                               WHEN 'OrderShipped' THEN 'SHIPPED'
+                               WHEN 'OrderCancelled' THEN 'CANCELLED' END, seq)
+                  FILTER (WHERE event_type IN ('OrderCreated', 'OrderShipped', 'OrderCancelled')),
+                  'UNKNOWN') AS status,
+         0.0::DOUBLE AS paid,
+         arg_max(amount, seq) FILTER (WHERE event_type = 'OrderCreated') AS amount
+  FROM order_log WHERE event_type <> 'PaymentReceived' GROUP BY aggregate_id
+)
+SELECT h.order_id, h.status, h.paid, h.amount, a.status AS actual_status,
+       h.status IS DISTINCT FROM a.status AS changed
+FROM hypo h LEFT JOIN actual a ON a.order_id = h.order_id""", "order_log").replace(
+    "\n, ev AS", ",\nev AS", 1)
