@@ -117,3 +117,114 @@ def replay_until(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("whatif_drop_payments")
 def whatif_drop_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return es.whatif_diff(fx.order_log(spark, sf_dir), "drop-payments")
+
+
+# ----------------------------------------------------------------------- CDC
+from pyspark.sql import functions as F  # noqa: E402
+
+from logweave.functions.serde import headers_to_map  # noqa: E402
+from logweave.operators import cdc, dlq  # noqa: E402
+from logweave.operators import exactly_once as eo  # noqa: E402
+
+
+@register("cdc_apply")
+def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.apply_changes(fx.cdc_log(spark, sf_dir), order_col="off")
+
+
+@register("cdc_count")
+def cdc_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.replica_count(cdc.apply_changes(fx.cdc_log(spark, sf_dir), order_col="off"))
+
+
+@register("cdc_diff")
+def cdc_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = cdc.snapshot_diff(fx.snapshot_old(spark, sf_dir), fx.snapshot_new(spark, sf_dir),
+                          table=None)
+    return d.select("op", F.coalesce("before.id", "after.id").alias("id"),
+                    *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("before", "after")
+                      for c in ("customer", "status", "amount")])
+
+
+@register("cdc_status_change")
+def cdc_status_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = cdc.status_changes(fx.cdc_log(spark, sf_dir), "NEW", "SHIPPED")
+    return d.select("off", F.col("after.id").alias("id"), F.col("after.amount").alias("amount"))
+
+
+# ----------------------------------------------------------------------- DLQ
+MAIN_TOPIC = "dlq.orders.v1"
+
+
+def _dead(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dlq.dead_letters(dlq.classify(fx.raw_orders(spark, sf_dir)), MAIN_TOPIC)
+
+
+@register("dlq_classify")
+def dlq_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dlq.classify(fx.raw_orders(spark, sf_dir)).select("off", "key", "error")
+
+
+@register("dlq_route")
+def dlq_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = headers_to_map("headers")
+    return _dead(spark, sf_dir).select(
+        "key", F.col("value").cast("string").alias("value"), h["error"].alias("error"),
+        h["source_topic"].alias("source_topic"), h["source_offset"].alias("source_offset"),
+        h["source_partition"].alias("source_partition"))
+
+
+@register("dlq_recover")
+def dlq_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = dlq.recover(_dead(spark, sf_dir))
+    return r.select("key", F.col("value").cast("string").alias("value"), "order_id",
+                    "customer", "amount")
+
+
+@register("dlq_poison")
+def dlq_poison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = dlq.poison(_dead(spark, sf_dir))
+    return p.select("key", F.col("value").cast("string").alias("value"), "error")
+
+
+@register("dlq_counters")
+def dlq_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dlq.outcome_counts(fx.raw_orders(spark, sf_dir))
+
+
+@register("dlq_reprocess")
+def dlq_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    main = fx.raw_orders(spark, sf_dir)
+    recovered = dlq.recover(_dead(spark, sf_dir))
+    return dlq.reprocess(main, recovered)
+
+
+# -------------------------------------------------------------- exactly once
+LEDGER_CUTOFF = 852076800   # ship dates before 1997-01-01 were processed earlier
+
+
+def _committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return eo.read_committed(fx.transfers_staged(spark, sf_dir), fx.txn_markers(spark, sf_dir))
+
+
+@register("read_committed")
+def read_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _committed(spark, sf_dir).select("txn_id", "transfer_id", "seq", "amount", "off")
+
+
+@register("dedup_first")
+def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return eo.first_occurrence(_committed(spark, sf_dir), "transfer_id", "off")
+
+
+@register("dedup_counters")
+def dedup_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return eo.dedup_counters(_committed(spark, sf_dir), "transfer_id")
+
+
+@register("ledger_new")
+def ledger_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    committed = _committed(spark, sf_dir)
+    ledger = eo.first_occurrence(committed.filter(F.col("ship_epoch") < LEDGER_CUTOFF),
+                                 "transfer_id", "off")
+    return eo.apply_once(committed, ledger, "transfer_id", "off")

@@ -364,3 +364,133 @@ SELECT h.order_id, h.status, h.paid, h.amount, a.status AS actual_status,
        h.status IS DISTINCT FROM a.status AS changed
 FROM hypo h LEFT JOIN actual a ON a.order_id = h.order_id""", "order_log").replace(
     "\n, ev AS", ",\nev AS", 1)
+
+# --------------------------------------------------------------------- CDC
+_CDC_LAST = """
+, valid AS (
+  SELECT *, CASE WHEN op = 'd' THEN before_id ELSE after_id END AS k FROM cdc_log
+  WHERE (op IN ('c', 'u') AND after_id IS NOT NULL) OR (op = 'd' AND before_id IS NOT NULL)
+),
+last AS (
+  SELECT k, arg_max(op, off) AS op, arg_max(after_id, off) AS id,
+         arg_max(after_customer, off) AS customer, arg_max(after_status, off) AS status,
+         arg_max(after_amount, off) AS amount
+  FROM valid GROUP BY k
+)"""
+
+ORACLE["cdc_apply"] = with_views(
+    "SELECT id, customer, status, amount FROM last WHERE op <> 'd'", "cdc_log").replace(
+    "\nSELECT id, customer", _CDC_LAST.replace("\n, valid", ",\nvalid", 1) + "\nSELECT id, customer", 1)
+ORACLE["cdc_count"] = with_views(
+    "SELECT count(*) AS n FROM last WHERE op <> 'd'", "cdc_log").replace(
+    "\nSELECT count(*)", _CDC_LAST.replace("\n, valid", ",\nvalid", 1) + "\nSELECT count(*)", 1)
+
+ORACLE["cdc_diff"] = with_views("""
+SELECT CASE WHEN o.id IS NULL THEN 'c' WHEN n.id IS NULL THEN 'd' ELSE 'u' END AS op,
+       COALESCE(o.id, n.id) AS id,
+       o.customer AS before_customer, o.status AS before_status, o.amount AS before_amount,
+       n.customer AS after_customer, n.status AS after_status, n.amount AS after_amount
+FROM snapshot_old o FULL OUTER JOIN snapshot_new n ON o.id = n.id
+WHERE o.id IS NULL OR n.id IS NULL
+   OR (o.customer, o.status, o.amount) IS DISTINCT FROM (n.customer, n.status, n.amount)""",
+                                "snapshot_old", "snapshot_new")
+
+ORACLE["cdc_status_change"] = with_views("""
+SELECT off, after_id AS id, after_amount AS amount FROM cdc_log
+WHERE op = 'u' AND before_status = 'NEW' AND after_status = 'SHIPPED'""", "cdc_log")
+
+# --------------------------------------------------------------------- DLQ
+_DLQ = """
+, classified AS (
+  SELECT *,
+         CASE WHEN value IS NULL OR NOT json_valid(value) THEN 'invalid_json'
+              WHEN json_type(value) <> 'OBJECT' THEN 'not_an_object'
+              WHEN len(missing) > 0 THEN 'missing_fields: ['
+                   || array_to_string(list_transform(missing, lambda x: '''' || x || ''''), ', ')
+                   || ']'
+         END AS error
+  FROM (SELECT *, CASE WHEN json_valid(value) AND json_type(value) = 'OBJECT'
+                       THEN list_filter(['order_id', 'customer', 'amount'],
+                                        lambda x: NOT list_contains(json_keys(value), x)) END
+                    AS missing
+        FROM raw_orders) r
+),
+dead AS (SELECT * FROM classified WHERE error IS NOT NULL),
+rec AS (
+  SELECT key, value, error, keys, members,
+         regexp_replace(value, '\\}\\s*$', '')
+           || CASE WHEN len(keys) > 0 AND length(members) > 0 THEN ',' ELSE '' END
+           || members || '}' AS fixed
+  FROM (SELECT *, json_keys(value) AS keys,
+               concat_ws(',',
+                 CASE WHEN NOT list_contains(json_keys(value), 'customer')
+                      THEN '"customer":"unknown"' END,
+                 CASE WHEN NOT list_contains(json_keys(value), 'amount') THEN '"amount":0.0' END,
+                 CASE WHEN NOT list_contains(json_keys(value), 'order_id')
+                      THEN '"order_id":"recovered"' END) AS members
+        FROM dead WHERE error LIKE 'missing_fields%') d
+),
+recovered AS (
+  SELECT key, fixed AS value,
+         CASE WHEN list_contains(keys, 'order_id') THEN json_extract_string(value, '$.order_id')
+              ELSE 'recovered' END AS order_id,
+         CASE WHEN list_contains(keys, 'customer') THEN json_extract_string(value, '$.customer')
+              ELSE 'unknown' END AS customer,
+         CASE WHEN list_contains(keys, 'amount')
+              THEN TRY_CAST(json_extract_string(value, '$.amount') AS DOUBLE)
+              ELSE 0.0 END AS amount
+  FROM rec
+)"""
+
+
+def _dlq(sql: str) -> str:
+    body = with_views("\n" + sql.strip(), "raw_orders")
+    head, tail = body.rsplit("\n" + sql.strip(), 1)
+    return head + _DLQ.replace("\n, classified", ",\nclassified", 1) + "\n" + sql.strip() + tail
+
+
+ORACLE["dlq_classify"] = _dlq("SELECT off, key, error FROM classified")
+ORACLE["dlq_route"] = _dlq("""
+SELECT key, value, error, 'dlq.orders.v1' AS source_topic, CAST(off AS VARCHAR) AS source_offset,
+       CAST("partition" AS VARCHAR) AS source_partition
+FROM dead""")
+ORACLE["dlq_recover"] = _dlq("SELECT key, value, order_id, customer, amount FROM recovered")
+ORACLE["dlq_poison"] = _dlq("""
+SELECT key, value, error FROM dead WHERE error NOT LIKE 'missing_fields%'""")
+ORACLE["dlq_counters"] = _dlq("""
+SELECT count(*) FILTER (WHERE error IS NULL) AS ok,
+       count(*) FILTER (WHERE error IS NOT NULL) AS routed,
+       count(*) FILTER (WHERE error LIKE 'missing_fields%') AS recovered,
+       count(*) FILTER (WHERE error IS NOT NULL AND error NOT LIKE 'missing_fields%') AS poison
+FROM classified""")
+ORACLE["dlq_reprocess"] = _dlq("""
+SELECT key, json_extract_string(value, '$.order_id') AS order_id,
+       json_extract_string(value, '$.customer') AS customer,
+       TRY_CAST(json_extract_string(value, '$.amount') AS DOUBLE) AS amount, 'main' AS origin
+FROM classified WHERE error IS NULL
+UNION ALL
+SELECT key, order_id, customer, amount, 'recovered' AS origin FROM recovered""")
+
+# ------------------------------------------------------------ exactly once
+_COMMITTED = """
+SELECT * FROM transfers_staged
+WHERE txn_id IN (SELECT txn_id FROM txn_markers WHERE state = 'commit')"""
+
+ORACLE["read_committed"] = with_views(f"""
+SELECT txn_id, transfer_id, seq, amount, off FROM ({_COMMITTED}) c""",
+                                      "transfers_staged", "txn_markers")
+ORACLE["dedup_first"] = with_views(f"""
+SELECT transfer_id, CAST(arg_min(amount, off) AS DOUBLE) AS amount, min(off) AS off
+FROM ({_COMMITTED}) c WHERE transfer_id IS NOT NULL AND transfer_id <> ''
+GROUP BY transfer_id""", "transfers_staged", "txn_markers")
+ORACLE["dedup_counters"] = with_views(f"""
+SELECT count(DISTINCT transfer_id) AS processed_unique,
+       count(*) - count(DISTINCT transfer_id) AS duplicates,
+       count(DISTINCT transfer_id) AS ledger_total
+FROM ({_COMMITTED}) c WHERE transfer_id IS NOT NULL AND transfer_id <> ''""",
+                                      "transfers_staged", "txn_markers")
+ORACLE["ledger_new"] = with_views(f"""
+SELECT transfer_id, CAST(arg_min(amount, off) AS DOUBLE) AS amount, min(off) AS off
+FROM ({_COMMITTED}) c
+WHERE transfer_id NOT IN (SELECT transfer_id FROM ({_COMMITTED}) p WHERE ship_epoch < 852076800)
+GROUP BY transfer_id""", "transfers_staged", "txn_markers")
