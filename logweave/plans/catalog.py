@@ -228,3 +228,159 @@ def ledger_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = eo.first_occurrence(committed.filter(F.col("ship_epoch") < LEDGER_CUTOFF),
                                  "transfer_id", "off")
     return eo.apply_once(committed, ledger, "transfer_id", "off")
+
+
+# --------------------------------------------------------------------- joins
+from logweave.operators import joins  # noqa: E402
+
+JOIN_WINDOW_S = 300
+
+
+def _consume(spark: SparkSession, sf_dir: str, payments: DataFrame) -> DataFrame:
+    return joins.consume_on_match(fx.order_events(spark, sf_dir), payments, "order_id",
+                                  "order_epoch", "payment_epoch", JOIN_WINDOW_S)
+
+
+def _joined(df: DataFrame) -> DataFrame:
+    return df.filter("matched").select(
+        F.col("key").alias("order_id"), F.col("l_amount").alias("order_amount"),
+        F.col("r_amount").alias("payment_amount"), F.col("r_method").alias("method"),
+        F.col("l_order_epoch").alias("order_epoch"),
+        F.col("r_payment_epoch").alias("payment_epoch"))
+
+
+@register("order_payment_join")
+def order_payment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined(_consume(spark, sf_dir, fx.payment_events(spark, sf_dir)))
+
+
+@register("order_unpaid")
+def order_unpaid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _consume(spark, sf_dir, fx.payment_events(spark, sf_dir))
+    return c.filter(~F.col("matched")).select(
+        F.col("key").alias("order_id"), F.col("l_amount").alias("amount"),
+        F.col("l_order_epoch").alias("order_epoch"))
+
+
+@register("order_payment_consume")
+def order_payment_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined(_consume(spark, sf_dir, fx.payment_events_repeated(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------- metrics
+from logweave.operators import metrics  # noqa: E402
+
+
+@register("delivery_metrics")
+def delivery_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.delivery_metrics(fx.delivery_reports(spark, sf_dir))
+
+
+@register("latency_percentiles")
+def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.latency_report(fx.delivery_reports(spark, sf_dir))
+
+
+@register("throughput_by_config")
+def throughput_by_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.throughput_summary(fx.delivery_reports(spark, sf_dir))
+
+
+@register("bench_report")
+def bench_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.bench_report(metrics.throughput_summary(fx.delivery_reports(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------- serde
+from logweave.functions import jsonschema, serde  # noqa: E402
+from logweave.sources import logtable  # noqa: E402
+
+# Fixed value: the order schema checked by ``schema_errors``.
+ORDER_SCHEMA = {
+    "type": "object",
+    "required": ["order_id", "customer", "amount"],
+    "properties": {"order_id": {"type": "string"}, "customer": {"type": "string"},
+                   "amount": {"type": "number"}},
+}
+
+
+@register("decode_best_effort")
+def decode_best_effort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = fx.raw_messages(spark, sf_dir).select("off", serde.decode_value("value").alias("d"))
+    return d.select("off", F.col("d.kind").alias("kind"), F.col("d.text").alias("text"),
+                    serde.json_kind(F.col("d.json")).alias("json_kind"))
+
+
+@register("encode_json")
+def encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = fx.transactions(spark, sf_dir)
+    return t.select("txn_id", serde.encode_value(F.struct("txn_id", "amount", "event_epoch"))
+                    .cast("string").alias("value"))
+
+
+@register("field_defaults")
+def field_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fx.raw_orders(spark, sf_dir)
+    v = serde.parse_json(F.col("value").cast("string"))
+    objs = raw.withColumn("_v", v).filter(serde.is_object(F.col("_v")))
+    return objs.select("off",
+                       serde.get_or_default(F.col("_v"), "order_id", "string", "recovered")
+                       .alias("order_id"),
+                       serde.get_or_default(F.col("_v"), "customer", "string", "unknown")
+                       .alias("customer"),
+                       serde.get_or_default(F.col("_v"), "amount", "double", 0.0)
+                       .alias("amount"))
+
+
+@register("type_projection")
+def type_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.order_log(spark, sf_dir).withColumn("aggregate_id",
+                                                 F.col("aggregate_id").cast("string"))
+    enc = es.events_to_json(log).select("seq", "value")
+    dec = es.events_from_json(enc)
+    return dec.select("aggregate_id", "seq", "event_type", "customer", "amount", "method",
+                      "carrier", "tracking", "reason")
+
+
+@register("schema_errors")
+def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fx.raw_orders(spark, sf_dir)
+    v = serde.parse_json(F.col("value").cast("string"))
+    ok = raw.withColumn("_v", v).filter(F.col("_v").isNotNull())
+    errs = jsonschema.compile_errors(F.col("_v"), ORDER_SCHEMA)
+    return ok.select("off", F.size(errs).cast("bigint").alias("n_errors"),
+                     F.array_join(errs, "; ").alias("errors"))
+
+
+# ----------------------------------------------------------------- log table
+TXN_TOPIC = "stream.transactions.v1"
+
+
+def _txn_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = fx.transactions(spark, sf_dir)
+    rec = logtable.to_records(t, TXN_TOPIC, "txn_id", F.struct("txn_id", "amount", "event_epoch"),
+                              F.col("event_epoch"),
+                              partition=F.pmod(F.col("txn_id").cast("bigint"), F.lit(3)))
+    return logtable.assign_offsets(rec)
+
+
+@register("message_metadata")
+def message_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logtable.metadata(_txn_log(spark, sf_dir), {"txn_id": "string", "amount": "double"})
+
+
+@register("consume_first_n")
+def consume_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = logtable.first_n(_txn_log(spark, sf_dir), 100)
+    return first.select(serde.decode_key("key").alias("key"), "partition", "offset")
+
+
+@register("topic_union")
+def topic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = fx.order_events(spark, sf_dir).select(
+        F.lit("stream.order_events.v1").alias("topic"), F.col("order_id").alias("key"),
+        "amount", F.col("order_epoch").alias("event_epoch"))
+    p = fx.payment_events(spark, sf_dir).select(
+        F.lit("stream.payment_events.v1").alias("topic"), F.col("order_id").alias("key"),
+        "amount", F.col("payment_epoch").alias("event_epoch"))
+    return logtable.union_topics(o, p)

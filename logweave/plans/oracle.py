@@ -494,3 +494,170 @@ SELECT transfer_id, CAST(arg_min(amount, off) AS DOUBLE) AS amount, min(off) AS
 FROM ({_COMMITTED}) c
 WHERE transfer_id NOT IN (SELECT transfer_id FROM ({_COMMITTED}) p WHERE ship_epoch < 852076800)
 GROUP BY transfer_id""", "transfers_staged", "txn_markers")
+
+# ------------------------------------------------------------------- joins
+ORACLE["order_payment_join"] = with_views("""
+SELECT o.order_id, o.amount AS order_amount, p.amount AS payment_amount, p.method,
+       o.order_epoch, p.payment_epoch
+FROM order_events o JOIN payment_events p
+  ON o.order_id = p.order_id
+ AND p.payment_epoch BETWEEN o.order_epoch - 300 AND o.order_epoch + 300""",
+                                          "order_events", "payment_events")
+ORACLE["order_unpaid"] = with_views("""
+SELECT o.order_id, o.amount, o.order_epoch FROM order_events o
+WHERE NOT EXISTS (SELECT 1 FROM payment_events p WHERE p.order_id = o.order_id
+                  AND p.payment_epoch BETWEEN o.order_epoch - 300 AND o.order_epoch + 300)""",
+                                    "order_events", "payment_events")
+# With the repeats, every repeated payment comes 120 s after the first one, so
+# consume-on-match pairs an order with its first payment when that is within
+# the bound and leaves the second pending.
+ORACLE["order_payment_consume"] = ORACLE["order_payment_join"]
+
+# ----------------------------------------------------------------- metrics
+ORACLE["delivery_metrics"] = with_views("""
+SELECT config, produced, delivered, failed, bytes_sent,
+       CASE WHEN delivered + failed = 0 THEN 0.0
+            ELSE CAST((2 * failed * 10000 + (delivered + failed)) // (2 * (delivered + failed))
+                      AS DOUBLE) / 10000.0 END AS error_rate,
+       elapsed_s,
+       CASE WHEN elapsed_s = 0 THEN 0.0
+            ELSE CAST((2 * delivered * 10 + elapsed_s) // (2 * elapsed_s) AS DOUBLE) / 10.0 END
+         AS throughput_msg_s,
+       CASE WHEN elapsed_s = 0 THEN 0.0
+            ELSE CAST((2 * bytes_sent * 1000 + elapsed_s * 1048576) // (2 * elapsed_s * 1048576)
+                      AS DOUBLE) / 1000.0 END AS throughput_mb_s
+FROM (
+  SELECT config, count(*) AS produced, count(*) FILTER (WHERE ok) AS delivered,
+         count(*) FILTER (WHERE NOT ok) AS failed,
+         CAST(COALESCE(SUM(CASE WHEN ok THEN n_bytes END), 0) AS BIGINT) AS bytes_sent,
+         CAST(max(sent_epoch) - min(sent_epoch) AS BIGINT) AS elapsed_s
+  FROM delivery_reports GROUP BY config
+) t""", "delivery_reports")
+
+ORACLE["latency_percentiles"] = with_views("""
+SELECT config, measured,
+       CAST(round(CAST(p50 AS DECIMAL(38,10)), 3) AS DOUBLE) AS p50_ms,
+       CAST(round(CAST(p95 AS DECIMAL(38,10)), 3) AS DOUBLE) AS p95_ms,
+       CAST(round(CAST(p99 AS DECIMAL(38,10)), 3) AS DOUBLE) AS p99_ms,
+       CAST(round(CAST(mx AS DECIMAL(38,10)), 3) AS DOUBLE) AS max_ms
+FROM (
+  SELECT config, count(*) AS measured, max(latency_ms) AS mx,
+         list_sort(list(latency_ms))[CAST(round_even(0.5 * (count(*) - 1), 0) AS BIGINT) + 1]
+           AS p50,
+         list_sort(list(latency_ms))[CAST(round_even(0.95 * (count(*) - 1), 0) AS BIGINT) + 1]
+           AS p95,
+         list_sort(list(latency_ms))[CAST(round_even(0.99 * (count(*) - 1), 0) AS BIGINT) + 1]
+           AS p99
+  FROM delivery_reports WHERE latency_ms IS NOT NULL GROUP BY config
+) t""", "delivery_reports")
+
+ORACLE["throughput_by_config"] = with_views("""
+SELECT config, count, CAST(el AS DOUBLE) AS elapsed_s,
+       CASE WHEN el = 0 THEN 0.0
+            ELSE CAST((2 * count * 10 + el) // (2 * el) AS DOUBLE) / 10.0 END AS msg_per_s,
+       CASE WHEN el = 0 THEN 0.0
+            ELSE CAST((2 * bytes * 100 + el * 1048576) // (2 * el * 1048576) AS DOUBLE) / 100.0
+       END AS mb_per_s
+FROM (SELECT config, count(*) AS count, CAST(max(sent_epoch) - min(sent_epoch) AS BIGINT) AS el,
+             CAST(sum(n_bytes) AS BIGINT) AS bytes
+      FROM delivery_reports GROUP BY config) t""", "delivery_reports")
+
+ORACLE["bench_report"] = ORACLE["throughput_by_config"].replace(
+    "SELECT config, count, CAST(el AS DOUBLE) AS elapsed_s,", """
+SELECT config, '| ' || config || ' | ' || format('{:,}', count) || ' | '
+       || format('{:,.3f}', CAST(el AS DECIMAL(38,3))) || ' | '
+       || format('{:,}', CAST(round(CAST(msg_per_s AS DECIMAL(38,1)), 0) AS BIGINT)) || ' | '
+       || format('{:,.2f}', CAST(mb_per_s AS DECIMAL(38,2))) || ' |' AS line
+FROM (SELECT config, count, el,""", 1).replace(
+    "FROM delivery_reports GROUP BY config) t", "FROM delivery_reports GROUP BY config) t) u", 1)
+
+# ------------------------------------------------------------------- serde
+ORACLE["decode_best_effort"] = with_views("""
+SELECT off,
+       CASE WHEN is_bytes THEN 'bytes' WHEN text IS NULL THEN 'null'
+            WHEN json_valid(text) THEN 'json' ELSE 'text' END AS kind,
+       CASE WHEN is_bytes THEN NULL ELSE text END AS text,
+       CASE WHEN NOT is_bytes AND json_valid(text) THEN
+         CASE json_type(text) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
+              WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null'
+              ELSE 'number' END END AS json_kind
+FROM raw_messages""", "raw_messages")
+
+ORACLE["encode_json"] = with_views("""
+SELECT txn_id, to_json({'txn_id': txn_id, 'amount': amount, 'event_epoch': event_epoch})::VARCHAR
+         AS value
+FROM transactions""", "transactions")
+
+ORACLE["field_defaults"] = with_views("""
+SELECT off,
+       CASE WHEN list_contains(json_keys(value), 'order_id')
+            THEN json_extract_string(value, '$.order_id') ELSE 'recovered' END AS order_id,
+       CASE WHEN list_contains(json_keys(value), 'customer')
+            THEN json_extract_string(value, '$.customer') ELSE 'unknown' END AS customer,
+       CASE WHEN list_contains(json_keys(value), 'amount')
+            THEN TRY_CAST(json_extract_string(value, '$.amount') AS DOUBLE) ELSE 0.0 END AS amount
+FROM raw_orders WHERE json_valid(value) AND json_type(value) = 'OBJECT'""", "raw_orders")
+
+ORACLE["type_projection"] = with_views("""
+SELECT CAST(aggregate_id AS VARCHAR) AS aggregate_id, seq, event_type,
+       CASE WHEN event_type = 'OrderCreated' THEN customer END AS customer,
+       CASE WHEN event_type IN ('OrderCreated', 'PaymentReceived') THEN amount END AS amount,
+       CASE WHEN event_type = 'PaymentReceived' THEN method END AS method,
+       CASE WHEN event_type = 'OrderShipped' THEN carrier END AS carrier,
+       CASE WHEN event_type = 'OrderShipped' THEN tracking END AS tracking,
+       CASE WHEN event_type = 'OrderCancelled' THEN reason END AS reason
+FROM order_log""", "order_log")
+
+_PYTYPE = """CASE json_type(value, '{p}') WHEN 'OBJECT' THEN 'dict' WHEN 'ARRAY' THEN 'list'
+  WHEN 'VARCHAR' THEN 'str' WHEN 'BOOLEAN' THEN 'bool' WHEN 'NULL' THEN 'NoneType'
+  WHEN 'DOUBLE' THEN 'float' ELSE 'int' END"""
+
+ORACLE["schema_errors"] = with_views(f"""
+SELECT off, CAST(len(errs) AS BIGINT) AS n_errors, array_to_string(errs, '; ') AS errors
+FROM (
+  SELECT off,
+    CASE WHEN json_type(value) <> 'OBJECT'
+         THEN ['$: expected object, got ' || {_PYTYPE.format(p='$')}]
+    ELSE list_filter([
+      CASE WHEN NOT list_contains(json_keys(value), 'order_id')
+           THEN '$: missing required property ''order_id''' END,
+      CASE WHEN NOT list_contains(json_keys(value), 'customer')
+           THEN '$: missing required property ''customer''' END,
+      CASE WHEN NOT list_contains(json_keys(value), 'amount')
+           THEN '$: missing required property ''amount''' END,
+      CASE WHEN list_contains(json_keys(value), 'order_id')
+            AND json_type(value, '$.order_id') <> 'VARCHAR'
+           THEN '$.order_id: expected string, got ' || {_PYTYPE.format(p='$.order_id')} END,
+      CASE WHEN list_contains(json_keys(value), 'customer')
+            AND json_type(value, '$.customer') <> 'VARCHAR'
+           THEN '$.customer: expected string, got ' || {_PYTYPE.format(p='$.customer')} END,
+      CASE WHEN list_contains(json_keys(value), 'amount')
+            AND json_type(value, '$.amount') = 'BOOLEAN'
+           THEN '$.amount: expected number, got boolean'
+           WHEN list_contains(json_keys(value), 'amount')
+            AND json_type(value, '$.amount') NOT IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE')
+           THEN '$.amount: expected number, got ' || {_PYTYPE.format(p='$.amount')} END
+    ], lambda x: x IS NOT NULL) END AS errs
+  FROM raw_orders WHERE json_valid(value)
+) t""", "raw_orders")
+
+# --------------------------------------------------------------- log table
+_TXN_LOG = """
+SELECT txn_id AS key, CAST(CAST(txn_id AS BIGINT) % 3 AS INTEGER) AS "partition",
+       row_number() OVER (PARTITION BY CAST(txn_id AS BIGINT) % 3
+                          ORDER BY event_epoch, txn_id) - 1 AS "offset",
+       event_epoch, amount, txn_id
+FROM transactions"""
+
+ORACLE["message_metadata"] = with_views(f"""
+SELECT key, "partition", "offset", CAST(event_epoch AS DOUBLE) AS ts, txn_id, amount
+FROM ({_TXN_LOG}) l""", "transactions")
+ORACLE["consume_first_n"] = with_views(f"""
+SELECT key, "partition", "offset" FROM ({_TXN_LOG}) l
+ORDER BY event_epoch, "partition", "offset" LIMIT 100""", "transactions")
+ORACLE["topic_union"] = with_views("""
+SELECT 'stream.order_events.v1' AS topic, order_id AS key, amount, order_epoch AS event_epoch
+FROM order_events
+UNION ALL
+SELECT 'stream.payment_events.v1', order_id, amount, payment_epoch FROM payment_events""",
+                                   "order_events", "payment_events")
