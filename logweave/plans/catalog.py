@@ -384,3 +384,62 @@ def topic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("stream.payment_events.v1").alias("topic"), F.col("order_id").alias("key"),
         "amount", F.col("payment_epoch").alias("event_epoch"))
     return logtable.union_topics(o, p)
+
+
+# ----------------------------------------------------------------- streaming
+from logweave.session import checkpoint_dir  # noqa: E402
+from logweave.streaming import jobs, sinks  # noqa: E402
+
+
+@register("stream_kpi")
+def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fx.analytics_events(spark, sf_dir, ev=fx.table_stream(spark, sf_dir, "events"))
+    return jobs.run_available(jobs.kpi_stream(ev, window_s=60), "stream_kpi")
+
+
+@register("stream_join")
+def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = fx.order_events(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))
+    p = fx.payment_events(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))
+    j = jobs.join_stream(o, p, bound_s=JOIN_WINDOW_S)
+    out = j.select(F.col("o.order_id").alias("order_id"),
+                   F.col("o.amount").alias("order_amount"),
+                   F.col("p.amount").alias("payment_amount"), F.col("p.method").alias("method"),
+                   F.col("o.order_epoch").alias("order_epoch"),
+                   F.col("p.payment_epoch").alias("payment_epoch"))
+    return jobs.run_available(out, "stream_join")
+
+
+@register("stream_dedup")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_dedup")
+    # Transactional producer (EO1): staged rows first, commit markers last.
+    fx.transfers_staged(spark, sf_dir).write.parquet(f"{root}/staged")
+    fx.txn_markers(spark, sf_dir).write.parquet(f"{root}/markers")
+    staged = spark.readStream.schema(spark.read.parquet(f"{root}/staged").schema) \
+        .parquet(f"{root}/staged")
+    markers = spark.read.parquet(f"{root}/markers")
+    return jobs.dedup_stream(spark, staged, markers, "transfer_id", f"{root}/ledger",
+                             f"{root}/batches")
+
+
+@register("stream_cdc")
+def stream_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_cdc")
+    changes = fx.cdc_log(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))
+    jobs.run_foreach(changes, "stream_cdc",
+                     sinks.cdc_replica_sink(f"{root}/replica", f"{root}/batches"))
+    return sinks.read_replica(spark, f"{root}/replica")
+
+
+@register("stream_dlq")
+def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_dlq")
+    raw = fx.raw_orders(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))
+    jobs.run_foreach(raw, "stream_dlq", sinks.dlq_router(f"{root}/main", f"{root}/dlq",
+                                                         f"{root}/batches", MAIN_TOPIC))
+    h = headers_to_map("headers")
+    return spark.read.parquet(f"{root}/dlq").select(
+        "key", F.col("value").cast("string").alias("value"), h["error"].alias("error"),
+        h["source_topic"].alias("source_topic"), h["source_offset"].alias("source_offset"),
+        h["source_partition"].alias("source_partition"))

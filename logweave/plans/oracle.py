@@ -661,3 +661,15 @@ FROM order_events
 UNION ALL
 SELECT 'stream.payment_events.v1', order_id, amount, payment_epoch FROM payment_events""",
                                    "order_events", "payment_events")
+
+# --------------------------------------------------------------- streaming
+# Append mode emits a window once the watermark (max event time in ms minus
+# the 2 s grace) reaches its end; the last open window stays in state.
+ORACLE["stream_kpi"] = ORACLE["kpi_1m"].replace(
+    "ORDER BY window_start", """WHERE (window_start + 60) * 1000 <=
+      (SELECT max(epoch_us(ts)) // 1000 FROM events) - 2000
+ORDER BY window_start""")
+ORACLE["stream_join"] = ORACLE["order_payment_join"]
+ORACLE["stream_dedup"] = ORACLE["dedup_first"]
+ORACLE["stream_cdc"] = ORACLE["cdc_apply"]
+ORACLE["stream_dlq"] = ORACLE["dlq_route"]

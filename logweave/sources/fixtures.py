@@ -18,6 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of one test table (the file source needs a directory,
+    so the table file is selected with a glob filter)."""
+    schema = table(spark, sf_dir, name).schema
+    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(sf_dir)
+
+
 def _s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -32,9 +43,10 @@ def _epoch_s(c: str) -> Column:
 
 
 # --------------------------------------------------------------- F1 analytics
-def analytics_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``analytics.events.v1``: event_id, type, user_id, product, event_epoch, amount."""
-    ev = table(spark, sf_dir, "events")
+def analytics_events(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    """``analytics.events.v1``: event_id, type, user_id, product, event_epoch, amount.
+    ``ev`` may be a streaming read of the events table."""
+    ev = ev if ev is not None else table(spark, sf_dir, "events")
     et = F.col("event_type")
     return ev.select(
         "event_id",
@@ -48,9 +60,9 @@ def analytics_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ F2 transactions
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """``stream.transactions.v1``: txn_id, amount, event_epoch (BIGINT seconds)."""
-    o = table(spark, sf_dir, "orders")
+    o = orders if orders is not None else table(spark, sf_dir, "orders")
     return o.select(
         _s("o_orderkey").alias("txn_id"),
         F.col("o_totalprice").alias("amount"),
@@ -112,14 +124,14 @@ def _row(id_c: Column, cust: Column, status: Column, amount: Column) -> Column:
                     amount.alias("amount"))
 
 
-def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cdc_log(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """``cdc.orders.v1`` change envelopes: off, op, before, after, source, ts_ms.
 
     Per order: a create, an update for non-open orders, a delete for every
     tenth order, and an unknown ``t`` op (ignored by the applier) for every
     97th one.
     """
-    o = table(spark, sf_dir, "orders")
+    o = orders if orders is not None else table(spark, sf_dir, "orders")
     k, cust, amt = F.col("o_orderkey"), _s("o_custkey"), F.col("o_totalprice")
     new_status = F.when(F.col("o_orderstatus") == "F", "SHIPPED").otherwise("PAID")
     last_status = F.when(F.col("o_orderstatus") == "O", "NEW").otherwise(new_status)
@@ -163,9 +175,9 @@ def snapshot_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ F5 raw orders
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """``dlq.orders.v1`` as a log: off, key, value (BINARY), topic, partition."""
-    o = table(spark, sf_dir, "orders")
+    o = orders if orders is not None else table(spark, sf_dir, "orders")
     k = _s("o_orderkey")
     m = F.col("o_orderkey") % 10
     value = (F.when(m == 0, F.lit("bad_message:{not-json"))
@@ -231,14 +243,15 @@ def txn_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------- F7 join inputs
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = transactions(spark, sf_dir)
+def order_events(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    t = transactions(spark, sf_dir, orders)
     return t.select(F.col("txn_id").alias("order_id"), "amount",
                     F.col("event_epoch").alias("order_epoch"))
 
 
-def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = transactions(spark, sf_dir)
+def payment_events(spark: SparkSession, sf_dir: str,
+                   orders: DataFrame | None = None) -> DataFrame:
+    t = transactions(spark, sf_dir, orders)
     oid = F.col("txn_id").cast("bigint")
     return t.filter(oid % 10 != 0).select(
         F.col("txn_id").alias("order_id"), "amount", F.lit("card").alias("method"),
