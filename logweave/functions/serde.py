@@ -27,9 +27,12 @@ def strict_json(text: Column | str) -> Column:
 
 
 def parse_json(text: Column | str) -> Column:
-    """VARIANT of a strictly valid JSON text, else NULL."""
+    """VARIANT of a strictly valid JSON text, else NULL (the document is
+    taken from the array wrap, so the text is parsed twice, not three times)."""
     t = _c(text)
-    return F.when(strict_json(t), F.try_parse_json(t))
+    w1 = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
+    w2 = F.try_parse_json(F.concat(F.lit('{"w":'), t, F.lit("}")))
+    return F.when(w1.isNotNull() & w2.isNotNull(), F.try_variant_get(w1, "$[0]", "variant"))
 
 
 def json_kind(v: Column) -> Column:
@@ -94,6 +97,15 @@ def headers_to_map(headers: Column | str) -> Column:
                 F.slice(entries, i + 2, F.size(entries)), lambda f: f["key"] == e["key"]))))
 
 
+def header_value(headers: Column | str, key: str) -> Column:
+    """FN3: value of header ``key`` as text (last occurrence wins, as in a
+    dict), NULL when absent.  Built-in array functions only, so it compiles
+    into whole-stage code."""
+    h = _c(headers)
+    idx = F.array_position(F.reverse(h.getField("key")), F.lit(key)).cast("int")
+    return F.when(idx > 0, F.element_at(F.reverse(h.getField("value")), idx).cast("string"))
+
+
 def map_to_headers(m: dict[str, Column | str]) -> Column:
     """Header list from literal keys and string columns."""
     return F.array(*[F.struct(F.lit(k).alias("key"),

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.functions.serde import headers_to_map, map_to_headers, parse_json
+from logweave.functions.materialize import computed
+from logweave.functions.serde import header_value, map_to_headers, parse_json
 
 # Required fields and recovery defaults of the reference.
 REQUIRED_FIELDS = ("order_id", "customer", "amount")
@@ -30,24 +31,58 @@ def _text(value: Column) -> Column:
     return F.when(F.is_valid_utf8(value), value.cast("string"))
 
 
+def _missing_list(keys: Column, required: Sequence[str]) -> Column:
+    """``'a', 'b'`` for the required keys absent from ``keys`` (required order);
+    plain conditionals, so the projection stays in whole-stage codegen."""
+    return F.concat_ws(", ", *[F.when(~F.array_contains(keys, f), F.lit(f"'{f}'"))
+                               for f in required])
+
+
+def _any_missing(keys: Column, required: Sequence[str]) -> Column:
+    out = None
+    for f in required:
+        m = ~F.array_contains(keys, f)
+        out = m if out is None else (out | m)
+    return out
+
+
+def classify(df: DataFrame, value_col: str = "value",
+             required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
+    """Add ``error`` (NULL for valid rows) (DLQ1).
+
+    The text is decoded, parsed and its keys extracted once per row in
+    separate projections (Catalyst keeps expensive expressions from being
+    duplicated when it merges them)."""
+    b = F.col(value_col)
+    staged = (df.withColumn("_t", _text(b))
+              .withColumns({"_w1": F.try_parse_json(F.concat(F.lit("["), F.col("_t"), F.lit("]"))),
+                            "_w2": F.try_parse_json(F.concat(F.lit('{"w":'), F.col("_t"),
+                                                             F.lit("}")))}))
+    staged = staged.withColumn("_v", F.when(F.col("_w1").isNotNull() & F.col("_w2").isNotNull(),
+                                            F.try_variant_get("_w1", "$[0]", "variant")))
+    staged = staged.withColumn("_obj", F.coalesce(
+        F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
+    staged = staged.withColumn("_keys", F.when(F.col("_obj"), F.json_object_keys("_t")))
+    keys = F.col("_keys")
+    err = (F.when(F.col("_v").isNull(), ERR_INVALID_JSON)
+           .when(~F.col("_obj"), ERR_NOT_OBJECT)
+           .when(_any_missing(keys, required),
+                 F.concat(F.lit(f"{ERR_MISSING}: ["), _missing_list(keys, required), F.lit("]"))))
+    return computed(staged, {"error": err}).drop("_t", "_w1", "_w2", "_v", "_obj", "_keys")
+
+
 def validation_error(value: Column | str, required: Sequence[str] = REQUIRED_FIELDS) -> Column:
-    """Error string of a raw message, NULL when valid (DLQ1)."""
+    """Error string of a raw message as a single expression (for ad-hoc use;
+    :func:`classify` is the staged, faster form)."""
     b = F.col(value) if isinstance(value, str) else value
     text = _text(b)
     v = parse_json(text)
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    missing = F.array_except(F.array(*[F.lit(f) for f in required]), F.json_object_keys(text))
-    listed = F.array_join(F.transform(missing, lambda x: F.concat(F.lit("'"), x, F.lit("'"))),
-                          ", ")
+    keys = F.json_object_keys(text)
     return (F.when(v.isNull(), ERR_INVALID_JSON)
             .when(~is_obj, ERR_NOT_OBJECT)
-            .when(F.size(missing) > 0, F.concat(F.lit(f"{ERR_MISSING}: ["), listed, F.lit("]"))))
-
-
-def classify(df: DataFrame, value_col: str = "value",
-             required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
-    """Add ``error`` (NULL for valid rows)."""
-    return df.withColumn("error", validation_error(value_col, required))
+            .when(_any_missing(keys, required),
+                  F.concat(F.lit(f"{ERR_MISSING}: ["), _missing_list(keys, required), F.lit("]"))))
 
 
 def valid_rows(classified: DataFrame) -> DataFrame:
@@ -76,14 +111,15 @@ def recover(dlq: DataFrame, value_col: str = "value") -> DataFrame:
     A missing ``error`` header reads as 'unknown' and is not recoverable.
     Output: key, value (fixed JSON bytes), order_id, customer, amount, error.
     """
-    h = headers_to_map("headers")
-    err = F.coalesce(h["error"], F.lit("unknown"))
-    b = F.col(value_col)
-    text = _text(b)
-    v = parse_json(text)
-    keys = F.json_object_keys(text)
-    ok = err.startswith(ERR_MISSING) & F.coalesce(
-        F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    staged = (dlq.withColumn("error", F.coalesce(header_value("headers", "error"),
+                                                 F.lit("unknown")))
+              .withColumn("_t", _text(F.col(value_col))))
+    staged = staged.withColumn("_v", parse_json("_t"))
+    staged = staged.withColumn("_keys", F.json_object_keys("_t"))
+    text, v, keys = F.col("_t"), F.col("_v"), F.col("_keys")
+    staged = computed(staged, {"_ok": F.col("error").startswith(ERR_MISSING) & F.coalesce(
+        F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))})
+    ok = F.col("_ok")
     add = [F.when(~F.array_contains(keys, f), F.lit(f'"{f}":{js}')) for f, js, _ in
            RECOVERY_DEFAULTS]
     members = F.concat_ws(",", *add)
@@ -96,7 +132,7 @@ def recover(dlq: DataFrame, value_col: str = "value") -> DataFrame:
                       F.try_variant_get(v, f"$.{name}", type_name)).otherwise(
             F.lit(default).cast(type_name))
 
-    return (dlq.withColumn("error", err).filter(ok)
+    return (staged.filter(ok)
             .select("key", F.encode(fixed, "UTF-8").alias("value"),
                     field("order_id", "string", "recovered").alias("order_id"),
                     field("customer", "string", "unknown").alias("customer"),
@@ -105,14 +141,12 @@ def recover(dlq: DataFrame, value_col: str = "value") -> DataFrame:
 
 def poison(dlq: DataFrame, value_col: str = "value") -> DataFrame:
     """Unrecoverable dead letters (DLQ4): key, value, error."""
-    h = headers_to_map("headers")
-    err = F.coalesce(h["error"], F.lit("unknown"))
-    text = _text(F.col(value_col))
-    is_obj = F.coalesce(F.schema_of_variant(parse_json(text)).startswith("OBJECT"),
-                        F.lit(False))
-    return (dlq.withColumn("error", err)
-            .filter(~(F.col("error").startswith(ERR_MISSING) & is_obj))
-            .select("key", value_col, "error"))
+    staged = dlq.withColumn("error", F.coalesce(header_value("headers", "error"),
+                                                F.lit("unknown")))
+    is_obj = F.coalesce(F.schema_of_variant(parse_json(_text(F.col(value_col))))
+                        .startswith("OBJECT"), F.lit(False))
+    staged = computed(staged, {"_poison": ~(F.col("error").startswith(ERR_MISSING) & is_obj)})
+    return staged.filter("_poison").select("key", value_col, "error")
 
 
 def typed_orders(valid: DataFrame, value_col: str = "value") -> DataFrame:

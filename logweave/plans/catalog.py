@@ -122,7 +122,7 @@ def whatif_drop_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------- CDC
 from pyspark.sql import functions as F  # noqa: E402
 
-from logweave.functions.serde import headers_to_map  # noqa: E402
+from logweave.functions.serde import header_value  # noqa: E402
 from logweave.operators import cdc, dlq  # noqa: E402
 from logweave.operators import exactly_once as eo  # noqa: E402
 
@@ -167,11 +167,13 @@ def dlq_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dlq_route")
 def dlq_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = headers_to_map("headers")
-    return _dead(spark, sf_dir).select(
-        "key", F.col("value").cast("string").alias("value"), h["error"].alias("error"),
-        h["source_topic"].alias("source_topic"), h["source_offset"].alias("source_offset"),
-        h["source_partition"].alias("source_partition"))
+    return _dlq_view(_dead(spark, sf_dir))
+
+
+def _dlq_view(d: DataFrame) -> DataFrame:
+    return d.select("key", F.col("value").cast("string").alias("value"),
+                    *[header_value("headers", h).alias(h) for h in
+                      ("error", "source_topic", "source_offset", "source_partition")])
 
 
 @register("dlq_recover")
@@ -293,6 +295,7 @@ def bench_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------- serde
 from logweave.functions import jsonschema, serde  # noqa: E402
+from logweave.functions.materialize import computed  # noqa: E402
 from logweave.sources import logtable  # noqa: E402
 
 # Fixed value: the order schema checked by ``schema_errors``.
@@ -322,7 +325,7 @@ def encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def field_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.raw_orders(spark, sf_dir)
     v = serde.parse_json(F.col("value").cast("string"))
-    objs = raw.withColumn("_v", v).filter(serde.is_object(F.col("_v")))
+    objs = computed(raw, {"_v": v}).filter(serde.is_object(F.col("_v")))
     return objs.select("off",
                        serde.get_or_default(F.col("_v"), "order_id", "string", "recovered")
                        .alias("order_id"),
@@ -346,7 +349,7 @@ def type_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.raw_orders(spark, sf_dir)
     v = serde.parse_json(F.col("value").cast("string"))
-    ok = raw.withColumn("_v", v).filter(F.col("_v").isNotNull())
+    ok = computed(raw, {"_v": v}).filter(F.col("_v").isNotNull())
     errs = jsonschema.compile_errors(F.col("_v"), ORDER_SCHEMA)
     return ok.select("off", F.size(errs).cast("bigint").alias("n_errors"),
                      F.array_join(errs, "; ").alias("errors"))
@@ -438,8 +441,4 @@ def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.raw_orders(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))
     jobs.run_foreach(raw, "stream_dlq", sinks.dlq_router(f"{root}/main", f"{root}/dlq",
                                                          f"{root}/batches", MAIN_TOPIC))
-    h = headers_to_map("headers")
-    return spark.read.parquet(f"{root}/dlq").select(
-        "key", F.col("value").cast("string").alias("value"), h["error"].alias("error"),
-        h["source_topic"].alias("source_topic"), h["source_offset"].alias("source_offset"),
-        h["source_partition"].alias("source_partition"))
+    return _dlq_view(spark.read.parquet(f"{root}/dlq"))
