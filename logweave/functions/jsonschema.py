@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from logweave.functions.serde import python_type
+from logweave.functions.serde import member_path, python_type
 
 # JSON-Schema type -> accepted Python type names.
 TYPE_NAMES = {
@@ -34,12 +34,11 @@ def _empty() -> Column:
 
 
 def _member(v: Column, key: str) -> Column:
-    return F.try_variant_get(v, "$['" + key.replace("'", "\\'") + "']", "variant")
+    return F.try_variant_get(v, member_path(key), "variant")
 
 
 def _has(v: Column, key: str) -> Column:
-    return F.coalesce(F.array_contains(F.json_object_keys(F.to_json(v)), F.lit(key)),
-                      F.lit(False))
+    return _member(v, key).isNotNull()
 
 
 def compile_errors(v: Column, schema: dict[str, Any], path: Column | None = None) -> Column:

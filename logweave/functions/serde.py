@@ -129,10 +129,15 @@ def encode_value(value: Column | str, data_type: str | None = None) -> Column:
 
 
 # --------------------------------------------------- field access (FN5-FN7)
+def member_path(field: str) -> str:
+    """VARIANT path of an object member (bracket form: any key text)."""
+    return "$['" + field.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+
 def has_field(v: Column, field: str) -> Column:
-    """Key present in the object (an explicit null counts as present)."""
-    return F.coalesce(F.array_contains(F.json_object_keys(F.to_json(v)), F.lit(field)),
-                      F.lit(False))
+    """Key present in the object (an explicit null counts as present: a JSON
+    null member is a VARIANT null, not SQL NULL)."""
+    return F.try_variant_get(v, member_path(field), "variant").isNotNull()
 
 
 def get_or_default(v: Column, field: str, type_name: str, default) -> Column:

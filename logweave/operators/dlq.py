@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.functions.materialize import computed
-from logweave.functions.serde import header_value, map_to_headers, parse_json
+from logweave.functions.serde import has_field, header_value, map_to_headers, parse_json
 
 # Required fields and recovery defaults of the reference.
 REQUIRED_FIELDS = ("order_id", "customer", "amount")
@@ -31,17 +31,16 @@ def _text(value: Column) -> Column:
     return F.when(F.is_valid_utf8(value), value.cast("string"))
 
 
-def _missing_list(keys: Column, required: Sequence[str]) -> Column:
-    """``'a', 'b'`` for the required keys absent from ``keys`` (required order);
-    plain conditionals, so the projection stays in whole-stage codegen."""
-    return F.concat_ws(", ", *[F.when(~F.array_contains(keys, f), F.lit(f"'{f}'"))
-                               for f in required])
+def _missing_list(v: Column, required: Sequence[str]) -> Column:
+    """``'a', 'b'`` for the required keys absent from object ``v`` (required
+    order); plain conditionals, so the projection stays in whole-stage codegen."""
+    return F.concat_ws(", ", *[F.when(~has_field(v, f), F.lit(f"'{f}'")) for f in required])
 
 
-def _any_missing(keys: Column, required: Sequence[str]) -> Column:
+def _any_missing(v: Column, required: Sequence[str]) -> Column:
     out = None
     for f in required:
-        m = ~F.array_contains(keys, f)
+        m = ~has_field(v, f)
         out = m if out is None else (out | m)
     return out
 
@@ -62,13 +61,12 @@ def classify(df: DataFrame, value_col: str = "value",
                                             F.try_variant_get("_w1", "$[0]", "variant")))
     staged = staged.withColumn("_obj", F.coalesce(
         F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
-    staged = staged.withColumn("_keys", F.when(F.col("_obj"), F.json_object_keys("_t")))
-    keys = F.col("_keys")
-    err = (F.when(F.col("_v").isNull(), ERR_INVALID_JSON)
+    v = F.col("_v")
+    err = (F.when(v.isNull(), ERR_INVALID_JSON)
            .when(~F.col("_obj"), ERR_NOT_OBJECT)
-           .when(_any_missing(keys, required),
-                 F.concat(F.lit(f"{ERR_MISSING}: ["), _missing_list(keys, required), F.lit("]"))))
-    return computed(staged, {"error": err}).drop("_t", "_w1", "_w2", "_v", "_obj", "_keys")
+           .when(_any_missing(v, required),
+                 F.concat(F.lit(f"{ERR_MISSING}: ["), _missing_list(v, required), F.lit("]"))))
+    return computed(staged, {"error": err}).drop("_t", "_w1", "_w2", "_v", "_obj")
 
 
 def validation_error(value: Column | str, required: Sequence[str] = REQUIRED_FIELDS) -> Column:
@@ -78,11 +76,10 @@ def validation_error(value: Column | str, required: Sequence[str] = REQUIRED_FIE
     text = _text(b)
     v = parse_json(text)
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    keys = F.json_object_keys(text)
     return (F.when(v.isNull(), ERR_INVALID_JSON)
             .when(~is_obj, ERR_NOT_OBJECT)
-            .when(_any_missing(keys, required),
-                  F.concat(F.lit(f"{ERR_MISSING}: ["), _missing_list(keys, required), F.lit("]"))))
+            .when(_any_missing(v, required),
+                  F.concat(F.lit(f"{ERR_MISSING}: ["), _missing_list(v, required), F.lit("]"))))
 
 
 def valid_rows(classified: DataFrame) -> DataFrame:
