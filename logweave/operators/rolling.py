@@ -70,7 +70,7 @@ def top_products(df: DataFrame, k: int = 5, window_s: int | None = 60,
     order = [F.col("purchases").desc(), F.col("_first").asc(), F.col("product").asc()]
     top = counted.orderBy(*order).limit(k)
     # Ranking a k-row result: a single-partition window is bounded by k.
-    return top.select(F.row_number().over(Window.orderBy(*order)).alias("rank"),
+    return top.select(F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank"),
                       "product", "purchases")
 
 

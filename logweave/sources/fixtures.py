@@ -224,7 +224,7 @@ def transfers_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
         "l_quantity", "l_discount", "l_tax", "l_linestatus", "l_shipdate")
-    return (li.withColumn("seq", F.row_number().over(w))
+    return (li.withColumn("seq", F.row_number().over(w).cast("bigint"))
             .select((F.col("l_orderkey") % 50).alias("txn_id"),
                     _s("l_orderkey").alias("transfer_id"),
                     F.col("seq"),
