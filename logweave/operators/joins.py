@@ -9,9 +9,9 @@
   are pending and within the bound they are emitted and both are cleared, so
   a record joins at most once and the output never exceeds
   ``min(#left, #right)`` per key: no key can fan out into all its pairs.
-  Rows are hash-partitioned by key and sorted, and a small state machine
-  streams through each sorted partition (``mapInPandas``); it keeps O(1)
-  state per key and never collects a key's rows into memory.
+  A small state machine streams through range partitions of the sorted
+  rows (``mapInPandas``); a hot key is split over several partitions and
+  stitched by chaining four-state transfer functions.
 """
 
 from __future__ import annotations
@@ -20,10 +20,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logweave.operators.scan import pinned
+
 
 def _band(lt: Column, rt: Column, bound_s: float) -> Column:
     return (rt >= lt - F.lit(bound_s)) & (rt <= lt + F.lit(bound_s))
@@ -57,18 +60,27 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
     left columns prefixed ``l_`` and the right columns prefixed ``r_``.
     Rows with ``matched = false`` are left records that never joined (they
     were superseded or no partner came within the bound; JN4).
+
+    Between two events of a key the join state is one of four values
+    (pending left? pending right?); the pending records themselves are always
+    the latest record of that side so far.  Rows are range-partitioned on
+    ``(key, time, side, order)`` (a hot key spans several partitions) and
+    pinned; three streaming passes then (1) summarise each partition's
+    boundary key, (2) compute each partition's 4-state transfer function and
+    (3) emit matches from the chained entry states.  The per-partition
+    summaries (one small record per partition) are chained on the driver.
     """
     spark = left.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lcols = [c for c in left.columns]
-    rcols = [c for c in right.columns]
+    lcols, rcols = list(left.columns), list(right.columns)
     lsch, rsch = left.schema, right.schema
+    n_ord = max(len(left_order), len(right_order))
 
     def side(df: DataFrame, s: int, t: str, order: Sequence[str], mine: list[str],
-             other: list[str], msch, osch, mp: str, op: str) -> DataFrame:
+             other: list[str], osch, mp: str, op: str) -> DataFrame:
         sel = [F.col(key).cast("string").alias("_key"), F.col(t).cast("double").alias("_t"),
                F.lit(s).alias("_side")]
-        for i in range(max(len(left_order), len(right_order))):
+        for i in range(n_ord):
             src = order[i] if i < len(order) else None
             sel.append((F.col(src).cast("string") if src else F.lit(None).cast("string"))
                        .alias(f"_o{i}"))
@@ -76,27 +88,135 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
         sel += [F.lit(None).cast(osch[c].dataType).alias(op + c) for c in other]
         return df.select(*sel)
 
-    lside = side(left, 0, left_time, left_order, lcols, rcols, lsch, rsch, "l_", "r_")
-    rside = side(right, 1, right_time, right_order, rcols, lcols, rsch, lsch, "r_", "l_")
-    # Keep the column order identical on both sides.
-    cols_order = lside.columns
-    both = lside.unionByName(rside).select(*cols_order)
-    n_ord = max(len(left_order), len(right_order))
+    lside = side(left, 0, left_time, left_order, lcols, rcols, rsch, "l_", "r_")
+    rside = side(right, 1, right_time, right_order, rcols, lcols, lsch, "r_", "l_")
+    both = lside.unionByName(rside).select(*lside.columns)
     sort_cols = ["_key", "_t", "_side", *[f"_o{i}" for i in range(n_ord)]]
-    rows = both.repartition(n, "_key").sortWithinPartitions(*sort_cols)
+    rows = pinned(both.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols))
 
     lnames = ["l_" + c for c in lcols]
     rnames = ["r_" + c for c in rcols]
+    bound = float(bound_s)
+
+    # Pass 1: first/last key of every partition and, for the last key, its
+    # latest left and right record inside the partition.
+    summ_schema = T.StructType(
+        [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
+         T.StructField("last_key", T.StringType()),
+         T.StructField("lo_t", T.DoubleType()), T.StructField("lp_t", T.DoubleType())]
+        + [T.StructField("lo_" + c, lsch[c].dataType) for c in lcols]
+        + [T.StructField("lp_" + c, rsch[c].dataType) for c in rcols])
+
+    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = cur = None
+        lo = lp = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            k = pdf["_key"].to_numpy(dtype=object)
+            sd = pdf["_side"].to_numpy()
+            if first is None:
+                first = k[0]
+            if k[-1] != cur:
+                cur, lo, lp = k[-1], None, None
+            m = k == cur
+            io = np.flatnonzero(m & (sd == 0))
+            ip = np.flatnonzero(m & (sd == 1))
+            if len(io):
+                i = io[-1]
+                lo = (pdf["_t"].iat[i], [pdf[c].iat[i] for c in lnames])
+            if len(ip):
+                i = ip[-1]
+                lp = (pdf["_t"].iat[i], [pdf[c].iat[i] for c in rnames])
+        if first is None:
+            return
+        rec = {"pid": [TaskContext.get().partitionId()], "first_key": [first],
+               "last_key": [cur], "lo_t": [lo[0] if lo else None],
+               "lp_t": [lp[0] if lp else None]}
+        for j, c in enumerate(lcols):
+            rec["lo_" + c] = [lo[1][j] if lo else None]
+        for j, c in enumerate(rcols):
+            rec["lp_" + c] = [lp[1][j] if lp else None]
+        yield pd.DataFrame(rec)
+
+    summ = {r.pid: r for r in rows.mapInPandas(summarize, summ_schema).collect()}
+    order_p = sorted(summ)
+    carry: dict[int, tuple] = {}
+    run_key, run_lo, run_lp = object(), None, None
+    for p in order_p:
+        s = summ[p]
+        carry[p] = (run_lo, run_lp) if s.first_key == run_key else (None, None)
+        lo = (s.lo_t, [s["lo_" + c] for c in lcols]) if s.lo_t is not None else None
+        lp = (s.lp_t, [s["lp_" + c] for c in rcols]) if s.lp_t is not None else None
+        if s.last_key == run_key:
+            run_lo, run_lp = lo or run_lo, lp or run_lp
+        else:
+            run_key, run_lo, run_lp = s.last_key, lo, lp
+    nxt = {p: summ[q].first_key for p, q in zip(order_p, order_p[1:])}
+
+    # Pass 2: transfer function of the first run (all four entry states) and
+    # the exit state of the last run started from "nothing pending".
+    f_schema = "pid int, f0 int, f1 int, f2 int, f3 int, last_exit int"
+
+    def transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pid = TaskContext.get().partitionId()
+        if pid not in summ:
+            return
+        s = summ[pid]
+        c_lo, c_lp = carry[pid]
+        t_lo = c_lo[0] if c_lo else None
+        t_lp = c_lp[0] if c_lp else None
+        states = [0, 1, 2, 3]
+        in_first = True
+        cur = s.first_key
+        last_state = 0
+        for pdf in batches:
+            k = pdf["_key"].tolist()
+            ts = pdf["_t"].to_numpy()
+            sd = pdf["_side"].to_numpy()
+            for i in range(len(k)):
+                if k[i] != cur:
+                    in_first, cur, t_lo, t_lp, last_state = False, k[i], None, None, 0
+                if in_first:
+                    states = [_step(x, sd[i], ts[i], t_lo, t_lp, bound) for x in states]
+                else:
+                    last_state = _step(last_state, sd[i], ts[i], t_lo, t_lp, bound)
+                if sd[i] == 0:
+                    t_lo = ts[i]
+                else:
+                    t_lp = ts[i]
+        last_exit = states[0] if in_first else last_state
+        yield pd.DataFrame({"pid": [pid], "f0": [states[0]], "f1": [states[1]],
+                            "f2": [states[2]], "f3": [states[3]], "last_exit": [last_exit]})
+
+    fns = {r.pid: r for r in rows.mapInPandas(transfer, f_schema).collect()}
+    entry: dict[int, int] = {}
+    run_key, state = object(), 0
+    for p in order_p:
+        s, f = summ[p], fns[p]
+        e = state if s.first_key == run_key else 0
+        entry[p] = e
+        if s.first_key == s.last_key:
+            state, run_key = (f.f0, f.f1, f.f2, f.f3)[e], s.first_key
+        else:
+            state, run_key = f.last_exit, s.last_key
+
     out_schema = T.StructType(
         [T.StructField("matched", T.BooleanType(), False),
          T.StructField("key", T.StringType(), True)]
         + [T.StructField("l_" + c, lsch[c].dataType, True) for c in lcols]
         + [T.StructField("r_" + c, rsch[c].dataType, True) for c in rcols])
-    bound = float(bound_s)
 
+    # Pass 3: run the join from the chained entry state and emit.
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur = object()
-        pend_l = pend_r = None      # (time, row values)
+        pid = TaskContext.get().partitionId()
+        if pid not in summ:
+            return
+        s = summ[pid]
+        c_lo, c_lp = carry[pid]
+        cur = s.first_key
+        pend_l = c_lo if (entry[pid] & 1) else None
+        pend_r = c_lp if (entry[pid] & 2) else None
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -127,16 +247,28 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
                     pend_l = pend_r = None
             if out_m:
                 yield _frame(out_m, out_k, out_l, out_r, lnames, rnames)
-        if pend_l is not None:
+        if pend_l is not None and nxt.get(pid) != cur:
             yield _frame([False], [cur], [pend_l[1]], [None], lnames, rnames)
 
     return rows.mapInPandas(run, out_schema)
 
 
+def _step(state: int, side: int, t: float, t_lo, t_lp, bound: float) -> int:
+    """One event of the 4-state machine (bit 0: left pending, bit 1: right
+    pending); the pending record is always the latest of its side."""
+    if side == 0:
+        if (state & 2) and t_lp is not None and abs(t - t_lp) <= bound:
+            return 0
+        return state | 1
+    if (state & 1) and t_lo is not None and abs(t_lo - t) <= bound:
+        return 0
+    return state | 2
+
+
 def _frame(m, k, lv, rv, lnames, rnames) -> pd.DataFrame:
     nl, nr = len(lnames), len(rnames)
-    lmat = np.array([v if v is not None else [None] * nl for v in lv], dtype=object)
-    rmat = np.array([v if v is not None else [None] * nr for v in rv], dtype=object)
+    lmat = np.array([list(v) if v is not None else [None] * nl for v in lv], dtype=object)
+    rmat = np.array([list(v) if v is not None else [None] * nr for v in rv], dtype=object)
     data = {"matched": m, "key": k}
     for j, c in enumerate(lnames):
         data[c] = lmat[:, j] if len(lmat) else []

@@ -70,11 +70,14 @@ def nearest_rank_percentiles(df: DataFrame, group_cols: Sequence[str], value_col
         F.rint(F.lit(p / 100.0) * (F.col("measured") - 1)).cast("bigint").alias(f"_k{i}")
         for i, p in enumerate(pcts)])
     pos = global_positions(vals.select(*g, value_col, *tiebreak), [*g, value_col, *tiebreak])
-    picked = pos.join(targets, g).select(
-        *g, *[F.when(F.col("_pos") - 1 - F.col("_start") == F.col(f"_k{i}"), F.col(value_col))
-              .alias(f"_v{i}") for i in range(len(pcts))])
-    found = picked.groupBy(*g).agg(*[F.max(f"_v{i}").alias(f"p{_name(p)}")
-                                     for i, p in enumerate(pcts)])
+    # Wanted rows, addressed by their unique global position: the join key
+    # is unique, so even a group holding most rows spreads evenly.
+    wanted = targets.select(*g, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_i"), (F.col("_start") + F.col(f"_k{i}") + 1).alias("_pos"))
+        for i in range(len(pcts))])).alias("_w")).select(*g, "_w._i", "_w._pos")
+    picked = pos.select("_pos", F.col(value_col).alias("_val")).join(wanted, "_pos")
+    found = picked.groupBy(*g).agg(*[F.max(F.when(F.col("_i") == i, F.col("_val")))
+                                     .alias(f"p{_name(p)}") for i, p in enumerate(pcts)])
     return targets.select(*g, "measured", "max").join(found, g)
 
 

@@ -84,11 +84,12 @@ def assign_offsets(records: DataFrame, order: Sequence[str] = ("timestamp",),
     """
     keys = ["topic", "partition", *order, "key", "value"]
     pos = global_positions(records, keys)
+    # One row per log partition (a topic's partition count): broadcast.
     starts = pos.groupBy("topic", "partition").agg(F.min("_pos").alias("_p0"))
-    out = pos.join(starts, ["topic", "partition"])
+    out = pos.join(F.broadcast(starts), ["topic", "partition"])
     off = F.col("_pos") - F.col("_p0")
     if base is not None:
-        out = out.join(base, ["topic", "partition"], "left")
+        out = out.join(F.broadcast(base), ["topic", "partition"], "left")
         off = off + F.coalesce(F.col("next_offset"), F.lit(0))
     return out.withColumn("offset", off.cast("bigint")).select(*LOG_COLUMNS)
 
@@ -137,8 +138,8 @@ def starting_from(log: DataFrame, position: str = "earliest",
         raise ValueError(f"unknown start position: {position}")
     if snapshot is None:
         raise ValueError("latest needs the log snapshot taken at start")
-    marks = next_offsets(snapshot)
-    return (log.join(marks, ["topic", "partition"], "left")
+    marks = next_offsets(snapshot)          # one row per log partition
+    return (log.join(F.broadcast(marks), ["topic", "partition"], "left")
             .filter(F.col("offset") >= F.coalesce(F.col("next_offset"), F.lit(0)))
             .drop("next_offset"))
 
