@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.functions.materialize import computed
+from logweave.functions.materialize import computed, spread
 from logweave.functions.serde import has_field, header_value, map_to_headers, parse_json
 
 # Required fields and recovery defaults of the reference.
@@ -53,7 +53,7 @@ def classify(df: DataFrame, value_col: str = "value",
     separate projections (Catalyst keeps expensive expressions from being
     duplicated when it merges them)."""
     b = F.col(value_col)
-    staged = (df.withColumn("_t", _text(b))
+    staged = (spread(df).withColumn("_t", _text(b))
               .withColumns({"_w1": F.try_parse_json(F.concat(F.lit("["), F.col("_t"), F.lit("]"))),
                             "_w2": F.try_parse_json(F.concat(F.lit('{"w":'), F.col("_t"),
                                                              F.lit("}")))}))

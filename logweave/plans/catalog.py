@@ -295,7 +295,7 @@ def bench_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------- serde
 from logweave.functions import jsonschema, serde  # noqa: E402
-from logweave.functions.materialize import computed  # noqa: E402
+from logweave.functions.materialize import computed, spread  # noqa: E402
 from logweave.sources import logtable  # noqa: E402
 
 # Fixed value: the order schema checked by ``schema_errors``.
@@ -309,7 +309,8 @@ ORDER_SCHEMA = {
 
 @register("decode_best_effort")
 def decode_best_effort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = fx.raw_messages(spark, sf_dir).select("off", serde.decode_value("value").alias("d"))
+    d = spread(fx.raw_messages(spark, sf_dir)).select("off",
+                                                      serde.decode_value("value").alias("d"))
     return d.select("off", F.col("d.kind").alias("kind"), F.col("d.text").alias("text"),
                     serde.json_kind(F.col("d.json")).alias("json_kind"))
 
@@ -323,7 +324,7 @@ def encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("field_defaults")
 def field_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.raw_orders(spark, sf_dir)
+    raw = spread(fx.raw_orders(spark, sf_dir))
     v = serde.parse_json(F.col("value").cast("string"))
     objs = computed(raw, {"_v": v}).filter(serde.is_object(F.col("_v")))
     return objs.select("off",
@@ -339,7 +340,7 @@ def field_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 def type_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fx.order_log(spark, sf_dir).withColumn("aggregate_id",
                                                  F.col("aggregate_id").cast("string"))
-    enc = es.events_to_json(log).select("seq", "value")
+    enc = es.events_to_json(spread(log)).select("seq", "value")
     dec = es.events_from_json(enc)
     return dec.select("aggregate_id", "seq", "event_type", "customer", "amount", "method",
                       "carrier", "tracking", "reason")
@@ -347,7 +348,7 @@ def type_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("schema_errors")
 def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.raw_orders(spark, sf_dir)
+    raw = spread(fx.raw_orders(spark, sf_dir))
     v = serde.parse_json(F.col("value").cast("string"))
     ok = computed(raw, {"_v": v}).filter(F.col("_v").isNotNull())
     errs = jsonschema.compile_errors(F.col("_v"), ORDER_SCHEMA)
