@@ -10,9 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from logweave.functions import jsonschema, serde
+from logweave.functions import transforms
+from logweave.functions.materialize import computed, spread
+from logweave.functions.serde import header_value
+from logweave.operators import cdc, dlq
+from logweave.operators import eventsourcing as es
+from logweave.operators import exactly_once as eo
+from logweave.operators import joins
+from logweave.operators import metrics
+from logweave.operators import rolling
 from logweave.operators import windows
+from logweave.session import checkpoint_dir
 from logweave.sources import fixtures as fx
+from logweave.sources import logtable
+from logweave.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,9 +56,6 @@ def sales_tumbling_30s(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------ transforms / rolling
-from logweave.functions import transforms  # noqa: E402
-from logweave.operators import eventsourcing as es  # noqa: E402
-from logweave.operators import rolling  # noqa: E402
 
 
 @register("high_value_tier")
@@ -120,11 +131,6 @@ def whatif_drop_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- CDC
-from pyspark.sql import functions as F  # noqa: E402
-
-from logweave.functions.serde import header_value  # noqa: E402
-from logweave.operators import cdc, dlq  # noqa: E402
-from logweave.operators import exactly_once as eo  # noqa: E402
 
 
 @register("cdc_apply")
@@ -233,7 +239,6 @@ def ledger_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- joins
-from logweave.operators import joins  # noqa: E402
 
 JOIN_WINDOW_S = 300
 
@@ -270,7 +275,6 @@ def order_payment_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- metrics
-from logweave.operators import metrics  # noqa: E402
 
 
 @register("delivery_metrics")
@@ -294,9 +298,6 @@ def bench_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- serde
-from logweave.functions import jsonschema, serde  # noqa: E402
-from logweave.functions.materialize import computed, spread  # noqa: E402
-from logweave.sources import logtable  # noqa: E402
 
 # Fixed value: the order schema checked by ``schema_errors``.
 ORDER_SCHEMA = {
@@ -391,8 +392,6 @@ def topic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- streaming
-from logweave.session import checkpoint_dir  # noqa: E402
-from logweave.streaming import jobs, sinks  # noqa: E402
 
 
 @register("stream_kpi")
