@@ -38,9 +38,12 @@ def rolling_snapshot(df: DataFrame, window_s: int = 60, asof: float | Column | N
     """One row: page_views, add_to_carts, purchases, gmv, cvr, eps,
     window_count (events with ``epoch >= asof - w``) and total (all events)."""
     asof_c = resolve_asof(df, epoch_col, asof)
-    inw = _c(epoch_col) >= asof_c - F.lit(float(window_s))
+    # The in-window flag is computed once, so the scalar subquery for
+    # ``asof`` appears once in the plan.
+    flagged = df.withColumn("_inw", _c(epoch_col) >= asof_c - F.lit(float(window_s)))
+    inw = F.col("_inw")
     typ = _c(type_col)
-    snap = df.agg(
+    snap = flagged.agg(
         F.count_if(inw & (typ == PAGE_VIEW)).alias("page_views"),
         F.count_if(inw & (typ == ADD_TO_CART)).alias("add_to_carts"),
         F.count_if(inw & (typ == PURCHASE)).alias("purchases"),
