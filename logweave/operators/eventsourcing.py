@@ -13,7 +13,8 @@ after the last status-setting event L, so the final status is PAID exactly
 when a payment follows L and total paid >= the last created amount; else it
 is L's status.  That is one partial aggregation (map-side combine, so a hot
 aggregate is pre-reduced in every task before the shuffle).  Aggregates with
-a negative payment take the exact running-window path instead.
+a negative payment take an exact path built on a segmented scan, which also
+splits a hot aggregate over several tasks.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from logweave.functions.numeric import MONEY
+from logweave.operators.scan import segmented_scan
 
 # Event type names and the statuses they set.
 CREATED = "OrderCreated"
@@ -166,6 +168,24 @@ def running_state(df: DataFrame, id_col: str = "aggregate_id",
             .drop("_cand", "_known", "_paid"))
 
 
+def running_state_scan(df: DataFrame, id_col: str = "aggregate_id",
+                       seq_col: str = "seq") -> DataFrame:
+    """Per event the status candidate it sets, from running paid and the
+    amount known so far computed by :func:`segmented_scan` (no window, so an
+    aggregate holding most events is still split across tasks)."""
+    et, amt = F.col("event_type"), F.col("amount")
+    cents = lambda c: (c.cast(MONEY) * 100).cast("bigint")
+    prep = df.withColumns({"_pay_c": F.when(et == PAYMENT, cents(amt)),
+                           "_created_c": F.when(et == CREATED, cents(amt)).cast("double")})
+    sc = segmented_scan(prep, id_col, [seq_col], {"_paid_c": "_pay_c"},
+                        {"_known_c": "_created_c"})
+    cand = (F.when(et == CREATED, "CREATED")
+            .when((et == PAYMENT) & (F.col("_paid_c") >= F.coalesce(F.col("_known_c"),
+                                                                    F.lit(0.0))), "PAID")
+            .when(et == SHIPPED, "SHIPPED").when(et == CANCELLED, "CANCELLED"))
+    return sc.withColumn("_cand", cand)
+
+
 def fold_states(df: DataFrame, id_col: str = "aggregate_id", seq_col: str = "seq") -> DataFrame:
     """Current state of every aggregate that has events (AG5).
 
@@ -173,8 +193,9 @@ def fold_states(df: DataFrame, id_col: str = "aggregate_id", seq_col: str = "seq
     The main path is one partially aggregated pass.  Aggregates holding a
     negative payment are found by an event-level filter (``amount < 0``
     reaches the Parquet scan and its statistics) and folded exactly with
-    running windows; for ordinary logs that set is empty, which a one-row
-    probe establishes before the exact path is planned at all.
+    running sums from :func:`segmented_scan` (no per-aggregate window); for
+    ordinary logs that set is empty, which a one-row probe establishes before
+    the exact path is planned at all.
     """
     et, amt = F.col("event_type"), F.col("amount")
     neg_ids = df.filter((et == PAYMENT) & (amt < 0)).select(id_col).distinct()
@@ -186,9 +207,13 @@ def fold_states(df: DataFrame, id_col: str = "aggregate_id", seq_col: str = "seq
         # A one-row probe: with ``amount < 0`` pushed into the scan, Parquet
         # statistics usually skip every row group.
         return simple
-    hard = running_state(df.join(neg_ids, id_col, "left_semi"), id_col, seq_col)
+    hard = running_state_scan(df.join(neg_ids, id_col, "left_semi"), id_col, seq_col)
+    has_cand = F.col("_cand").isNotNull()
     last = hard.groupBy(F.col(id_col).alias("order_id")).agg(
-        F.max_by("status", seq_col).alias("status"), F.max_by("paid", seq_col).alias("paid"),
+        F.coalesce(F.max_by("_cand", F.when(has_cand, F.col(seq_col))), F.lit("UNKNOWN"))
+        .alias("status"),
+        F.coalesce(F.sum(F.when(F.col("event_type") == PAYMENT, F.col("amount").cast(MONEY))),
+                   F.lit(0).cast(MONEY)).cast("double").alias("paid"),
         F.max_by(F.when(F.col("event_type") == CREATED, F.col("amount")),
                  F.when(F.col("event_type") == CREATED, F.col(seq_col))).alias("amount"))
     return simple.unionByName(last)

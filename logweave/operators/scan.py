@@ -115,3 +115,136 @@ def global_positions(df: DataFrame, order_cols: Sequence[str],
     return (with_local.join(F.broadcast(offsets), "_pid")
             .withColumn("_pos", F.col("_local") + F.col("_o"))
             .drop("_mid", "_pid", "_local", "_o"))
+
+
+def segmented_scan(df: DataFrame, key: str, order_cols: Sequence[str],
+                   sums: dict[str, str], lasts: dict[str, str],
+                   num_partitions: int | None = None) -> DataFrame:
+    """Per ``key`` in ``order_cols`` order: inclusive running sums (``sums``:
+    output name -> BIGINT column) and the last non-null value so far
+    (``lasts``: output name -> DOUBLE column).  Returns ``df`` with the new
+    columns.
+
+    Unlike ``Window.partitionBy(key)``, a key holding most of the rows is
+    not confined to one task: rows are range-partitioned on
+    ``(key, *order_cols)``, each partition is scanned in numpy, and a key
+    that spans partitions is stitched from one summary record per partition
+    (carried forward on the driver, bounded by the partition count).
+    ``order_cols`` must make the order total within a key.
+    """
+    n = _num_partitions(df, num_partitions)
+    sort_cols = [key, *order_cols]
+    base = df.withColumns({**{f"_sw_{k}": F.coalesce(F.col(c).cast("bigint"),
+                                                      F.lit(0).cast("bigint"))
+                              for k, c in sums.items()},
+                           **{f"_lw_{k}": F.col(c).cast("double") for k, c in lasts.items()}})
+    rows = pinned(base.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols))
+    snames, lnames = list(sums), list(lasts)
+
+    summ_schema = T.StructType(
+        [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
+         T.StructField("last_key", T.StringType())]
+        + [T.StructField(f"s_{k}", T.LongType()) for k in snames]
+        + [T.StructField(f"l_{k}", T.DoubleType()) for k in lnames])
+
+    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = cur = None
+        tot = np.zeros(len(snames), dtype=np.int64)
+        last = [np.nan] * len(lnames)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            k = pdf[key].astype(str).to_numpy(dtype=object)
+            if first is None:
+                first = k[0]
+            if k[-1] != cur:
+                cur = k[-1]
+                tot = np.zeros(len(snames), dtype=np.int64)
+                last = [np.nan] * len(lnames)
+            m = k == cur
+            for j, s in enumerate(snames):
+                tot[j] += int(pdf[f"_sw_{s}"].to_numpy(dtype=np.int64)[m].sum())
+            for j, s in enumerate(lnames):
+                v = pdf[f"_lw_{s}"].to_numpy(dtype=float)[m]
+                v = v[~np.isnan(v)]
+                if len(v):
+                    last[j] = v[-1]
+        if first is None:
+            return
+        rec = {"pid": [TaskContext.get().partitionId()], "first_key": [first],
+               "last_key": [cur]}
+        rec.update({f"s_{s}": [int(tot[j])] for j, s in enumerate(snames)})
+        rec.update({f"l_{s}": [None if np.isnan(last[j]) else float(last[j])]
+                    for j, s in enumerate(lnames)})
+        yield pd.DataFrame(rec)
+
+    summ = {r.pid: r for r in rows.mapInPandas(summarize, summ_schema).collect()}
+    carry: dict[int, tuple] = {}
+    run_key, run_s, run_l = object(), [0] * len(snames), [None] * len(lnames)
+    for p in sorted(summ):
+        r = summ[p]
+        carry[p] = ((list(run_s), list(run_l)) if r.first_key == run_key
+                    else ([0] * len(snames), [None] * len(lnames)))
+        ps = [r[f"s_{s}"] for s in snames]
+        pl = [r[f"l_{s}"] for s in lnames]
+        if r.last_key == run_key:
+            run_s = [a + b for a, b in zip(run_s, ps)]
+            run_l = [b if b is not None else a for a, b in zip(run_l, pl)]
+        else:
+            run_key, run_s, run_l = r.last_key, ps, pl
+
+    out_schema = T.StructType(
+        [f for f in df.schema.fields]
+        + [T.StructField(k, T.LongType(), True) for k in snames]
+        + [T.StructField(k, T.DoubleType(), True) for k in lnames])
+    keep = list(df.columns)
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pid = TaskContext.get().partitionId()
+        if pid not in summ:
+            return
+        cur = summ[pid].first_key
+        c_s, c_l = carry[pid]
+        c_s = np.array(c_s, dtype=np.int64)
+        c_l = [np.nan if v is None else v for v in c_l]
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            k = pdf[key].astype(str).to_numpy(dtype=object)
+            # Segment ids: a new segment at every key change; segment 0
+            # continues the carried key.
+            change = np.empty(len(k), dtype=bool)
+            change[0] = k[0] != cur
+            change[1:] = k[1:] != k[:-1]
+            seg = np.cumsum(change)
+            first_is_carry = not change[0]
+            out = pdf[keep].copy()
+            for j, s in enumerate(snames):
+                w = pdf[f"_sw_{s}"].to_numpy(dtype=np.int64)
+                cs = np.cumsum(w)
+                starts = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
+                before = np.r_[0, cs][starts]          # cumsum before each segment
+                seg_idx = np.searchsorted(starts, np.arange(len(k)), side="right") - 1
+                val = cs - before[seg_idx]
+                if first_is_carry:
+                    val[seg == seg[0]] += c_s[j]
+                out[s] = val
+            for j, s in enumerate(lnames):
+                v = pd.Series(pdf[f"_lw_{s}"].to_numpy(dtype=float))
+                filled = v.groupby(seg).ffill()
+                if first_is_carry and not np.isnan(c_l[j]):
+                    mask = (seg == seg[0]) & filled.isna().to_numpy()
+                    filled[mask] = c_l[j]
+                out[s] = filled.to_numpy()
+            # Carry into the next batch of this partition.
+            last_seg = seg == seg[-1]
+            tail_key = k[-1]
+            new_s = np.array([out[s].to_numpy()[-1] for s in snames], dtype=np.int64)
+            new_l = []
+            for s in lnames:
+                vals = out[s].to_numpy(dtype=float)[last_seg]
+                new_l.append(vals[-1] if len(vals) else np.nan)
+            cur, c_s, c_l = tail_key, new_s, new_l
+            yield out
+
+    return rows.mapInPandas(emit, out_schema)
