@@ -30,6 +30,18 @@ def commit_marker(spark, txn_id, state: str = COMMIT) -> DataFrame:
     return spark.createDataFrame([(txn_id, state)], "txn_id long, state string")
 
 
+def publish_atomic(rows: DataFrame, txn_id: int, staged_path: str, markers_path: str,
+                   commit: bool = True) -> None:
+    """Transactional publish on a log table (EO1): the rows are appended with
+    their ``txn_id`` first and the commit marker last, so a failure in
+    between leaves a transaction that :func:`read_committed` never shows.
+    ``commit=False`` is an explicit abort (no marker)."""
+    rows.withColumn("txn_id", F.lit(txn_id).cast("long")).write.mode("append") \
+        .parquet(staged_path)
+    if commit:
+        commit_marker(rows.sparkSession, txn_id).write.mode("append").parquet(markers_path)
+
+
 def first_occurrence(df: DataFrame, id_col: str, order_col: str = "off",
                      amount_col: str | None = "amount") -> DataFrame:
     """First row per id in log order (EO3); empty ids are skipped (FN19) and a

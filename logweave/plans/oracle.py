@@ -205,6 +205,7 @@ ORDER BY window_start""", "analytics_events")
 
 ORACLE["kpi_1m"] = _kpi(60)
 ORACLE["kpi_1h"] = _kpi(3600)
+ORACLE["kpi_1m_from_log"] = ORACLE["kpi_1m"]
 
 ORACLE["sales_tumbling_30s"] = with_views("""
 SELECT window_start, window_start + 30 AS window_end, count, total_amount

@@ -112,3 +112,16 @@ def test_tax_and_empty_keys(spark):
     assert [r.k for r in transforms.non_empty_key(df, "k").collect()] == ["a"]
     r = transforms.tax_inclusive(df, 0.1).filter("k = 'a'").first()
     assert r.amount_incl == 110.0
+
+
+def test_publish_atomic_commit_and_abort(spark):
+    from logweave.operators import exactly_once as eo
+    root = tempfile.mkdtemp(prefix="logweave-eo-")
+    rows = spark.createDataFrame([("t1", 1.0, 1), ("t2", 2.0, 2)],
+                                 "transfer_id string, amount double, off long")
+    eo.publish_atomic(rows, 1, f"{root}/staged", f"{root}/markers")
+    eo.publish_atomic(rows.withColumn("off", F.col("off") + 10), 2, f"{root}/staged",
+                      f"{root}/markers", commit=False)
+    visible = eo.read_committed(spark.read.parquet(f"{root}/staged"),
+                                spark.read.parquet(f"{root}/markers"))
+    assert sorted(r.off for r in visible.collect()) == [1, 2]
