@@ -104,3 +104,70 @@ def dedup_stream(spark: SparkSession, staged: DataFrame, markers: DataFrame, id_
     run_foreach(committed, "dedup", sinks.ledger_sink(ledger_path, marker_path, id_col,
                                                       order_col))
     return spark.read.parquet(ledger_path)
+
+
+def consume_stream(orders: DataFrame, payments: DataFrame, key: str = "order_id",
+                   order_time: str = "order_epoch", payment_time: str = "payment_epoch",
+                   bound_s: int = 300, delay: str = "10 minutes") -> DataFrame:
+    """Streaming consume-on-match join (JN2-JN4) as a custom stateful
+    operator (``applyInPandasWithState``).
+
+    State per key: the latest pending order and payment (O(1) per key).  In
+    each micro-batch a key's new events are applied in arrival order
+    (time, side).  An event-time timeout ``bound_s`` after the newest pending
+    record expires the key (JN3) and emits a pending order as unmatched (JN4).
+    Output: matched, key, order payload (``l_*``), payment payload (``r_*``),
+    in append mode.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    lcols, rcols = list(orders.columns), list(payments.columns)
+    o = orders.select(F.col(key).cast("string").alias("_key"),
+                      F.col(order_time).cast("double").alias("_t"), F.lit(0).alias("_side"),
+                      F.to_json(F.struct(*lcols)).alias("_payload"))
+    p = payments.select(F.col(key).cast("string").alias("_key"),
+                        F.col(payment_time).cast("double").alias("_t"), F.lit(1).alias("_side"),
+                        F.to_json(F.struct(*rcols)).alias("_payload"))
+    events = (o.unionByName(p).withColumn("_ts", to_event_timestamp("_t"))
+              .withWatermark("_ts", delay))
+    bound = float(bound_s)
+    out_schema = ("matched boolean, key string, order_json string, payment_json string, "
+                  "order_t double, payment_t double")
+    state_schema = "lo_t double, lo string, lp_t double, lp string"
+
+    def step(key_t, pdfs, state):
+        import pandas as pd
+        k = key_t[0]
+        if state.hasTimedOut:
+            lo_t, lo, _, _ = state.get
+            state.remove()
+            if lo is not None:
+                yield pd.DataFrame({"matched": [False], "key": [k], "order_json": [lo],
+                                    "payment_json": [None], "order_t": [lo_t],
+                                    "payment_t": [None]})
+            return
+        lo_t, lo, lp_t, lp = state.get if state.exists else (None, None, None, None)
+        ev = pd.concat(list(pdfs)).sort_values(["_t", "_side", "_payload"], kind="stable")
+        out = []
+        for t, s, pay in zip(ev["_t"].tolist(), ev["_side"].tolist(), ev["_payload"].tolist()):
+            if s == 0:
+                if lo is not None:
+                    out.append((False, k, lo, None, lo_t, None))
+                lo_t, lo = t, pay
+            else:
+                lp_t, lp = t, pay
+            if lo is not None and lp is not None and abs(lo_t - lp_t) <= bound:
+                out.append((True, k, lo, lp, lo_t, lp_t))
+                lo_t = lo = lp_t = lp = None
+        if lo is None and lp is None:
+            state.remove()
+        else:
+            state.update((lo_t, lo, lp_t, lp))
+            newest = max(x for x in (lo_t, lp_t) if x is not None)
+            state.setTimeoutTimestamp(int((newest + bound) * 1000) + 1)
+        if out:
+            yield pd.DataFrame(out, columns=["matched", "key", "order_json", "payment_json",
+                                             "order_t", "payment_t"])
+
+    return events.groupBy("_key").applyInPandasWithState(
+        step, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)

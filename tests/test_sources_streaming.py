@@ -125,3 +125,20 @@ def test_publish_atomic_commit_and_abort(spark):
     visible = eo.read_committed(spark.read.parquet(f"{root}/staged"),
                                 spark.read.parquet(f"{root}/markers"))
     assert sorted(r.off for r in visible.collect()) == [1, 2]
+
+
+def test_consume_stream_equals_batch(spark):
+    """JN2 as a stateful streaming operator gives the batch operator's pairs;
+    unmatched orders surface once their timeout passes the watermark."""
+    from logweave.operators import joins
+    o_s = fx.order_events(spark, SF, orders=fx.table_stream(spark, SF, "orders"))
+    p_s = fx.payment_events(spark, SF, orders=fx.table_stream(spark, SF, "orders"))
+    out = jobs.run_available(jobs.consume_stream(o_s, p_s), "consume",
+                             base=tempfile.mkdtemp(prefix="logweave-stream-"))
+    got = {r.key for r in out.filter("matched").collect()}
+    batch = joins.consume_on_match(fx.order_events(spark, SF), fx.payment_events(spark, SF),
+                                   "order_id", "order_epoch", "payment_epoch", 300)
+    want = {r.key for r in batch.filter("matched").collect()}
+    assert got == want and len(got) > 0
+    expired = {r.key for r in out.filter(~F.col("matched")).collect()}
+    assert expired and not (expired & got)
