@@ -159,33 +159,51 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
     f_schema = "pid int, f0 int, f1 int, f2 int, f3 int, last_exit int"
 
     def transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Only the partition's first run and the trailing run of each batch
+        # (a candidate for the partition's last run) are stepped; the keys
+        # in between start and end inside the partition and need nothing.
         pid = TaskContext.get().partitionId()
         if pid not in summ:
             return
         s = summ[pid]
         c_lo, c_lp = carry[pid]
-        t_lo = c_lo[0] if c_lo else None
-        t_lp = c_lp[0] if c_lp else None
+        f_lo = c_lo[0] if c_lo else None
+        f_lp = c_lp[0] if c_lp else None
         states = [0, 1, 2, 3]
         in_first = True
-        cur = s.first_key
-        last_state = 0
+        tail_key, tail_state, t_lo, t_lp = object(), 0, None, None
         for pdf in batches:
-            k = pdf["_key"].tolist()
+            if pdf.empty:
+                continue
+            k = pdf["_key"].to_numpy(dtype=object)
             ts = pdf["_t"].to_numpy()
             sd = pdf["_side"].to_numpy()
-            for i in range(len(k)):
-                if k[i] != cur:
-                    in_first, cur, t_lo, t_lp, last_state = False, k[i], None, None, 0
-                if in_first:
-                    states = [_step(x, sd[i], ts[i], t_lo, t_lp, bound) for x in states]
-                else:
-                    last_state = _step(last_state, sd[i], ts[i], t_lo, t_lp, bound)
+            nrow = len(k)
+            lo_i = 0
+            if in_first:
+                diff = np.flatnonzero(k != s.first_key)
+                end = int(diff[0]) if len(diff) else nrow
+                for i in range(end):
+                    states = [_step(x, sd[i], ts[i], f_lo, f_lp, bound) for x in states]
+                    if sd[i] == 0:
+                        f_lo = ts[i]
+                    else:
+                        f_lp = ts[i]
+                if end == nrow:
+                    continue
+                in_first = False
+                lo_i = end
+            last = k[-1]
+            start = lo_i + int(np.argmax(k[lo_i:] == last))
+            if last != tail_key:
+                tail_key, tail_state, t_lo, t_lp = last, 0, None, None
+            for i in range(start, nrow):
+                tail_state = _step(tail_state, sd[i], ts[i], t_lo, t_lp, bound)
                 if sd[i] == 0:
                     t_lo = ts[i]
                 else:
                     t_lp = ts[i]
-        last_exit = states[0] if in_first else last_state
+        last_exit = states[0] if in_first else tail_state
         yield pd.DataFrame({"pid": [pid], "f0": [states[0]], "f1": [states[1]],
                             "f2": [states[2]], "f3": [states[3]], "last_exit": [last_exit]})
 
