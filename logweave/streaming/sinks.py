@@ -119,3 +119,37 @@ def dlq_router(main_path: str, dlq_path: str, marker_path: str, source_topic: st
 
 def scratch_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# ------------------------------------------------------ late side table (STR4)
+def late_split_sink(main_body: Callable[[DataFrame, int], None], late_path: str,
+                    state_path: str, marker_path: str, epoch_col: str, delay_s: float,
+                    query: str = "late"):
+    """Route rows older than the watermark to ``late_path`` instead of dropping
+    them (STR4); the other rows go to ``main_body``.
+
+    The watermark is the one Spark would use: the maximum event time of the
+    previous batches minus ``delay_s``.  It is kept in a one-row-per-batch
+    table, so it survives restarts; a replayed batch is skipped by the
+    ``(query, batch_id)`` marker.
+    """
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        wm = None
+        if _exists(spark, state_path):
+            wm = spark.read.parquet(state_path).agg(F.max("watermark")).first()[0]
+        t = F.col(epoch_col).cast("double")
+        if wm is None:
+            on_time, late = batch, None
+        else:
+            on_time, late = batch.filter(t >= F.lit(wm)), batch.filter(t < F.lit(wm))
+        if late is not None:
+            late.write.mode("append").parquet(late_path)
+        main_body(on_time, batch_id)
+        top = batch.agg(F.max(t)).first()[0]
+        if top is not None:
+            new_wm = max(wm if wm is not None else float("-inf"), top - float(delay_s))
+            spark.createDataFrame([(int(batch_id), float(new_wm))],
+                                  "batch_id long, watermark double") \
+                .write.mode("append").parquet(state_path)
+    return idempotent(marker_path, query, body)
