@@ -60,13 +60,23 @@ def rolling_stream(events: DataFrame, window_s: int = 60, slide_s: int = 1,
 
 def join_stream(orders: DataFrame, payments: DataFrame, key: str = "order_id",
                 order_time: str = "order_epoch", payment_time: str = "payment_epoch",
-                bound_s: int = 300, delay: str = "10 minutes", how: str = "inner") -> DataFrame:
+                bound_s: int = 300, delay: str = "10 minutes", how: str = "inner",
+                dedupe: bool = True) -> DataFrame:
     """Stream-stream join within ``bound_s`` seconds (JN1/JN3); ``leftOuter``
-    emits unmatched orders once the watermark passes them (JN4)."""
+    emits unmatched orders once the watermark passes them (JN4).
+
+    With ``dedupe`` each side first keeps one record per key within the
+    watermark delay (``dropDuplicatesWithinWatermark``), so a key repeated
+    on both sides yields one pair instead of all pairs inside the band: the
+    bounded "dedupe, then interval join" form of consume-on-match."""
     o = (orders.withColumn("_ot", to_event_timestamp(order_time))
-         .withWatermark("_ot", delay).alias("o"))
+         .withWatermark("_ot", delay))
     p = (payments.withColumn("_pt", to_event_timestamp(payment_time))
-         .withWatermark("_pt", delay).alias("p"))
+         .withWatermark("_pt", delay))
+    if dedupe:
+        o = o.dropDuplicatesWithinWatermark([key])
+        p = p.dropDuplicatesWithinWatermark([key])
+    o, p = o.alias("o"), p.alias("p")
     cond = (F.col(f"o.{key}") == F.col(f"p.{key}")) & \
         (F.col("p._pt") >= F.col("o._ot") - F.expr(f"INTERVAL {bound_s} SECONDS")) & \
         (F.col("p._pt") <= F.col("o._ot") + F.expr(f"INTERVAL {bound_s} SECONDS"))
