@@ -76,14 +76,18 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
     lsch, rsch = left.schema, right.schema
     n_ord = max(len(left_order), len(right_order))
 
+    # Tie-break columns keep their native type (numeric order stays numeric);
+    # the right side is cast to the left side's type at each position.
+    ord_types = [(lsch[left_order[i]] if i < len(left_order) else rsch[right_order[i]]).dataType
+                 for i in range(n_ord)]
+
     def side(df: DataFrame, s: int, t: str, order: Sequence[str], mine: list[str],
              other: list[str], osch, mp: str, op: str) -> DataFrame:
         sel = [F.col(key).cast("string").alias("_key"), F.col(t).cast("double").alias("_t"),
                F.lit(s).alias("_side")]
         for i in range(n_ord):
             src = order[i] if i < len(order) else None
-            sel.append((F.col(src).cast("string") if src else F.lit(None).cast("string"))
-                       .alias(f"_o{i}"))
+            sel.append((F.col(src) if src else F.lit(None)).cast(ord_types[i]).alias(f"_o{i}"))
         sel += [F.col(c).alias(mp + c) for c in mine]
         sel += [F.lit(None).cast(osch[c].dataType).alias(op + c) for c in other]
         return df.select(*sel)
