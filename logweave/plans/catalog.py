@@ -399,6 +399,34 @@ def consume_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select(serde.decode_key("key").alias("key"), "partition", "offset")
 
 
+# Fixed parameter: the moment a "latest" consumer starts (2000-01-01T00:00:00Z).
+LATEST_FROM = 946684800
+
+
+@register("log_write_read")
+def log_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written to a log directory in the shared folder, then read back."""
+    path = sinks.scratch_path(checkpoint_dir(spark), "txn-log")
+    logtable.write_log(_txn_log(spark, sf_dir), path)
+    return logtable.metadata(logtable.read_log(spark, path, [TXN_TOPIC]),
+                             {"txn_id": "string", "amount": "double"})
+
+
+@register("consume_from_latest")
+def consume_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A consumer started with ``latest`` sees only records appended after the
+    per-partition high-water marks of the log as it was when it started."""
+    t = fx.transactions(spark, sf_dir)
+    rec = logtable.to_records(t, TXN_TOPIC, "txn_id", F.struct("txn_id", "amount", "event_epoch"),
+                              F.col("event_epoch"),
+                              partition=F.pmod(F.col("txn_id").cast("bigint"), F.lit(3)))
+    snapshot = logtable.assign_offsets(rec.filter(F.col("timestamp") <
+                                                  F.lit(LATEST_FROM).cast("timestamp")))
+    log = logtable.assign_offsets(rec)
+    seen = logtable.starting_from(log, "latest", snapshot=snapshot)
+    return seen.select(serde.decode_key("key").alias("key"), "partition", "offset")
+
+
 @register("topic_union")
 def topic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = fx.order_events(spark, sf_dir).select(

@@ -656,6 +656,10 @@ FROM ({_TXN_LOG}) l""", "transactions")
 ORACLE["consume_first_n"] = with_views(f"""
 SELECT key, "partition", "offset" FROM ({_TXN_LOG}) l
 ORDER BY event_epoch, "partition", "offset" LIMIT 100""", "transactions")
+ORACLE["log_write_read"] = ORACLE["message_metadata"]
+ORACLE["consume_from_latest"] = with_views(f"""
+SELECT key, "partition", "offset" FROM ({_TXN_LOG}) l
+WHERE event_epoch >= 946684800""", "transactions")
 ORACLE["topic_union"] = with_views("""
 SELECT 'stream.order_events.v1' AS topic, order_id AS key, amount, order_epoch AS event_epoch
 FROM order_events
