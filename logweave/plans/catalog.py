@@ -59,7 +59,7 @@ def kpi_1m_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.struct("event_id", "type", "user_id", "product", "event_epoch",
                                        "amount"),
                               F.col("event_epoch"))
-    d = spread(rec).select("timestamp", serde.decode_value("value").alias("d"))
+    d = logtable.decode_messages(spread(rec).select("timestamp", "value"), out="d")
     v = F.col("d.json")
     msgs = d.filter(serde.is_object(v)).select(
         serde.get_or_default(v, "type", "string", "page_view").alias("type"),
@@ -329,8 +329,8 @@ ORDER_SCHEMA = {
 
 @register("decode_best_effort")
 def decode_best_effort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(fx.raw_messages(spark, sf_dir)).select("off",
-                                                      serde.decode_value("value").alias("d"))
+    d = logtable.decode_messages(spread(fx.raw_messages(spark, sf_dir)).select("off", "value"),
+                                 out="d")
     return d.select("off", F.col("d.kind").alias("kind"), F.col("d.text").alias("text"),
                     serde.json_kind(F.col("d.json")).alias("json_kind"))
 

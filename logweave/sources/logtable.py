@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from logweave.functions.serde import decode_key, encode_value, parse_json
+from logweave.functions.materialize import computed
+from logweave.functions.serde import decode_key, decode_value, encode_value, parse_json
 from logweave.operators.scan import global_positions
 
 HEADER = T.StructType([T.StructField("key", T.StringType()),
@@ -176,3 +177,11 @@ def tag_topic(df: DataFrame, topic: str) -> DataFrame:
 def per_key_order(partition_col: str = "partition", offset_col: str = "offset"):
     """Window spec ordering one key's records by log position (D4)."""
     return Window.partitionBy("key").orderBy(partition_col, offset_col)
+
+
+def decode_messages(log: DataFrame, value_col: str = "value", out: str = "msg") -> DataFrame:
+    """Consumer-side best-effort decode (FN1) as a column ``out``
+    (struct<kind, text, json, raw>), evaluated once per record.  Field
+    accesses and filters on ``out`` reuse the one parse instead of repeating
+    it (see :mod:`logweave.functions.materialize`)."""
+    return computed(log, {out: decode_value(value_col)})
