@@ -154,12 +154,13 @@ def first_n(log: DataFrame, n: int) -> DataFrame:
 def metadata(log: DataFrame, payload_fields: dict[str, str] | None = None) -> DataFrame:
     """Message metadata projection (SRC9): key (text), partition, offset,
     timestamp (epoch s) and selected payload fields (``name -> type``)."""
-    v = parse_json(F.when(F.is_valid_utf8("value"), F.col("value").cast("string")))
+    parsed = computed(log, {"_v": parse_json(F.when(F.is_valid_utf8("value"),
+                                                    F.col("value").cast("string")))})
     cols = [decode_key("key").alias("key"), "partition", "offset",
             (F.unix_micros("timestamp") / F.lit(1e6)).alias("ts")]
     for name, typ in (payload_fields or {}).items():
-        cols.append(F.try_variant_get(v, f"$.{name}", typ).alias(name))
-    return log.select(*cols)
+        cols.append(F.try_variant_get("_v", f"$.{name}", typ).alias(name))
+    return parsed.select(*cols)
 
 
 def union_topics(*logs: DataFrame) -> DataFrame:
