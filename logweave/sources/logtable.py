@@ -95,9 +95,16 @@ def assign_offsets(records: DataFrame, order: Sequence[str] = ("timestamp",),
     return out.withColumn("offset", off.cast("bigint")).select(*LOG_COLUMNS)
 
 
-def write_log(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Append records to a log directory, laid out by topic and partition."""
-    (records.select(*LOG_COLUMNS).repartition("topic", "partition")
+def write_log(records: DataFrame, path: str, mode: str = "append",
+              num_files: int | None = None) -> None:
+    """Append records to a log directory, one sub-directory per topic.
+
+    Files are cut by a range shuffle on ``(topic, partition, offset)``: each
+    file holds one contiguous offset range, and a large log partition is
+    spread over many writers instead of one task per log partition."""
+    n = num_files or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (records.select(*LOG_COLUMNS)
+     .repartitionByRange(n, "topic", "partition", "offset")
      .sortWithinPartitions("topic", "partition", "offset")
      .write.mode(mode).partitionBy("topic").parquet(path))
 
