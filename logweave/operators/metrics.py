@@ -14,7 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from logweave.functions.numeric import ratio_round, round_dp
 from logweave.operators.scan import global_positions
@@ -60,16 +59,15 @@ def nearest_rank_percentiles(df: DataFrame, group_cols: Sequence[str], value_col
     """
     g = list(group_cols)
     vals = df.filter(F.col(value_col).isNotNull())
-    counts = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("measured"),
-                                  F.max(value_col).alias("max"))
-    # Start offset of each group in the global (group, value) order.  One
-    # row per group; a grouped report has few groups.
-    before = Window.orderBy(*g).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_start", F.coalesce(F.sum("measured").over(before), F.lit(0)))
-    targets = starts.select(*g, "measured", "max", "_start", *[
+    pos = global_positions(vals.select(*g, value_col, *tiebreak), [*g, value_col, *tiebreak])
+    # A group's rows are contiguous in the global order, so its start is its
+    # smallest position: a partially aggregated group-by, no window.
+    targets = pos.groupBy(*g).agg(F.count(F.lit(1)).alias("measured"),
+                                  F.max(value_col).alias("max"),
+                                  (F.min("_pos") - 1).alias("_start"))
+    targets = targets.select(*g, "measured", "max", "_start", *[
         F.rint(F.lit(p / 100.0) * (F.col("measured") - 1)).cast("bigint").alias(f"_k{i}")
         for i, p in enumerate(pcts)])
-    pos = global_positions(vals.select(*g, value_col, *tiebreak), [*g, value_col, *tiebreak])
     # Wanted rows, addressed by their unique global position: the join key
     # is unique, so even a group holding most rows spreads evenly.
     wanted = targets.select(*g, F.explode(F.array(*[
