@@ -182,3 +182,19 @@ def test_replayed_batch_applied_once(spark):
     rows = sorted((r.transfer_id, r.amount) for r in spark.read.parquet(f"{root}/ledger")
                   .collect())
     assert rows == [("a", 1.0), ("b", 2.0)]
+
+
+def test_keyed_state_dedup_emits_each_id_once(spark):
+    from logweave.operators import exactly_once as eo
+    root = tempfile.mkdtemp(prefix="logweave-keyed-")
+    fx.transfers_staged(spark, SF).write.parquet(f"{root}/staged")
+    staged = spark.readStream.schema(spark.read.parquet(f"{root}/staged").schema) \
+        .parquet(f"{root}/staged")
+    committed = eo.read_committed(staged, fx.txn_markers(spark, SF))
+    out = jobs.run_available(jobs.dedup_keyed_stream(committed, "transfer_id"), "keyed",
+                             base=root)
+    ids = [r.transfer_id for r in out.collect()]
+    batch = eo.first_occurrence(eo.read_committed(fx.transfers_staged(spark, SF),
+                                                  fx.txn_markers(spark, SF)), "transfer_id")
+    assert len(ids) == len(set(ids))
+    assert set(ids) == {r.transfer_id for r in batch.collect()}
