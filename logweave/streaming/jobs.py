@@ -9,7 +9,11 @@
   watermarks bound the join state (JN3, STR5).
 * ``dedup_stream``: read-committed transfers deduplicated against a ledger
   in ``foreachBatch`` (EO2, EO3, SNK5, EO4).
-* ``cdc_stream`` / ``dlq_stream``: ``foreachBatch`` replica and DLQ routing.
+* ``dedup_keyed_stream``: the same with Spark's keyed state (no ledger scans).
+* ``consume_stream``: consume-on-match join as a custom stateful operator
+  (``applyInPandasWithState``, event-time expiry).
+* CDC replica and DLQ routing: ``foreachBatch`` sinks in
+  :mod:`logweave.streaming.sinks`.
 
 ``run_available`` drives a query with ``availableNow`` into a Parquet table
 and returns that table, so a stream can be checked against the batch result.
