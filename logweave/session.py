@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     # Window and join state off the JVM heap, checkpointed incrementally.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Per-batch state checkpoints write the changes, not a full snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
