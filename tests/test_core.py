@@ -150,3 +150,24 @@ def test_kafka_options():
 def test_whatif_unknown_scenario(spark):
     with pytest.raises(ValueError):
         es.whatif(spark.range(1), "drop-everything")
+
+
+def test_kafka_security_and_topic_guard(spark):
+    s = kafka.KafkaSettings(security_protocol="SASL_SSL", sasl_mechanism="PLAIN",
+                            sasl_username="u", sasl_password="p")
+    opts = kafka.client_options(s, "consumer")
+    assert opts["kafka.security.protocol"] == "SASL_SSL"
+    assert opts["kafka.sasl.mechanism"] == "PLAIN" and 'username="u"' in opts["kafka.sasl.jaas.config"]
+    assert "kafka.enable.auto.commit" not in opts and "kafka.auto.offset.reset" not in opts
+    with pytest.raises(ValueError):
+        kafka.write_kafka(spark.range(1).selectExpr("CAST(id AS STRING) AS value"),
+                          kafka.KafkaSettings())
+
+
+def test_snapshot_diff_envelope(spark):
+    old = spark.createDataFrame([(1, "a")], "id long, status string")
+    new = spark.createDataFrame([(1, "b"), (2, "c")], "id long, status string")
+    rows = cdc.snapshot_diff(old, new, ts_ms=F.lit(123).cast("long")).orderBy("op").collect()
+    assert [r.op for r in rows] == ["c", "u"]
+    assert rows[0].source.table == "orders" and rows[0].ts_ms == 123
+    assert rows[1].before.status == "a" and rows[1].after.status == "b"
