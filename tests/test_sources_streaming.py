@@ -198,3 +198,25 @@ def test_keyed_state_dedup_emits_each_id_once(spark):
                                                   fx.txn_markers(spark, SF)), "transfer_id")
     assert len(ids) == len(set(ids))
     assert set(ids) == {r.transfer_id for r in batch.collect()}
+
+
+def test_kpi_stream_drops_rows_behind_the_watermark(spark):
+    """STR3: once the watermark (max event time - 2 s) passes a window's end
+    the window is emitted; a later row for it is dropped, not re-opened."""
+    root = tempfile.mkdtemp(prefix="logweave-wm-")
+    schema = "event_epoch double, type string, amount double"
+    # Spark evicts a window at the end of the batch after the one that moved
+    # the watermark past it (the watermark lags one batch), so the late rows
+    # come two batches after the 1000 s event.
+    for i, rows in enumerate([[(100.0, "page_view", None)], [(1000.0, "page_view", None)],
+                              [(1001.0, "signup", None)],
+                              [(50.0, "purchase", 9.0), (110.0, "purchase", 5.0)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/in/b{i}")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{root}/in/*"))
+    out = jobs.run_available(jobs.kpi_stream(stream, 60), "wm", base=root)
+    got = {r.window_start: (r.page_views, r.purchases) for r in out.collect()}
+    # [60, 120) closed with its single view; both late purchases (50 s and
+    # 110 s) came after the watermark reached 998 s and were dropped; the
+    # window of the 1000 s event is still open.
+    assert got == {60: (1, 0)}
