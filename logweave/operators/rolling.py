@@ -88,7 +88,8 @@ def rolling_series(df: DataFrame, window_s: int = 60, epoch_col: str = "event_ep
     them); :func:`prefix_sums` evaluates all probes in parallel.
 
     Output: event_id, event_epoch, page_views, add_to_carts, purchases, gmv,
-    window_count.
+    window_count.  ``id_col`` must be unique per event (the two probes of an
+    event are paired by it).
     """
     w = float(window_s)
     typ = _c(type_col)
