@@ -4,6 +4,7 @@ checkpoint directory lookup used by operators that cut lineage."""
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,6 +39,9 @@ def build_session(master: str | None = None, app: str = "logweave",
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if not os.environ.get("PYSPARK_PYTHON"):
+        # Python workers run the driver's interpreter (same pandas/pyarrow).
+        conf.setdefault("spark.pyspark.python", sys.executable)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
