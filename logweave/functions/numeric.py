@@ -20,6 +20,7 @@ def _c(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
+    """A money column as DECIMAL with two places."""
     return _c(c).cast(MONEY)
 
 

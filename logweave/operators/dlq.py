@@ -83,6 +83,7 @@ def validation_error(value: Column | str, required: Sequence[str] = REQUIRED_FIE
 
 
 def valid_rows(classified: DataFrame) -> DataFrame:
+    """Rows that passed validation (the main flow)."""
     return classified.filter(F.col("error").isNull())
 
 

@@ -27,6 +27,7 @@ def _c(c: Column | str) -> Column:
 
 
 def resolve_asof(df: DataFrame, epoch_col: str, asof: float | Column | None) -> Column:
+    """``asof`` as a Column; by default ``max(epoch_col)`` as a scalar subquery."""
     if asof is None:
         return df.select(F.max(epoch_col)).scalar()
     return asof if isinstance(asof, Column) else F.lit(float(asof))

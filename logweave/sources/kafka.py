@@ -97,6 +97,7 @@ def _kafka_available(spark: SparkSession) -> bool:
 
 def read_kafka(spark: SparkSession, settings: KafkaSettings, topics: str | Sequence[str],
                streaming: bool = True, **kw: Any) -> DataFrame:
+    """Kafka source (SRC1) with the consumer options; needs the connector jar."""
     if not _kafka_available(spark):
         raise RuntimeError("spark-sql-kafka connector is not on the classpath")
     r = spark.readStream if streaming else spark.read

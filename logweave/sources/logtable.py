@@ -179,6 +179,7 @@ def union_topics(*logs: DataFrame) -> DataFrame:
 
 
 def tag_topic(df: DataFrame, topic: str) -> DataFrame:
+    """Add a literal ``topic`` column (a single-topic source for ST1)."""
     return df.withColumn("topic", F.lit(topic))
 
 

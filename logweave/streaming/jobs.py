@@ -102,6 +102,8 @@ def run_available(df: DataFrame, name: str, mode: str = "append",
 
 
 def run_foreach(df: DataFrame, name: str, fn, base: str | None = None) -> None:
+    """Run a streaming DataFrame to completion (``availableNow``) through a
+    ``foreachBatch`` function, checkpointed under the shared folder."""
     spark = df.sparkSession
     root = base or checkpoint_dir(spark)
     q = (df.writeStream.foreachBatch(fn)

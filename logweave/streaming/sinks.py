@@ -38,6 +38,7 @@ def _list_dirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def batch_committed(spark: SparkSession, marker_path: str, query: str, batch_id: int) -> bool:
+    """True when ``(query, batch_id)`` is already in the marker table."""
     if not _exists(spark, marker_path):
         return False
     m = spark.read.parquet(marker_path)
@@ -46,6 +47,7 @@ def batch_committed(spark: SparkSession, marker_path: str, query: str, batch_id:
 
 
 def commit_batch(spark: SparkSession, marker_path: str, query: str, batch_id: int) -> None:
+    """Record ``(query, batch_id)`` as applied; written after the batch's data."""
     spark.createDataFrame([(query, int(batch_id))], "query string, batch_id long") \
         .write.mode("append").parquet(marker_path)
 
@@ -79,11 +81,13 @@ def ledger_sink(ledger_path: str, marker_path: str, id_col: str, order_col: str
 
 # -------------------------------------------------------- CDC replica (SNK4)
 def latest_version(spark: SparkSession, table_path: str) -> str | None:
+    """Directory of the newest replica version, or None before the first."""
     vs = [d for d in _list_dirs(spark, table_path) if d.startswith("v=")]
     return f"{table_path}/{vs[-1]}" if vs else None
 
 
 def read_replica(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """The current replica (newest version), or None before the first."""
     v = latest_version(spark, table_path)
     return spark.read.parquet(v) if v else None
 
@@ -118,6 +122,7 @@ def dlq_router(main_path: str, dlq_path: str, marker_path: str, source_topic: st
 
 
 def scratch_path(base: str, name: str) -> str:
+    """A fresh, unique sub-path of ``base`` (never reused between runs)."""
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
