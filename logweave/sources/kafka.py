@@ -112,6 +112,8 @@ def write_kafka(df: DataFrame, settings: KafkaSettings, topic: str | None = None
     if not _kafka_available(df.sparkSession):
         raise RuntimeError("spark-sql-kafka connector is not on the classpath")
     w = df.write.format("kafka").options(**client_options(settings, "producer"))
-    if topic is not None:
+    # Spark's ``topic`` option overrides a topic column, so the default is
+    # passed only when rows carry no topic of their own.
+    if topic is not None and "topic" not in df.columns:
         w = w.option("topic", topic)
     w.save()
