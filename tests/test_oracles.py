@@ -55,3 +55,8 @@ def test_query_matches_oracle(spark, con, name):
     drows = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=_key)
     assert len(srows) == len(drows)
     assert srows == drows
+
+
+def test_every_query_has_an_oracle():
+    assert set(se.queries()) == set(se.oracle_sql())
+    assert len(se.queries()) >= 53
