@@ -35,6 +35,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from logweave.llm.common import numbered, small_batches, staged, words
 
@@ -42,7 +43,7 @@ WINDOW = 35
 ROUNDS = 3
 GROUP = 8
 #: An anchor name with more rows than this is verified by a salted plan.
-HOT_ROWS = 20_000
+HOT_ROWS = 100_000
 _CACHE = 500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
@@ -96,6 +97,20 @@ def compress(names: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS) -> tuple
     return names, start
 
 
+def _least(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Place of the smallest key in [lo, hi], the last one of equals."""
+    deep = int((hi - lo + 1).max()).bit_length()
+    tops = [np.arange(len(key))]
+    for k in range(deep - 1):
+        a = tops[-1]
+        b = np.r_[a[1 << k:], np.full(min(1 << k, len(a)), a[-1])]
+        tops.append(np.where(key[b] <= key[a], b, a))
+    tab = np.stack(tops)
+    k = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
+    a, b = tab[k, lo], tab[k, hi - (1 << k) + 1]
+    return np.where(key[b] <= key[a], b, a)
+
+
 def anchors(names: np.ndarray, lengths: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS,
             group: int = GROUP) -> tuple[np.ndarray, ...]:
     """Word names of concatenated texts -> (text, anchor name, first, last window
@@ -118,13 +133,9 @@ def anchors(names: np.ndarray, lengths: np.ndarray, window: int = WINDOW, rounds
     at = np.cumsum(at) - 1                           # name that covers each word
     lo, hi = at[begin + margin], at[begin + window - 1 - margin - (group - 1)]
     fresh = np.r_[True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]
-    l, h = lo[fresh], hi[fresh]
-    best, low = l.copy(), key[l]
-    for d in range(1, int((h - l).max()) + 1):       # at most window - group names
-        i = np.minimum(l + d, len(sym) - 1)
-        better = (l + d <= h) & (key[i] <= low)
-        best[better], low[better] = i[better], key[i[better]]
-    name, place = low[np.cumsum(fresh) - 1], best[np.cumsum(fresh) - 1]
+    best = _least(key, lo[fresh], hi[fresh])
+    place = best[np.cumsum(fresh) - 1]
+    name = key[place]
     t = text_of[begin]
     turn = np.flatnonzero(np.r_[True, (name[1:] != name[:-1]) | (t[1:] != t[:-1])])
     last = np.r_[turn[1:], len(begin)] - 1
@@ -196,13 +207,13 @@ def _packed(window: int):
 
 
 def _window_hashes(window: int):
-    """mapInArrow body: t, z, r (anchor rows) -> key, t, lo, hs (hash of each window
-    from lo on)."""
+    """mapInArrow body: rid, z, r (anchor rows) -> key, rid, lo, hot, hs (hash of each
+    window from lo on)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, names = zstandard.ZstdDecompressor().decompress, _Names()
         for b in batches:
-            ts, parts, keys, los, lens = [], [], [], [], []
+            ts, parts, keys, los, lens, hots = [], [], [], [], [], []
             rows = b.column(2)
             for i in range(b.num_rows):
                 ws = unpack(b.column(1)[i].as_py()).split(b" ")
@@ -217,6 +228,7 @@ def _window_hashes(window: int):
                 keys.append(k)
                 los.append(lo)
                 lens.append(n)
+                hots.append(r.field(3).to_numpy(zero_copy_only=False))
                 ts.append(np.full(len(k), i))
             z = np.zeros(0, np.int64)
             which = np.concatenate([*ts, z]).astype(np.int64)
@@ -224,9 +236,10 @@ def _window_hashes(window: int):
                 [pa.array(np.concatenate([*keys, z]).astype(np.int64)),
                  b.column(0).take(pa.array(which)),
                  pa.array(np.concatenate([*los, z]).astype(np.int32)),
+                 pa.array(np.concatenate([*hots, z]).astype(bool)),
                  _lists(np.concatenate([*lens, z]),
                         np.concatenate([*parts, z.astype(np.uint64)]).view(np.int64), pa.int64())],
-                ["key", "t", "lo", "hs"])
+                ["key", "rid", "lo", "hot", "hs"])
 
     return run
 
@@ -256,16 +269,22 @@ def _kept(window: int):
     return run
 
 
-def _repeated(rows: DataFrame, salted: bool) -> DataFrame:
-    """key, t, lo, hs -> t, p: the windows whose hash stands at two places.  Plainly,
-    equal anchors meet in one partition; salted, windows are counted map-side first
-    and joined back by a join that Spark can split."""
-    if not salted:
-        rows = rows.repartition("key")
-    wins = rows.select("key", "t", "lo", F.posexplode("hs").alias("i", "h"))
+def _repeated(rows: DataFrame) -> DataFrame:
+    """key, rid, lo, hs -> rid, p: the windows whose hash stands at two places.  Equal
+    anchors meet in one partition; a group has at most HOT_ROWS rows."""
+    wins = rows.repartition("key").select("key", "rid", "lo", F.posexplode("hs").alias("i", "h"))
+    n = F.count("*").over(Window.partitionBy("key", "h"))
+    return wins.withColumn("n", n).filter("n > 1").select(
+        "rid", (F.col("lo") + F.col("i")).alias("p"))
+
+
+def _repeated_hot(rows: DataFrame) -> DataFrame:
+    """The same for anchors of any number: windows are counted map-side first and
+    joined back by a join that Spark can split."""
+    wins = rows.select("key", "rid", "lo", F.posexplode("hs").alias("i", "h"))
     twice = wins.groupBy("key", "h").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     return wins.join(twice, ["key", "h"], "left_semi").select(
-        "t", (F.col("lo") + F.col("i")).alias("p"))
+        "rid", (F.col("lo") + F.col("i")).alias("p"))
 
 
 def _sources(docs: DataFrame, window: int, id_col: str, text_col: str):
@@ -283,24 +302,23 @@ def repeated_places(base: DataFrame, texts: DataFrame, window: int = WINDOW,
                     hot_rows: int = HOT_ROWS) -> DataFrame:
     """t, p: the starts of the windows of each distinct text that stand elsewhere too,
     in it or in another text."""
-    rows = base.select("sha", F.inline(F.arrays_zip("ak", "alo", "ahi", "am"))
+    rows = base.select("rid", F.inline(F.arrays_zip("ak", "alo", "ahi", "am"))
                        .alias("key", "lo", "hi", "m"))
     names = staged(rows.groupBy("key").agg(F.sum("m").alias("n")).filter("n > 1"), "substr-names")
-    whose = rows.select(F.unhex(F.substring("sha", 1, 32)).alias("t"), "key", "lo", "hi")
-    cand = staged(whose.join(names.select("key", (F.col("n") > hot_rows).alias("hot")), "key")
-                  .groupBy("t", "hot").agg(F.collect_set(F.struct("key", "lo", "hi")).alias("r")),
-                  "substr-cand")
-
-    def verified(hot: bool) -> DataFrame:
-        r = cand.filter(F.col("hot") == hot).select("t", "r")
-        w = texts.join(r, "t").mapInArrow(_window_hashes(window),
-                                          "key bigint, t binary, lo int, hs array<bigint>")
-        return _repeated(staged(w, "substr-hot") if hot else w, hot)
-
-    found = verified(False)
-    if names.filter(F.col("n") > hot_rows).limit(1).count():
-        found = found.unionByName(verified(True))
-    return staged(found.groupBy("t").agg(F.collect_set("p").alias("p")), "substr-places")
+    hot = F.col("n") > hot_rows
+    per = (rows.drop("m").join(names.select("key", hot.alias("hot")), "key").groupBy("rid")
+           .agg(F.collect_list(F.struct("key", "lo", "hi", "hot")).alias("r")))
+    ids = base.select("rid", F.unhex(F.substring("sha", 1, 32)).alias("t"))
+    cand = staged(per.join(ids, "rid").dropDuplicates(["t"]), "substr-cand")
+    wins = texts.join(cand, "t").select("rid", "z", "r").mapInArrow(
+        _window_hashes(window), "key bigint, rid bigint, lo int, hot boolean, hs array<bigint>")
+    if names.filter(hot).limit(1).count():
+        wins = staged(wins, "substr-windows")
+        found = _repeated(wins.filter("not hot")).unionByName(_repeated_hot(wins.filter("hot")))
+    else:
+        found = _repeated(wins)
+    places = staged(found.groupBy("rid").agg(F.collect_list("p").alias("p")), "substr-places")
+    return places.join(cand.select("rid", "t"), "rid").select("t", "p")
 
 
 def _check(window: int) -> None:
