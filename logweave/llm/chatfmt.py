@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import numbered, small_batches, staged
+from logweave.llm.common import hash_sample, numbered, small_batches, staged
 from logweave.operators.scan import pinned
 
 ROLES = ("assistant", "system", "tool", "user")
@@ -88,8 +88,9 @@ def split_turns(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
 
 def train(units: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
     """Log probabilities: start (S), step (S, S), and one table per feature."""
-    rows = units.orderBy(F.xxhash64("conv_id"), "conv_id", "turn", "rid", "sub").limit(sample) \
-        .select("conv_id", "role", "mark", "size", "lines", "ask").collect()   # <= sample
+    units = units.select("conv_id", "turn", "rid", "sub", "role", "mark", "size", "lines", "ask")
+    rows = hash_sample(units, ["conv_id"], sample,
+                       order=["conv_id", "turn", "rid", "sub"]).collect()      # <= sample
     S = len(ROLES)
     start, step = np.full(S, .1), np.full((S, S), .1)
     step[0, 3] += 1

@@ -47,3 +47,16 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 def words(text: Column) -> Column:
     """The words of a text (runs of non-space characters); null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
+
+
+def hash_sample(df: DataFrame, keys: list[str], n: int, total: int | None = None,
+                order: list[str] | None = None) -> DataFrame:
+    """At most ``n`` rows, the same on every run: the lowest by hash of ``keys``.
+
+    With more than ``4 n`` rows a hash threshold first leaves about ``4 n``, so that
+    the final ordering never gathers ``n`` rows of every partition."""
+    total = df.count() if total is None else total
+    h = F.xxhash64(*keys)
+    if total > 4 * n:
+        df = df.filter(F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(1 << 30)) < int(4 * n / total * (1 << 30)))
+    return df.orderBy(h, *(order or keys)).limit(n)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import staged
+from logweave.llm.common import hash_sample, staged
 
 #: Bound on the paragraphs that training and calibration read.
 SAMPLE = 6_000
@@ -89,14 +89,18 @@ def _notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "class string, w array<string>, fold int")
 
 
-def train(docs_paragraphs: DataFrame, sample: int = SAMPLE):
-    """(model, vocabulary, classes, threshold)."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE):
+    """(model, vocabulary, classes, threshold).  Paragraphs for no licence come from
+    at most ``sample`` documents."""
     from pyspark.ml.classification import LogisticRegression
-    spark = docs_paragraphs.sparkSession
+    spark = docs.sparkSession
+    some = hash_sample(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),
+                       ["doc_id"], sample, total=docs.count(), order=["doc_id"])
+    some = staged(some, "licence-docs")
     made = _notices(spark)
     names = sorted({w for ns in FAMILIES.values() for n in ns for w in n.split()}
                    - {"0", "1", "2", "3", "4", "all", "by", "the", "new", "public", "general"})
-    plain = docs_paragraphs.filter(~F.arrays_overlap("w", F.array(*map(F.lit, names)))) \
+    plain = paragraphs(some).filter(~F.arrays_overlap("w", F.array(*map(F.lit, names)))) \
         .select(F.slice("w", 1, MAX_WORDS).alias("w"), F.xxhash64("doc_id", "par").alias("o")) \
         .orderBy("o").limit(sample).select(F.lit(NONE).alias("class"), "w", "o")
     rows = staged(made.unionByName(plain.select("class", "w", F.pmod("o", F.lit(4)).cast("int")
@@ -139,7 +143,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     paragraph that is a licence notice."""
     from pyspark.ml.functions import vector_to_array
     pars = paragraphs(docs, id_col, text_col)
-    model, vocabulary, classes, least = train(pars, sample)
+    model, vocabulary, classes, least = train(docs, id_col, text_col, sample)
     # A notice is short; a long paragraph is judged by its best window.
     step = MAX_WORDS // 2
     wins = pars.withColumn("w", F.explode(F.transform(

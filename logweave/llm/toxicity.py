@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import small_batches, staged
+from logweave.llm.common import hash_sample, small_batches, staged
 
 #: Bound on the labelled documents that training reads.
 SAMPLE = 8_000
@@ -109,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     small_batches(docs.sparkSession)
     lab = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("y"))
     lab = lab.filter(F.col("y").isin(0.0, 1.0) & ~held_out(F.col("doc_id"))).distinct()
-    lab = lab.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)   # at most ``sample`` rows
+    lab = hash_sample(lab, ["doc_id"], sample, order=["doc_id", "y"])     # at most ``sample`` rows
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
         .filter(F.col("text").isNotNull())
     rows = staged(d.join(F.broadcast(lab), "doc_id").dropDuplicates(["doc_id", "y"])
