@@ -137,9 +137,13 @@ def benchmark_matches(docs: DataFrame, tokens: DataFrame, index_limit: int = IND
     base = numbered(docs.select("doc_id", "text"), "decon-text")
     ws = base.select("rid", "doc_id", bench_words(F.col("text")).alias("ws"))
     lens = [r.k for r in tokens.select("k").distinct().collect()]     # at most SHINGLE values
-    parts = [ws.filter(F.size("ws") >= k).select("rid", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.size("ws") - k + 1),
-        lambda i, k=k: F.array_join(F.slice("ws", i, k), " "))).alias("p", "s")) for k in lens]
+
+    def shingled(k: int) -> DataFrame:
+        at = F.sequence(F.lit(1), F.size("ws") - k + 1)
+        return ws.filter(F.size("ws") >= k).select("rid", F.posexplode(F.transform(
+            at, lambda i: F.array_join(F.slice("ws", i, k), " "))).alias("p", "s"))
+
+    parts = [shingled(k) for k in [*lens, *[SHINGLE] * (not lens)]]
     at = parts[0]
     for x in parts[1:]:
         at = at.unionByName(x)
