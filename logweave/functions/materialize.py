@@ -19,16 +19,3 @@ def computed(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     """``df`` plus ``cols``, each evaluated exactly once per row."""
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster before CPU-heavy per-row work, but
-    only when its input has fewer partitions than the default parallelism
-    (e.g. one small single-row-group file).  Large inputs already arrive as
-    many splits and are returned unchanged, so no shuffle is added at scale.
-    Streaming DataFrames are returned unchanged."""
-    if df.isStreaming:
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)

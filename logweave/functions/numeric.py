@@ -37,12 +37,14 @@ def ratio_round(num: Column | str, den: Column | str, digits: int,
     """``round(num / den, digits)`` half-up from exact integers; ``zero_value``
     when ``den`` is 0 (reference: ``(a / b) if b else 0.0``).  Inputs are
     non-negative integer counts."""
-    n, d = _c(num).cast("bigint"), _c(den).cast("bigint")
+    n, d = _c(num).cast("decimal(38,0)"), _c(den).cast("decimal(38,0)")
     scale = 10 ** digits
-    a = F.lit(2) * n * F.lit(scale) + d
-    b = F.lit(2) * d
-    k = (a - F.pmod(a, b)) / b          # exact integer quotient floor(a / b)
-    return F.when(d == 0, F.lit(float(zero_value))).otherwise(k / F.lit(float(scale)))
+    a = (n * F.lit(2 * scale)).cast("decimal(38,0)") + d
+    b = (d * F.lit(2)).cast("decimal(38,0)")
+    # Whole part of a / b, then the decimal point: exact in DECIMAL, of any size.
+    k = ((a - a % b).cast("decimal(38,0)") / F.when(d != 0, b)).cast("decimal(38,0)")
+    return F.when(d == 0, F.lit(float(zero_value))).otherwise(
+        (k / F.lit(scale).cast("decimal(10,0)")).cast("double"))
 
 
 def round_dp(c: Column | str, digits: int) -> Column:

@@ -117,21 +117,25 @@ def map_to_headers(m: dict[str, Column | str]) -> Column:
 # ----------------------------------------------------------- encode (FN2)
 def encode_value(value: Column | str, data_type: str | None = None) -> Column:
     """FN2: NULL -> empty bytes, BINARY as-is, STRING as UTF-8, anything else
-    as compact JSON (non-ASCII characters kept)."""
+    as compact JSON (non-ASCII characters and null members kept)."""
     v = _c(value)
     if data_type == "binary":
         out = v
     elif data_type == "string":
         out = F.encode(v, "UTF-8")
     else:
-        out = F.encode(F.to_json(v), "UTF-8")
+        out = F.encode(F.to_json(v, {"ignoreNullFields": "false"}), "UTF-8")
     return F.coalesce(out, F.lit(b"").cast("binary"))
 
 
 # --------------------------------------------------- field access (FN5-FN7)
 def member_path(field: str) -> str:
-    """VARIANT path of an object member (bracket form: any key text)."""
-    return "$['" + field.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    """VARIANT path of an object member.  Path texts have no escapes, so the form is
+    chosen by the characters of the key; a key that fits none raises."""
+    for bad, form in (("'?", "$['{}']"), ('"?', '$["{}"]'), (".[", "$.{}")):
+        if field and not set(bad) & set(field):
+            return form.format(field)
+    raise ValueError(f"no path for member {field!r}")
 
 
 def has_field(v: Column, field: str) -> Column:
@@ -143,16 +147,18 @@ def has_field(v: Column, field: str) -> Column:
 def get_or_default(v: Column, field: str, type_name: str, default) -> Column:
     """FN5: ``value.get(field, default)``: the default applies only when the
     key is missing; an explicit JSON null stays NULL."""
-    return F.when(has_field(v, field), F.try_variant_get(v, f"$.{field}", type_name)) \
+    return F.when(has_field(v, field), F.try_variant_get(v, member_path(field), type_name)) \
         .otherwise(F.lit(default).cast(type_name))
 
 
 def to_number(v: Column, field: str) -> Column:
     """FN6: numeric coercion; numeric strings parse, anything else -> NULL
     (callers route NULLs to an error output instead of reading them as 0)."""
-    return F.try_variant_get(v, f"$.{field}", "double")
+    return F.try_variant_get(v, member_path(field), "double")
 
 
 def nested(v: Column, path: str, type_name: str = "variant") -> Column:
-    """FN7: nested access, e.g. ``nested(v, "payload.amount", "double")``."""
-    return F.try_variant_get(v, f"$.{path}", type_name)
+    """FN7: nested access, e.g. ``nested(v, "payload.amount", "double")``; dots
+    separate members."""
+    return F.try_variant_get(v, "$" + "".join(member_path(p)[1:] for p in path.split(".")),
+                             type_name)

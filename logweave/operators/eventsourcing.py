@@ -192,26 +192,19 @@ def fold_states(df: DataFrame, id_col: str = "aggregate_id", seq_col: str = "seq
     Output: order_id, status, paid (DOUBLE), amount (null without a create).
     The main path is one partially aggregated pass.  Aggregates holding a
     negative payment are found by an event-level filter (``amount < 0``
-    reaches the Parquet scan and its statistics) and folded exactly with
-    running sums from :func:`segmented_scan` (no per-aggregate window); for
-    ordinary logs that set is empty, which a one-row probe establishes before
-    the exact path is planned at all.
+    reaches the Parquet scan) and folded exactly with running sums.  Both
+    branches are always planned; nothing runs before the action, and adaptive
+    execution drops the exact branch when no such aggregate exists.
     """
     et, amt = F.col("event_type"), F.col("amount")
-    neg_ids = df.filter((et == PAYMENT) & (amt < 0)).select(id_col).distinct()
     aggs = df.groupBy(F.col(id_col).alias("order_id")).agg(*_fold_aggs(id_col, seq_col))
     simple = aggs.filter(~F.coalesce(F.col("_neg"), F.lit(False))).select(
         "order_id", _status_from_aggs().alias("status"),
         F.col("_paid").cast("double").alias("paid"), "amount")
-    if neg_ids.isEmpty():
-        # A one-row probe: with ``amount < 0`` pushed into the scan, Parquet
-        # statistics usually skip every row group.
-        return simple
-    hard = running_state_scan(df.join(neg_ids, id_col, "left_semi"), id_col, seq_col)
-    has_cand = F.col("_cand").isNotNull()
+    neg_ids = df.filter((et == PAYMENT) & (amt < 0)).select(id_col).distinct()
+    hard = running_state(df.join(neg_ids, id_col, "left_semi"), id_col, seq_col)
     last = hard.groupBy(F.col(id_col).alias("order_id")).agg(
-        F.coalesce(F.max_by("_cand", F.when(has_cand, F.col(seq_col))), F.lit("UNKNOWN"))
-        .alias("status"),
+        F.max_by("status", F.col(seq_col)).alias("status"),
         F.coalesce(F.sum(F.when(F.col("event_type") == PAYMENT, F.col("amount").cast(MONEY))),
                    F.lit(0).cast(MONEY)).cast("double").alias("paid"),
         F.max_by(F.when(F.col("event_type") == CREATED, F.col("amount")),

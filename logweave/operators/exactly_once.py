@@ -13,6 +13,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,26 +23,39 @@ COMMIT = "commit"
 
 
 def read_committed(staged: DataFrame, markers: DataFrame, txn_col: str = "txn_id") -> DataFrame:
-    """Rows of committed transactions only (EO2)."""
-    committed = markers.filter(F.col("state") == COMMIT).select(txn_col)
-    return staged.join(committed, txn_col, "left_semi")
+    """Rows of committed transactions only (EO2); where both tables name an
+    ``attempt``, only the rows of the attempt that was committed."""
+    on = [txn_col] + ["attempt"] * ("attempt" in staged.columns and "attempt" in markers.columns)
+    committed = markers.filter(F.col("state") == COMMIT).select(*on)
+    return staged.join(committed, on, "left_semi")
 
 
-def commit_marker(spark, txn_id, state: str = COMMIT) -> DataFrame:
+def commit_marker(spark, txn_id, attempt: str, state: str = COMMIT) -> DataFrame:
     """One marker row, written after the transaction's rows (EO1)."""
-    return spark.createDataFrame([(txn_id, state)], "txn_id long, state string")
+    return spark.createDataFrame([(txn_id, attempt, state)],
+                                 "txn_id long, attempt string, state string")
 
 
 def publish_atomic(rows: DataFrame, txn_id: int, staged_path: str, markers_path: str,
                    commit: bool = True) -> None:
     """Transactional publish on a log table (EO1): the rows are appended with
-    their ``txn_id`` first and the commit marker last, so a failure in
-    between leaves a transaction that :func:`read_committed` never shows.
-    ``commit=False`` is an explicit abort (no marker)."""
-    rows.withColumn("txn_id", F.lit(txn_id).cast("long")).write.mode("append") \
-        .parquet(staged_path)
+    their ``txn_id`` and an attempt id first and the commit marker, which names the
+    attempt, last.  A failure in between leaves rows that :func:`read_committed`
+    never shows, also after a retry under the same ``txn_id``; a transaction already
+    committed is not published again.  ``commit=False`` is an explicit abort (no
+    marker)."""
+    spark, mine = rows.sparkSession, uuid.uuid4().hex
+    try:
+        done = spark.read.parquet(markers_path).filter(
+            (F.col("txn_id") == txn_id) & (F.col("state") == COMMIT)).limit(1).count()
+    except AnalysisException:       # no marker table yet
+        done = 0
+    if done:
+        return
+    rows.withColumns({"txn_id": F.lit(txn_id).cast("long"), "attempt": F.lit(mine)}) \
+        .write.mode("append").parquet(staged_path)
     if commit:
-        commit_marker(rows.sparkSession, txn_id).write.mode("append").parquet(markers_path)
+        commit_marker(spark, txn_id, mine).write.mode("append").parquet(markers_path)
 
 
 def first_occurrence(df: DataFrame, id_col: str, order_col: str = "off",

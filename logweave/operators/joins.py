@@ -23,7 +23,6 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from logweave.operators.scan import pinned
 
@@ -61,6 +60,8 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
     Rows with ``matched = false`` are left records that never joined (they
     were superseded or no partner came within the bound; JN4).
 
+    Records without a key (null or empty) or time are skipped.
+
     Between two events of a key the join state is one of four values
     (pending left? pending right?); the pending records themselves are always
     the latest record of that side so far.  Rows are range-partitioned on
@@ -68,11 +69,12 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
     pinned; three streaming passes then (1) summarise each partition's
     boundary key, (2) compute each partition's 4-state transfer function and
     (3) emit matches from the chained entry states.  The per-partition
-    summaries (one small record per partition) are chained on the driver.
+    summaries (one small record per partition) are chained on the driver.  The
+    Python passes see key, time, side and a row number only; the payloads are
+    joined back by row number, so their values and types are untouched.
     """
     spark = left.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lcols, rcols = list(left.columns), list(right.columns)
     lsch, rsch = left.schema, right.schema
     n_ord = max(len(left_order), len(right_order))
 
@@ -81,77 +83,62 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
     ord_types = [(lsch[left_order[i]] if i < len(left_order) else rsch[right_order[i]]).dataType
                  for i in range(n_ord)]
 
-    def side(df: DataFrame, s: int, t: str, order: Sequence[str], mine: list[str],
-             other: list[str], osch, mp: str, op: str) -> DataFrame:
+    def side(df: DataFrame, s: int, t: str, order: Sequence[str]) -> DataFrame:
+        own = F.struct(*[F.col(c) for c in df.columns])
         sel = [F.col(key).cast("string").alias("_key"), F.col(t).cast("double").alias("_t"),
                F.lit(s).alias("_side")]
         for i in range(n_ord):
             src = order[i] if i < len(order) else None
             sel.append((F.col(src) if src else F.lit(None)).cast(ord_types[i]).alias(f"_o{i}"))
-        sel += [F.col(c).alias(mp + c) for c in mine]
-        sel += [F.lit(None).cast(osch[c].dataType).alias(op + c) for c in other]
-        return df.select(*sel)
+        sel += [(own if s == 0 else F.lit(None).cast(lsch)).alias("_l"),
+                (own if s == 1 else F.lit(None).cast(rsch)).alias("_r")]
+        return df.select(*sel).filter((F.col("_key") != "") & F.col("_t").isNotNull())
 
-    lside = side(left, 0, left_time, left_order, lcols, rcols, rsch, "l_", "r_")
-    rside = side(right, 1, right_time, right_order, rcols, lcols, lsch, "r_", "l_")
-    both = lside.unionByName(rside).select(*lside.columns)
+    both = side(left, 0, left_time, left_order).unionByName(side(right, 1, right_time, right_order))
     sort_cols = ["_key", "_t", "_side", *[f"_o{i}" for i in range(n_ord)]]
-    rows = pinned(both.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols))
-
-    lnames = ["l_" + c for c in lcols]
-    rnames = ["r_" + c for c in rcols]
+    rows = pinned(both.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+                  .withColumn("_row", F.monotonically_increasing_id()))
+    # What the Python passes see; payloads never leave the JVM.
+    events = rows.select("_key", "_t", "_side", "_row")
     bound = float(bound_s)
 
     # Pass 1: first/last key of every partition and, for the last key, its
-    # latest left and right record inside the partition.
-    summ_schema = T.StructType(
-        [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
-         T.StructField("last_key", T.StringType()),
-         T.StructField("lo_t", T.DoubleType()), T.StructField("lp_t", T.DoubleType())]
-        + [T.StructField("lo_" + c, lsch[c].dataType) for c in lcols]
-        + [T.StructField("lp_" + c, rsch[c].dataType) for c in rcols])
-
+    # latest left and right record inside the partition (-1: none).
     def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = cur = None
-        lo = lp = None
+        seen, first, cur = False, None, None
+        lo = lp = (0.0, -1)
         for pdf in batches:
             if pdf.empty:
                 continue
             k = pdf["_key"].to_numpy(dtype=object)
             sd = pdf["_side"].to_numpy()
-            if first is None:
-                first = k[0]
+            if not seen:
+                seen, first, cur = True, k[0], k[0]
             if k[-1] != cur:
-                cur, lo, lp = k[-1], None, None
+                cur, lo, lp = k[-1], (0.0, -1), (0.0, -1)
             m = k == cur
             io = np.flatnonzero(m & (sd == 0))
             ip = np.flatnonzero(m & (sd == 1))
             if len(io):
-                i = io[-1]
-                lo = (pdf["_t"].iat[i], [pdf[c].iat[i] for c in lnames])
+                lo = (pdf["_t"].iat[io[-1]], pdf["_row"].iat[io[-1]])
             if len(ip):
-                i = ip[-1]
-                lp = (pdf["_t"].iat[i], [pdf[c].iat[i] for c in rnames])
-        if first is None:
-            return
-        rec = {"pid": [TaskContext.get().partitionId()], "first_key": [first],
-               "last_key": [cur], "lo_t": [lo[0] if lo else None],
-               "lp_t": [lp[0] if lp else None]}
-        for j, c in enumerate(lcols):
-            rec["lo_" + c] = [lo[1][j] if lo else None]
-        for j, c in enumerate(rcols):
-            rec["lp_" + c] = [lp[1][j] if lp else None]
-        yield pd.DataFrame(rec)
-
-    summ = {r.pid: r for r in rows.mapInPandas(summarize, summ_schema).collect()}
+                lp = (pdf["_t"].iat[ip[-1]], pdf["_row"].iat[ip[-1]])
+        if seen:
+            yield pd.DataFrame({"pid": [TaskContext.get().partitionId()], "first_key": [first],
+                                "last_key": [cur], "lo_t": [lo[0]], "lo": [lo[1]],
+                                "lp_t": [lp[0]], "lp": [lp[1]]})
+
+    summ = {r.pid: r for r in events.mapInPandas(
+        summarize, "pid int, first_key string, last_key string, lo_t double, lo long, "
+                   "lp_t double, lp long").collect()}
     order_p = sorted(summ)
     carry: dict[int, tuple] = {}
     run_key, run_lo, run_lp = object(), None, None
     for p in order_p:
         s = summ[p]
         carry[p] = (run_lo, run_lp) if s.first_key == run_key else (None, None)
-        lo = (s.lo_t, [s["lo_" + c] for c in lcols]) if s.lo_t is not None else None
-        lp = (s.lp_t, [s["lp_" + c] for c in rcols]) if s.lp_t is not None else None
+        lo = (s.lo_t, s.lo) if s.lo >= 0 else None
+        lp = (s.lp_t, s.lp) if s.lp >= 0 else None
         if s.last_key == run_key:
             run_lo, run_lp = lo or run_lo, lp or run_lp
         else:
@@ -211,7 +198,7 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
         yield pd.DataFrame({"pid": [pid], "f0": [states[0]], "f1": [states[1]],
                             "f2": [states[2]], "f3": [states[3]], "last_exit": [last_exit]})
 
-    fns = {r.pid: r for r in rows.mapInPandas(transfer, f_schema).collect()}
+    fns = {r.pid: r for r in events.mapInPandas(transfer, f_schema).collect()}
     entry: dict[int, int] = {}
     run_key, state = object(), 0
     for p in order_p:
@@ -223,56 +210,48 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
         else:
             state, run_key = f.last_exit, s.last_key
 
-    out_schema = T.StructType(
-        [T.StructField("matched", T.BooleanType(), False),
-         T.StructField("key", T.StringType(), True)]
-        + [T.StructField("l_" + c, lsch[c].dataType, True) for c in lcols]
-        + [T.StructField("r_" + c, rsch[c].dataType, True) for c in rcols])
-
-    # Pass 3: run the join from the chained entry state and emit.
+    # Pass 3: run the join from the chained entry state and emit row numbers.
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pid = TaskContext.get().partitionId()
         if pid not in summ:
             return
-        s = summ[pid]
         c_lo, c_lp = carry[pid]
-        cur = s.first_key
+        cur = summ[pid].first_key
         pend_l = c_lo if (entry[pid] & 1) else None
         pend_r = c_lp if (entry[pid] & 2) else None
         for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf["_key"].tolist()
-            ts = pdf["_t"].to_numpy()
-            sides = pdf["_side"].to_numpy()
-            lvals = pdf[lnames].to_numpy(dtype=object)
-            rvals = pdf[rnames].to_numpy(dtype=object)
-            out_m, out_k, out_l, out_r = [], [], [], []
-            for i in range(len(keys)):
-                k = keys[i]
+            out_l, out_r = [], []
+            for k, t, sd, row in zip(pdf["_key"].tolist(), pdf["_t"].tolist(),
+                                     pdf["_side"].tolist(), pdf["_row"].tolist()):
                 if k != cur:
                     if pend_l is not None:
-                        out_m.append(False); out_k.append(cur)
-                        out_l.append(pend_l[1]); out_r.append(None)
+                        out_l.append(pend_l[1])
+                        out_r.append(-1)
                     cur, pend_l, pend_r = k, None, None
-                if sides[i] == 0:
+                if sd == 0:
                     if pend_l is not None:      # superseded, never joined
-                        out_m.append(False); out_k.append(k)
-                        out_l.append(pend_l[1]); out_r.append(None)
-                    pend_l = (ts[i], lvals[i])
+                        out_l.append(pend_l[1])
+                        out_r.append(-1)
+                    pend_l = (t, row)
                 else:
-                    pend_r = (ts[i], rvals[i])
+                    pend_r = (t, row)
                 if pend_l is not None and pend_r is not None \
                         and abs(pend_l[0] - pend_r[0]) <= bound:
-                    out_m.append(True); out_k.append(k)
-                    out_l.append(pend_l[1]); out_r.append(pend_r[1])
+                    out_l.append(pend_l[1])
+                    out_r.append(pend_r[1])
                     pend_l = pend_r = None
-            if out_m:
-                yield _frame(out_m, out_k, out_l, out_r, lnames, rnames)
+            if out_l:
+                yield pd.DataFrame({"_lrow": out_l, "_rrow": out_r})
         if pend_l is not None and nxt.get(pid) != cur:
-            yield _frame([False], [cur], [pend_l[1]], [None], lnames, rnames)
+            yield pd.DataFrame({"_lrow": [pend_l[1]], "_rrow": [-1]})
 
-    return rows.mapInPandas(run, out_schema)
+    pairs = events.mapInPandas(run, "_lrow long, _rrow long")
+    lrows = rows.filter("_side = 0").select(F.col("_row").alias("_lrow"), "_key", "_l")
+    rrows = rows.filter("_side = 1").select(F.col("_row").alias("_rrow"), "_r")
+    return (pairs.join(lrows, "_lrow").join(rrows, "_rrow", "left").select(
+        (F.col("_rrow") >= 0).alias("matched"), F.col("_key").alias("key"),
+        *[F.col("_l").getField(c).alias("l_" + c) for c in left.columns],
+        *[F.col("_r").getField(c).alias("r_" + c) for c in right.columns]))
 
 
 def _step(state: int, side: int, t: float, t_lo, t_lp, bound: float) -> int:
@@ -286,14 +265,3 @@ def _step(state: int, side: int, t: float, t_lo, t_lp, bound: float) -> int:
         return 0
     return state | 2
 
-
-def _frame(m, k, lv, rv, lnames, rnames) -> pd.DataFrame:
-    nl, nr = len(lnames), len(rnames)
-    lmat = np.array([list(v) if v is not None else [None] * nl for v in lv], dtype=object)
-    rmat = np.array([list(v) if v is not None else [None] * nr for v in rv], dtype=object)
-    data = {"matched": m, "key": k}
-    for j, c in enumerate(lnames):
-        data[c] = lmat[:, j] if len(lmat) else []
-    for j, c in enumerate(rnames):
-        data[c] = rmat[:, j] if len(rmat) else []
-    return pd.DataFrame(data)

@@ -3,7 +3,7 @@
 Percentiles use the reference's nearest-rank rule: the value at index
 ``rint(p / 100 * (n - 1))`` (half-even) of the sorted values, 0.0 when empty.
 The rank of every row inside its group comes from
-:func:`logweave.operators.scan.global_positions`: a range shuffle on
+:func:`logweave.operators.scan.prefix_sums`: a range shuffle on
 ``(group, value)`` splits even a single huge group over many tasks, so no
 task sorts a whole group.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.functions.numeric import ratio_round, round_dp
-from logweave.operators.scan import global_positions
+from logweave.operators.scan import prefix_sums
 
 MIB = 1024 * 1024
 
@@ -50,33 +50,45 @@ def delivery_metrics(df: DataFrame, group_cols: Sequence[str] = ("config",),
 
 
 def nearest_rank_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                             pcts: Sequence[float] = (50, 95, 99),
-                             tiebreak: Sequence[str] = ()) -> DataFrame:
+                             pcts: Sequence[float] = (50, 95, 99)) -> DataFrame:
     """Per group: n and the nearest-rank percentile values (AG8).
 
     Output: group columns, ``measured``, one ``p{p}`` column per percentile
     (raw values), ``max``.
     """
     g = list(group_cols)
-    vals = df.filter(F.col(value_col).isNotNull())
-    pos = global_positions(vals.select(*g, value_col, *tiebreak), [*g, value_col, *tiebreak])
-    # A group's rows are contiguous in the global order, so its start is its
-    # smallest position: a partially aggregated group-by, no window.
-    targets = pos.groupBy(*g).agg(F.count(F.lit(1)).alias("measured"),
-                                  F.max(value_col).alias("max"),
-                                  (F.min("_pos") - 1).alias("_start"))
-    targets = targets.select(*g, "measured", "max", "_start", *[
-        F.rint(F.lit(p / 100.0) * (F.col("measured") - 1)).cast("bigint").alias(f"_k{i}")
-        for i, p in enumerate(pcts)])
-    # Wanted rows, addressed by their unique global position: the join key
-    # is unique, so even a group holding most rows spreads evenly.
+    # One row per (group, value): a value that most rows share is collapsed
+    # map-side, and only distinct values are ordered.
+    counts = df.filter(F.col(value_col).isNotNull()).groupBy(*g, value_col) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    run = prefix_sums(counts.select(*g, value_col, "_n", F.lit(True).alias("_emit"),
+                                    F.col("_n").alias("_upto")),
+                      [*g, value_col], ["_upto"], "_emit", [*g, value_col, "_n"])
+    # A group's values are contiguous in the global order.
+    targets = run.groupBy(*g).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("measured"), F.max(value_col).alias("max"),
+        F.min(F.col("_upto") - F.col("_n")).alias("_start"))
     wanted = targets.select(*g, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_i"), (F.col("_start") + F.col(f"_k{i}") + 1).alias("_pos"))
-        for i in range(len(pcts))])).alias("_w")).select(*g, "_w._i", "_w._pos")
-    picked = pos.select("_pos", F.col(value_col).alias("_val")).join(wanted, "_pos")
-    found = picked.groupBy(*g).agg(*[F.max(F.when(F.col("_i") == i, F.col("_val")))
-                                     .alias(f"p{_name(p)}") for i, p in enumerate(pcts)])
-    return targets.select(*g, "measured", "max").join(found, g)
+        F.struct(F.lit(i).alias("_i"),
+                 (F.col("_start") + F.rint(F.lit(p / 100.0) * (F.col("measured") - 1))
+                  .cast("bigint")).alias("_rank"))
+        for i, p in enumerate(pcts)])).alias("_w")).select(*g, "_w._i", "_w._rank")
+    hit = (F.col("_rank") >= F.col("_upto") - F.col("_n")) & (F.col("_rank") < F.col("_upto"))
+    if not g:       # no rows: one row of zeros
+        zero = F.lit(0).cast(df.schema[value_col].dataType)
+        picked = run.join(F.broadcast(wanted), hit)      # len(pcts) rows
+        found = picked.agg(*[F.coalesce(F.max(F.when(F.col("_i") == i, F.col(value_col))), zero)
+                             .alias(f"p{_name(p)}") for i, p in enumerate(pcts)])
+        return targets.select("measured", F.coalesce("max", zero).alias("max")).crossJoin(found)
+    r, w = run.alias("r"), wanted.alias("w")
+    same = hit
+    for c in g:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}"))
+    found = r.join(w, same).groupBy(*[F.col(f"w.{c}").alias(f"_g_{c}") for c in g]).agg(
+        *[F.max(F.when(F.col("_i") == i, F.col(f"r.{value_col}"))).alias(f"p{_name(p)}")
+          for i, p in enumerate(pcts)])
+    on = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in g]
+    return targets.select(*g, "measured", "max").join(found, on).drop(*[f"_g_{c}" for c in g])
 
 
 def _name(p: float) -> str:

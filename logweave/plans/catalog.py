@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from logweave.functions import jsonschema, serde
 from logweave.functions import transforms
-from logweave.functions.materialize import computed, spread
+from logweave.functions.materialize import computed
 from logweave.functions.serde import header_value
 from logweave.operators import cdc, dlq
 from logweave.operators import eventsourcing as es
@@ -54,19 +54,42 @@ def kpi_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_1m_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference's path: events published as JSON messages, decoded
     best-effort, non-objects dropped, fields read with defaults, then KPIs."""
+    good, _ = _kpi_messages(spark, sf_dir)
+    return windows.kpi_windows(good, window_s=60)
+
+
+@register("kpi_errors")
+def kpi_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error output of :func:`kpi_1m_from_log`: purchases whose amount is no number."""
+    _, bad = _kpi_messages(spark, sf_dir)
+    return bad
+
+
+def _kpi_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(events, rejected messages): a number that does not parse rejects its message,
+    it never counts as 0."""
     ev = fx.analytics_events(spark, sf_dir)
+    text = F.when(F.col("event_id").cast("bigint") % fx.BAD_AMOUNT_EVERY == 0, F.lit("n/a")) \
+        .otherwise(F.col("amount").cast("string"))
+    ev = ev.withColumn("amount", F.when(F.col("amount").isNotNull(), text))
     rec = logtable.to_records(ev, "analytics.events.v1", "user_id",
                               F.struct("event_id", "type", "user_id", "product", "event_epoch",
                                        "amount"),
                               F.col("event_epoch"))
-    d = logtable.decode_messages(spread(rec).select("timestamp", "value"), out="d")
+    d = logtable.decode_messages(rec.select("timestamp", "value"), out="d")
     v = F.col("d.json")
+    wrong = lambda f: serde.has_field(v, f) & serde.to_number(v, f).isNull()
     msgs = d.filter(serde.is_object(v)).select(
+        serde.get_or_default(v, "event_id", "bigint", -1).alias("event_id"),
         serde.get_or_default(v, "type", "string", "page_view").alias("type"),
-        F.coalesce(serde.to_number(v, "event_epoch"),
-                   F.unix_micros("timestamp") / F.lit(1e6)).alias("event_epoch"),
-        F.coalesce(serde.to_number(v, "amount"), F.lit(0.0)).alias("amount"))
-    return windows.kpi_windows(msgs, window_s=60)
+        F.when(serde.has_field(v, "event_epoch"), serde.to_number(v, "event_epoch"))
+        .otherwise(F.unix_micros("timestamp") / F.lit(1e6)).alias("event_epoch"),
+        F.coalesce(serde.to_number(v, "amount"), F.lit(0.0)).alias("amount"),
+        serde.get_or_default(v, "amount", "string", "").alias("amount_text"),
+        wrong("event_epoch").alias("_e"), wrong("amount").alias("_a"))
+    bad = F.col("_e") | (F.col("_a") & (F.col("type") == "purchase"))
+    return (msgs.filter(~bad).select("type", "event_epoch", "amount"),
+            msgs.filter(bad).select("event_id", "type", F.col("amount_text").alias("amount")))
 
 
 @register("sales_tumbling_30s")
@@ -264,7 +287,8 @@ JOIN_WINDOW_S = 300
 
 def _consume(spark: SparkSession, sf_dir: str, payments: DataFrame) -> DataFrame:
     return joins.consume_on_match(fx.order_events(spark, sf_dir), payments, "order_id",
-                                  "order_epoch", "payment_epoch", JOIN_WINDOW_S)
+                                  "order_epoch", "payment_epoch", JOIN_WINDOW_S,
+                                  left_order=["amount"], right_order=["amount", "method"])
 
 
 def _joined(df: DataFrame) -> DataFrame:
@@ -293,6 +317,38 @@ def order_payment_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(_consume(spark, sf_dir, fx.payment_events_repeated(spark, sf_dir)))
 
 
+@register("interval_join")
+def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = joins.interval_join(fx.order_events(spark, sf_dir),
+                            fx.payment_events_repeated(spark, sf_dir), "order_id",
+                            "order_epoch", "payment_epoch", JOIN_WINDOW_S)
+    return j.select(F.col("_l.order_id").alias("order_id"),
+                    F.col("_l.amount").alias("order_amount"),
+                    F.col("_r.amount").alias("payment_amount"), F.col("_r.method").alias("method"),
+                    F.col("_l.order_epoch").alias("order_epoch"),
+                    F.col("_r.payment_epoch").alias("payment_epoch"))
+
+
+@register("interval_unmatched")
+def interval_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.unmatched(fx.order_events(spark, sf_dir), fx.payment_events(spark, sf_dir),
+                           "order_id", "order_epoch", "payment_epoch", JOIN_WINDOW_S)
+
+
+@register("order_consume_edges")
+def order_consume_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consume-on-match over records without key, superseded orders, early payments
+    and ids beyond the whole numbers of a double."""
+    c = joins.consume_on_match(fx.order_events_edges(spark, sf_dir),
+                               fx.payment_events_edges(spark, sf_dir), "order_id",
+                               "order_epoch", "t", JOIN_WINDOW_S,
+                               right_order=["method"])
+    return c.filter("matched").select(
+        F.col("key").alias("order_id"), F.col("l_big").alias("big"),
+        F.col("l_order_epoch").alias("order_epoch"), F.col("r_t").alias("payment_epoch"),
+        F.col("r_method").alias("method"))
+
+
 # ------------------------------------------------------------------- metrics
 
 
@@ -329,7 +385,7 @@ ORDER_SCHEMA = {
 
 @register("decode_best_effort")
 def decode_best_effort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = logtable.decode_messages(spread(fx.raw_messages(spark, sf_dir)).select("off", "value"),
+    d = logtable.decode_messages(fx.raw_messages(spark, sf_dir).select("off", "value"),
                                  out="d")
     return d.select("off", F.col("d.kind").alias("kind"), F.col("d.text").alias("text"),
                     serde.json_kind(F.col("d.json")).alias("json_kind"))
@@ -344,7 +400,7 @@ def encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("field_defaults")
 def field_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = spread(fx.raw_orders(spark, sf_dir))
+    raw = fx.raw_orders(spark, sf_dir)
     v = serde.parse_json(F.col("value").cast("string"))
     objs = computed(raw, {"_v": v}).filter(serde.is_object(F.col("_v")))
     return objs.select("off",
@@ -360,7 +416,7 @@ def field_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 def type_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fx.order_log(spark, sf_dir).withColumn("aggregate_id",
                                                  F.col("aggregate_id").cast("string"))
-    enc = es.events_to_json(spread(log)).select("seq", "value")
+    enc = es.events_to_json(log).select("seq", "value")
     dec = es.events_from_json(enc)
     return dec.select("aggregate_id", "seq", "event_type", "customer", "amount", "method",
                       "carrier", "tracking", "reason")
@@ -368,7 +424,7 @@ def type_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("schema_errors")
 def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = spread(fx.raw_orders(spark, sf_dir))
+    raw = fx.raw_orders(spark, sf_dir)
     v = serde.parse_json(F.col("value").cast("string"))
     ok = computed(raw, {"_v": v}).filter(F.col("_v").isNotNull())
     errs = jsonschema.compile_errors(F.col("_v"), ORDER_SCHEMA)
@@ -479,7 +535,7 @@ def stream_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = fx.cdc_log(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))
     jobs.run_foreach(changes, "stream_cdc",
                      sinks.cdc_replica_sink(f"{root}/replica", f"{root}/batches"))
-    return sinks.read_replica(spark, f"{root}/replica")
+    return sinks.read_replica(spark, f"{root}/replica", f"{root}/batches")
 
 
 @register("stream_dlq")
@@ -488,4 +544,4 @@ def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.raw_orders(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))
     jobs.run_foreach(raw, "stream_dlq", sinks.dlq_router(f"{root}/main", f"{root}/dlq",
                                                          f"{root}/batches", MAIN_TOPIC))
-    return _dlq_view(spark.read.parquet(f"{root}/dlq"))
+    return _dlq_view(sinks.read_batches(spark, f"{root}/dlq", f"{root}/batches"))

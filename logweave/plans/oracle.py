@@ -153,6 +153,23 @@ SELECT txn_id AS order_id, amount, 'card' AS method,
        event_epoch + CAST(txn_id AS BIGINT) % 600 AS payment_epoch
 FROM transactions WHERE CAST(txn_id AS BIGINT) % 10 <> 0"""
 
+VIEWS["payment_events_repeated"] = """
+SELECT * FROM payment_events UNION ALL
+SELECT order_id, amount, method, payment_epoch + 120 FROM payment_events
+WHERE CAST(order_id AS BIGINT) % 7 = 0"""
+
+VIEWS["edge_events"] = """
+SELECT CASE WHEN oid % 11 = 0 THEN NULL WHEN oid % 13 = 0 THEN ''
+            ELSE CAST(oid + 9007199254740993 AS VARCHAR) END AS key, *
+FROM (SELECT CAST(txn_id AS BIGINT) AS oid, event_epoch AS t, 0 AS side, NULL AS method
+      FROM transactions
+      UNION ALL SELECT CAST(txn_id AS BIGINT), event_epoch + 200, 0, NULL FROM transactions
+      WHERE CAST(txn_id AS BIGINT) % 5 = 0
+      UNION ALL SELECT CAST(txn_id AS BIGINT), event_epoch + CAST(txn_id AS BIGINT) % 600, 1,
+        'card' FROM transactions WHERE CAST(txn_id AS BIGINT) % 10 <> 0
+      UNION ALL SELECT CAST(txn_id AS BIGINT), event_epoch - 100, 1, 'early' FROM transactions
+      WHERE CAST(txn_id AS BIGINT) % 10 <> 0 AND CAST(txn_id AS BIGINT) % 4 = 0) u"""
+
 VIEWS["delivery_reports"] = f"""
 SELECT l_returnflag AS config, CAST(l_linenumber AS BIGINT) AS attempt,
        l_partkey % 50 <> 0 AS ok, l_extendedprice / 1000.0 AS latency_ms,
@@ -160,7 +177,8 @@ SELECT l_returnflag AS config, CAST(l_linenumber AS BIGINT) AS attempt,
 FROM lineitem"""
 
 # View dependencies (a view may read another view).
-_DEPS = {"order_events": ["transactions"], "payment_events": ["transactions"]}
+_DEPS = {"order_events": ["transactions"], "payment_events": ["transactions"],
+         "payment_events_repeated": ["payment_events"], "edge_events": ["transactions"]}
 
 
 def with_views(sql: str, *names: str) -> str:
@@ -205,7 +223,13 @@ ORDER BY window_start""", "analytics_events")
 
 ORACLE["kpi_1m"] = _kpi(60)
 ORACLE["kpi_1h"] = _kpi(3600)
-ORACLE["kpi_1m_from_log"] = ORACLE["kpi_1m"]
+# Purchases whose published amount is no number are rejected, not counted.
+_BAD = "type = 'purchase' AND amount IS NOT NULL AND CAST(event_id AS BIGINT) % 97 = 0"
+ORACLE["kpi_1m_from_log"] = ORACLE["kpi_1m"].replace(
+    "WHERE event_epoch IS NOT NULL", f"WHERE event_epoch IS NOT NULL AND NOT ({_BAD})")
+ORACLE["kpi_errors"] = with_views(f"""
+SELECT CAST(event_id AS BIGINT) AS event_id, type, 'n/a' AS amount FROM analytics_events
+WHERE {_BAD}""", "analytics_events")
 
 ORACLE["sales_tumbling_30s"] = with_views("""
 SELECT window_start, window_start + 30 AS window_end, count, total_amount
@@ -514,6 +538,39 @@ WHERE NOT EXISTS (SELECT 1 FROM payment_events p WHERE p.order_id = o.order_id
 # the bound and leaves the second pending.
 ORACLE["order_payment_consume"] = ORACLE["order_payment_join"]
 
+ORACLE["interval_unmatched"] = ORACLE["order_unpaid"]
+ORACLE["interval_join"] = with_views("""
+SELECT o.order_id, o.amount AS order_amount, p.amount AS payment_amount, p.method,
+       o.order_epoch, p.payment_epoch
+FROM order_events o JOIN payment_events_repeated p
+  ON o.order_id = p.order_id AND abs(p.payment_epoch - o.order_epoch) <= 300""",
+                                     "order_events", "payment_events_repeated")
+# One event of every key at a time: the pending order and payment, and what
+# the event matched.
+ORACLE["order_consume_edges"] = with_views("""
+SELECT key AS order_id, 9007199254740993 + oid AS big, m_order AS order_epoch,
+       m_payment AS payment_epoch, m_method AS method
+FROM (
+  WITH RECURSIVE ev AS (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY t, side, method) AS i
+    FROM edge_events WHERE key <> ''),
+  st AS (
+    SELECT key, oid, i, CASE WHEN side = 0 THEN t END AS lo, CASE WHEN side = 1 THEN t END AS lp,
+           CASE WHEN side = 1 THEN method END AS lm, CAST(NULL AS BIGINT) AS m_order,
+           CAST(NULL AS BIGINT) AS m_payment, CAST(NULL AS VARCHAR) AS m_method
+    FROM ev WHERE i = 1
+    UNION ALL
+    SELECT key, oid, i, CASE WHEN m THEN NULL ELSE lo END, CASE WHEN m THEN NULL ELSE lp END,
+           CASE WHEN m THEN NULL ELSE lm END, CASE WHEN m THEN lo END, CASE WHEN m THEN lp END,
+           CASE WHEN m THEN lm END
+    FROM (SELECT key, oid, i, lo, lp, lm, COALESCE(abs(lo - lp) <= 300, FALSE) AS m
+          FROM (SELECT e.key, e.oid, e.i, CASE WHEN e.side = 0 THEN e.t ELSE st.lo END AS lo,
+                       CASE WHEN e.side = 1 THEN e.t ELSE st.lp END AS lp,
+                       CASE WHEN e.side = 1 THEN e.method ELSE st.lm END AS lm
+                FROM st JOIN ev e ON e.key = st.key AND e.i = st.i + 1) a) b)
+  SELECT * FROM st) r
+WHERE m_order IS NOT NULL""", "edge_events")
+
 # ----------------------------------------------------------------- metrics
 ORACLE["delivery_metrics"] = with_views("""
 SELECT config, produced, delivered, failed, bytes_sent,

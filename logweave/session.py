@@ -54,7 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local runs and tests) a scratch folder is created and registered.
+    (local master: one machine) a scratch folder is created and registered; any
+    other master raises, as executors could not read a driver-local folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -64,6 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unknown key on some builds
             d = None
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="logweave-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

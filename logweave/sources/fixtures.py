@@ -266,6 +266,39 @@ def payment_events_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.unionByName(again)
 
 
+#: Every so many event ids the published amount is no number.
+BAD_AMOUNT_EVERY = 97
+_BEYOND = 9007199254740993      # 2**53 + 1
+
+
+def _edge_key(oid):
+    return (F.when(oid % 11 == 0, F.lit(None).cast("string")).when(oid % 13 == 0, F.lit(""))
+            .otherwise((oid + _BEYOND).cast("string")))
+
+
+def order_events_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 orders with keys beyond 2**53, null and empty keys, and for every 5th order a
+    second one 200 s later: order_id, big, order_epoch."""
+    o = order_events(spark, sf_dir)
+    oid = F.col("order_id").cast("bigint")
+    o = o.select(_edge_key(oid).alias("order_id"), (oid + _BEYOND).alias("big"), "order_epoch")
+    later = o.filter((F.col("big") - _BEYOND) % 5 == 0) \
+        .withColumn("order_epoch", F.col("order_epoch") + 200)
+    return o.unionByName(later)
+
+
+def payment_events_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 payments under the same keys, and for every 4th order one 100 s before the
+    order: order_id, method, t."""
+    p = payment_events(spark, sf_dir)
+    oid = F.col("order_id").cast("bigint")
+    p = p.withColumn("oid", oid).select(
+        _edge_key(oid).alias("order_id"), "method", F.col("payment_epoch").alias("t"), "oid")
+    early = p.filter(F.col("oid") % 4 == 0).withColumns(
+        {"method": F.lit("early"), "t": F.col("t") - F.col("oid") % 600 - 100})
+    return p.unionByName(early).drop("oid")
+
+
 # ---------------------------------------------------- F8 delivery reports
 def delivery_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Producer delivery reports: config, attempt, ok, latency_ms, n_bytes, sent_epoch."""

@@ -1,76 +1,46 @@
 """Kafka connection options (CFG1, SNK7, STR8) and Kafka source/sink helpers
 (SRC1, SRC3, SRC5, SRC8, SNK1).
 
-``client_options`` maps connection settings to the ``kafka.``-prefixed
-options of Spark's Kafka source and sink.  The consumer group id is dropped:
-a streaming query's checkpoint owns its offsets.  The Kafka connector jar is
+``connector_options`` turns Kafka client properties into what Spark's Kafka
+source or sink accepts.  The consumer group id is dropped: a streaming query's
+checkpoint owns its offsets.  The Kafka connector jar is
 optional; ``read_kafka``/``write_kafka`` raise a clear error without it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
-from typing import Any
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The reference's client defaults.
-PRODUCER_DEFAULTS = {"acks": "all", "enable.idempotence": "true", "retries": "5",
-                     "linger.ms": "5"}
-CONSUMER_DEFAULTS = {"enable.auto.commit": "false"}
-
-
-@dataclass
-class KafkaSettings:
-    bootstrap_servers: str = "localhost:9092"
-    client_id: str = "logweave"
-    security_protocol: str = "PLAINTEXT"
-    sasl_mechanism: str = ""
-    sasl_username: str = ""
-    sasl_password: str = ""
-    auto_offset_reset: str = "earliest"
-    extra: dict[str, str] = field(default_factory=dict)
-
-    def security(self) -> dict[str, str]:
-        if self.security_protocol.upper() == "PLAINTEXT":
-            return {"security.protocol": "PLAINTEXT"}
-        cfg = {"security.protocol": self.security_protocol}
-        if self.sasl_mechanism:
-            cfg["sasl.mechanism"] = self.sasl_mechanism
-            cfg["sasl.jaas.config"] = (
-                "org.apache.kafka.common.security.plain.PlainLoginModule required "
-                f'username="{self.sasl_username}" password="{self.sasl_password}";')
-        return cfg
-
-    def base(self) -> dict[str, str]:
-        return {"bootstrap.servers": self.bootstrap_servers, "client.id": self.client_id,
-                **self.security()}
-
-
-def _prefixed(cfg: dict[str, Any]) -> dict[str, str]:
-    return {f"kafka.{k}": str(v).lower() if isinstance(v, bool) else str(v)
-            for k, v in cfg.items()}
-
-
-def client_options(settings: KafkaSettings, role: str = "consumer",
-                   **overrides: Any) -> dict[str, str]:
-    """Spark Kafka options for a producer (sink) or consumer (source); later
-    overrides win.  ``group.id`` is not passed: the checkpoint tracks offsets."""
-    cfg: dict[str, Any] = dict(settings.base())
-    if role == "producer":
-        cfg.update(PRODUCER_DEFAULTS)
-    elif role == "consumer":
-        cfg.update(CONSUMER_DEFAULTS)
-    elif role != "admin":
-        raise ValueError(f"unknown role: {role}")
-    cfg.update(settings.extra)
-    cfg.update({k.replace("_", "."): v for k, v in overrides.items()})
-    cfg.pop("group.id", None)
-    # Spark manages commits itself; these consumer keys are rejected by it.
-    for k in ("enable.auto.commit", "auto.offset.reset"):
-        cfg.pop(k, None)
-    return _prefixed(cfg)
+# Client defaults that results and delivery guarantees rely on.
+SINK_DEFAULTS = {"kafka.acks": "all", "kafka.enable.idempotence": "true",
+                 "kafka.retries": "5", "kafka.linger.ms": "5"}
+SERVERS = "kafka.bootstrap.servers"
+#: The connector refuses these: offsets and commits belong to the checkpoint.
+REFUSED = frozenset({"kafka.group.id", "kafka.auto.offset.reset", "kafka.enable.auto.commit",
+                     "kafka.key.deserializer", "kafka.value.deserializer",
+                     "kafka.key.serializer", "kafka.value.serializer"})
+
+
+def connector_options(servers: str, options: Mapping[str, object] = {}, *,
+                      sink: bool = False, login: tuple[str, str] | None = None) -> dict[str, str]:
+    """Options for Spark's Kafka source, or its sink.
+
+    ``options`` are Kafka client properties, with or without the ``kafka.`` prefix;
+    they win over the sink's defaults, and what the connector refuses is left out.
+    ``login`` is (user, password) for SASL/PLAIN over TLS."""
+    out = {SERVERS: servers, **(SINK_DEFAULTS if sink else {})}
+    if login:
+        user, password = (x.replace("\\", "\\\\").replace('"', '\\"') for x in login)
+        out |= {"kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": "PLAIN",
+                "kafka.sasl.jaas.config":
+                    "org.apache.kafka.common.security.plain.PlainLoginModule required "
+                    f'username="{user}" password="{password}";'}
+    for name, value in options.items():
+        text = str(value).lower() if isinstance(value, bool) else str(value)
+        out[name if name.startswith("kafka.") else f"kafka.{name}"] = text
+    return {k: v for k, v in out.items() if k not in REFUSED}
 
 
 def source_options(topics: str | Sequence[str], starting: str = "earliest",
@@ -95,23 +65,28 @@ def _kafka_available(spark: SparkSession) -> bool:
         return False
 
 
-def read_kafka(spark: SparkSession, settings: KafkaSettings, topics: str | Sequence[str],
-               streaming: bool = True, **kw: Any) -> DataFrame:
-    """Kafka source (SRC1) with the consumer options; needs the connector jar."""
+def read_kafka(spark: SparkSession, servers: str, topics: str | Sequence[str],
+               options: Mapping[str, object] = {}, streaming: bool = True,
+               login: tuple[str, str] | None = None, **subscription) -> DataFrame:
+    """Kafka source (SRC1); ``subscription`` as in :func:`source_options`.  Needs
+    the connector jar."""
     if not _kafka_available(spark):
         raise RuntimeError("spark-sql-kafka connector is not on the classpath")
     r = spark.readStream if streaming else spark.read
-    return (r.format("kafka").options(**client_options(settings, "consumer"))
-            .options(**source_options(topics, **kw)).load())
+    return (r.format("kafka").options(**connector_options(servers, options, login=login))
+            .options(**source_options(topics, **subscription)).load())
 
 
-def write_kafka(df: DataFrame, settings: KafkaSettings, topic: str | None = None) -> None:
+def write_kafka(df: DataFrame, servers: str, topic: str | None = None,
+                options: Mapping[str, object] = {},
+                login: tuple[str, str] | None = None) -> None:
     """Batch publish (SNK1/SNK2): a ``topic`` column wins over the option."""
     if "topic" not in df.columns and topic is None:
         raise ValueError("no topic given and no topic column")
     if not _kafka_available(df.sparkSession):
         raise RuntimeError("spark-sql-kafka connector is not on the classpath")
-    w = df.write.format("kafka").options(**client_options(settings, "producer"))
+    w = df.write.format("kafka").options(**connector_options(servers, options, sink=True,
+                                                             login=login))
     # Spark's ``topic`` option overrides a topic column, so the default is
     # passed only when rows carry no topic of their own.
     if topic is not None and "topic" not in df.columns:

@@ -64,61 +64,58 @@ def rolling_stream(events: DataFrame, window_s: int = 60, slide_s: int = 1,
 
 def join_stream(orders: DataFrame, payments: DataFrame, key: str = "order_id",
                 order_time: str = "order_epoch", payment_time: str = "payment_epoch",
-                bound_s: int = 300, delay: str = "10 minutes", how: str = "inner",
-                dedupe: bool = True) -> DataFrame:
+                bound_s: int = 300, delay: str = "10 minutes", how: str = "inner") -> DataFrame:
     """Stream-stream join within ``bound_s`` seconds (JN1/JN3); ``leftOuter``
-    emits unmatched orders once the watermark passes them (JN4).
-
-    With ``dedupe`` each side first keeps one record per key within the
-    watermark delay (``dropDuplicatesWithinWatermark``), so a key repeated
-    on both sides yields one pair instead of all pairs inside the band: the
-    bounded "dedupe, then interval join" form of consume-on-match."""
+    emits unmatched orders once the watermark passes them (JN4).  No record is
+    dropped: a key repeated inside the band joins each of its partners (for one
+    partner per record use :func:`consume_stream`)."""
     o = (orders.withColumn("_ot", to_event_timestamp(order_time))
-         .withWatermark("_ot", delay))
+         .withWatermark("_ot", delay)).alias("o")
     p = (payments.withColumn("_pt", to_event_timestamp(payment_time))
-         .withWatermark("_pt", delay))
-    if dedupe:
-        o = o.dropDuplicatesWithinWatermark([key])
-        p = p.dropDuplicatesWithinWatermark([key])
-    o, p = o.alias("o"), p.alias("p")
+         .withWatermark("_pt", delay)).alias("p")
     cond = (F.col(f"o.{key}") == F.col(f"p.{key}")) & \
         (F.col("p._pt") >= F.col("o._ot") - F.expr(f"INTERVAL {bound_s} SECONDS")) & \
         (F.col("p._pt") <= F.col("o._ot") + F.expr(f"INTERVAL {bound_s} SECONDS"))
     return o.join(p, cond, how)
 
 
-def run_available(df: DataFrame, name: str, mode: str = "append",
-                  base: str | None = None) -> DataFrame:
-    """Run a streaming DataFrame to completion (``availableNow``) into Parquet
-    under the shared checkpoint folder and return the written table."""
+def run_available(df: DataFrame, name: str, mode: str = "append", base: str | None = None,
+                  out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Run a streaming DataFrame over what is there now (``availableNow``) into
+    Parquet and return the written table.  Called again with the same ``out`` and
+    ``checkpoint`` it resumes from the committed offsets; by default both are fresh
+    folders under the shared checkpoint folder."""
     spark = df.sparkSession
-    root = base or checkpoint_dir(spark)
-    out = sinks.scratch_path(root, f"{name}-out")
+    out = out or sinks.scratch_path(base or checkpoint_dir(spark), f"{name}-out")
     q = (df.writeStream.format("parquet").outputMode(mode)
-         .option("checkpointLocation", out + "-ckpt").option("path", out)
+         .option("checkpointLocation", checkpoint or out + "-ckpt").option("path", out)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
-def run_foreach(df: DataFrame, name: str, fn, base: str | None = None) -> None:
-    """Run a streaming DataFrame to completion (``availableNow``) through a
-    ``foreachBatch`` function, checkpointed under the shared folder."""
+def run_foreach(df: DataFrame, name: str, fn, base: str | None = None,
+                checkpoint: str | None = None) -> None:
+    """Run a streaming DataFrame over what is there now (``availableNow``) through a
+    ``foreachBatch`` function.  With the same ``checkpoint`` it resumes from the
+    committed offsets; the sink's markers are keyed by that folder."""
     spark = df.sparkSession
-    root = base or checkpoint_dir(spark)
-    q = (df.writeStream.foreachBatch(fn)
-         .option("checkpointLocation", sinks.scratch_path(root, f"{name}-ckpt"))
+    where = checkpoint or sinks.scratch_path(base or checkpoint_dir(spark), f"{name}-ckpt")
+    if hasattr(fn, "with_query"):
+        fn = fn.with_query(where)
+    q = (df.writeStream.foreachBatch(fn).option("checkpointLocation", where)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def dedup_stream(spark: SparkSession, staged: DataFrame, markers: DataFrame, id_col: str,
-                 ledger_path: str, marker_path: str, order_col: str = "off") -> DataFrame:
+                 ledger_path: str, marker_path: str, order_col: str = "off",
+                 checkpoint: str | None = None) -> DataFrame:
     """Exactly-once consumer: read-committed (stream-static semi join with the
     commit markers), then first-occurrence dedup against the ledger."""
     committed = eo.read_committed(staged, markers)
     run_foreach(committed, "dedup", sinks.ledger_sink(ledger_path, marker_path, id_col,
-                                                      order_col))
+                                                      order_col), checkpoint=checkpoint)
     return spark.read.parquet(ledger_path)
 
 

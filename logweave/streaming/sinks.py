@@ -11,6 +11,7 @@ under a folder the caller passes, normally inside the cluster's shared
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -28,42 +29,64 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+MARKER = "query string, batch_id long, output string, at long"
+
+
+def _markers(spark: SparkSession, marker_path: str) -> DataFrame | None:
+    return spark.read.schema(MARKER).parquet(marker_path) if _exists(spark, marker_path) else None
 
 
 def batch_committed(spark: SparkSession, marker_path: str, query: str, batch_id: int) -> bool:
     """True when ``(query, batch_id)`` is already in the marker table."""
-    if not _exists(spark, marker_path):
-        return False
-    m = spark.read.parquet(marker_path)
-    return m.filter((F.col("query") == query) & (F.col("batch_id") == batch_id)).limit(1) \
-        .count() > 0
+    m = _markers(spark, marker_path)
+    return m is not None and m.filter(
+        (F.col("query") == query) & (F.col("batch_id") == batch_id)).limit(1).count() > 0
 
 
-def commit_batch(spark: SparkSession, marker_path: str, query: str, batch_id: int) -> None:
-    """Record ``(query, batch_id)`` as applied; written after the batch's data."""
-    spark.createDataFrame([(query, int(batch_id))], "query string, batch_id long") \
-        .write.mode("append").parquet(marker_path)
+def commit_batch(spark: SparkSession, marker_path: str, query: str, batch_id: int,
+                 output: str | None = None) -> None:
+    """Record ``(query, batch_id)`` as applied, with the folder name of what it
+    wrote; written after the batch's data."""
+    spark.createDataFrame([(query, int(batch_id), output, time.time_ns())], MARKER) \
+        .coalesce(1).write.mode("append").parquet(marker_path)
 
 
 def idempotent(marker_path: str, query: str,
-               body: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Wrap a ``foreachBatch`` body so a replayed batch is applied once."""
+               body: Callable[[DataFrame, int], str | None]) -> Callable[[DataFrame, int], None]:
+    """Wrap a ``foreachBatch`` body so a replayed batch is applied once.
+
+    Batch ids are counted per checkpoint, so the marker key is the query's
+    identity: :func:`logweave.streaming.jobs.run_foreach` binds it to the
+    checkpoint folder through ``with_query``.  A new checkpoint is a new query and
+    never mistaken for a replay of an older one."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_committed(spark, marker_path, query, batch_id):
-            return
-        body(batch, batch_id)
-        commit_batch(spark, marker_path, query, batch_id)
+        if not batch_committed(spark, marker_path, query, batch_id):
+            commit_batch(spark, marker_path, query, batch_id, body(batch, batch_id))
+    run.with_query = lambda q: idempotent(marker_path, q, body)
     return run
 
 
+def attempt(batch_id: int) -> str:
+    """A folder name that no other attempt at this batch uses."""
+    return f"batch={batch_id:012d}-{uuid.uuid4().hex[:12]}"
+
+
+def committed_outputs(spark: SparkSession, marker_path: str) -> list[str]:
+    """Folder names of the committed batches, oldest first (one per batch)."""
+    m = _markers(spark, marker_path)
+    if m is None:
+        return []
+    return [r.output for r in m.filter(F.col("output").isNotNull()).orderBy("at").collect()]
+
+
+def read_batches(spark: SparkSession, table_path: str, marker_path: str) -> DataFrame | None:
+    """Rows that committed batches wrote under ``table_path``; what an attempt
+    without marker left behind is not read."""
+    outs = committed_outputs(spark, marker_path)
+    return spark.read.parquet(*[f"{table_path}/{o}" for o in outs]) if outs else None
+
+
 # ------------------------------------------------------- ledger (SNK5/EO3)
 def ledger_sink(ledger_path: str, marker_path: str, id_col: str, order_col: str = "off",
                 amount_col: str | None = "amount", query: str = "ledger"):
@@ -80,29 +103,24 @@ def ledger_sink(ledger_path: str, marker_path: str, id_col: str, order_col: str
 
 
 # -------------------------------------------------------- CDC replica (SNK4)
-def latest_version(spark: SparkSession, table_path: str) -> str | None:
-    """Directory of the newest replica version, or None before the first."""
-    vs = [d for d in _list_dirs(spark, table_path) if d.startswith("v=")]
-    return f"{table_path}/{vs[-1]}" if vs else None
-
-
-def read_replica(spark: SparkSession, table_path: str) -> DataFrame | None:
-    """The current replica (newest version), or None before the first."""
-    v = latest_version(spark, table_path)
-    return spark.read.parquet(v) if v else None
+def read_replica(spark: SparkSession, table_path: str, marker_path: str) -> DataFrame | None:
+    """The replica as of the last committed batch, or None before the first."""
+    outs = committed_outputs(spark, marker_path)
+    return spark.read.parquet(f"{table_path}/{outs[-1]}") if outs else None
 
 
 def cdc_replica_sink(table_path: str, marker_path: str, order_col: str = "off",
                      query: str = "cdc"):
-    """Apply each batch of change events to a versioned replica: version n+1
-    is written beside version n (never over the files being read), then the
-    batch is committed; readers take the highest committed version."""
-    def body(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cur = read_replica(spark, table_path)
+    """Apply each batch of change events to a versioned replica: every attempt
+    writes a folder of its own, never over the files being read, and readers take
+    the version that the last marker names."""
+    def body(batch: DataFrame, batch_id: int) -> str:
+        cur = read_replica(batch.sparkSession, table_path, marker_path)
         new = (cdc.apply_changes(batch, order_col) if cur is None
                else cdc.apply_incremental(cur, batch, order_col))
-        new.write.mode("overwrite").parquet(f"{table_path}/v={batch_id:012d}")
+        out = attempt(batch_id)
+        new.write.parquet(f"{table_path}/{out}")
+        return out
     return idempotent(marker_path, query, body)
 
 
@@ -110,14 +128,17 @@ def cdc_replica_sink(table_path: str, marker_path: str, order_col: str = "off",
 def dlq_router(main_path: str, dlq_path: str, marker_path: str, source_topic: str,
                query: str = "dlq"):
     """Validate a batch once and write good rows to the main table and dead
-    letters (original bytes + error headers) to the DLQ table."""
-    def body(batch: DataFrame, batch_id: int) -> None:
+    letters (original bytes + error headers) to the DLQ table, each into the
+    attempt's folder; :func:`read_batches` shows committed ones only."""
+    def body(batch: DataFrame, batch_id: int) -> str:
+        out = attempt(batch_id)
         classified = dlq.classify(batch).persist()
         try:
-            dlq.valid_rows(classified).drop("error").write.mode("append").parquet(main_path)
-            dlq.dead_letters(classified, source_topic).write.mode("append").parquet(dlq_path)
+            dlq.valid_rows(classified).drop("error").write.parquet(f"{main_path}/{out}")
+            dlq.dead_letters(classified, source_topic).write.parquet(f"{dlq_path}/{out}")
         finally:
             classified.unpersist()
+        return out
     return idempotent(marker_path, query, body)
 
 
@@ -138,7 +159,7 @@ def late_split_sink(main_body: Callable[[DataFrame, int], None], late_path: str,
     table, so it survives restarts; a replayed batch is skipped by the
     ``(query, batch_id)`` marker.
     """
-    def body(batch: DataFrame, batch_id: int) -> None:
+    def body(batch: DataFrame, batch_id: int) -> str:
         spark = batch.sparkSession
         wm = None
         if _exists(spark, state_path):
@@ -148,8 +169,10 @@ def late_split_sink(main_body: Callable[[DataFrame, int], None], late_path: str,
             on_time, late = batch, None
         else:
             on_time, late = batch.filter(t >= F.lit(wm)), batch.filter(t < F.lit(wm))
-        if late is not None:
-            late.write.mode("append").parquet(late_path)
+        out = attempt(batch_id)
+        if late is None:
+            late = batch.limit(0)
+        late.write.parquet(f"{late_path}/{out}")
         main_body(on_time, batch_id)
         top = batch.agg(F.max(t)).first()[0]
         if top is not None:
@@ -157,4 +180,5 @@ def late_split_sink(main_body: Callable[[DataFrame, int], None], late_path: str,
             spark.createDataFrame([(int(batch_id), float(new_wm))],
                                   "batch_id long, watermark double") \
                 .write.mode("append").parquet(state_path)
+        return out
     return idempotent(marker_path, query, body)

@@ -137,14 +137,13 @@ def test_header_lookup_last_wins(spark):
 
 
 def test_kafka_options():
-    s = kafka.KafkaSettings()
-    p = kafka.client_options(s, "producer")
-    assert p["kafka.acks"] == "all" and p["kafka.enable.idempotence"] == "true"
-    c = kafka.client_options(s, "consumer", **{"group.id": "g"})
-    assert "kafka.group.id" not in c
+    sink = kafka.connector_options("b:1", sink=True)
+    assert sink["kafka.acks"] == "all" and sink["kafka.enable.idempotence"] == "true"
+    assert kafka.connector_options("b:1", {"acks": 1}, sink=True)["kafka.acks"] == "1"
+    src = kafka.connector_options("b:1", {"group.id": "g", "kafka.auto.offset.reset": "latest",
+                                          "check.crcs": True})
+    assert src == {"kafka.bootstrap.servers": "b:1", "kafka.check.crcs": "true"}
     assert kafka.source_options(["a", "b"], read_committed=True)["subscribe"] == "a,b"
-    with pytest.raises(ValueError):
-        kafka.client_options(s, "nope")
 
 
 def test_whatif_unknown_scenario(spark):
@@ -153,15 +152,12 @@ def test_whatif_unknown_scenario(spark):
 
 
 def test_kafka_security_and_topic_guard(spark):
-    s = kafka.KafkaSettings(security_protocol="SASL_SSL", sasl_mechanism="PLAIN",
-                            sasl_username="u", sasl_password="p")
-    opts = kafka.client_options(s, "consumer")
+    opts = kafka.connector_options("b:1", login=("u", 'p"w'))
     assert opts["kafka.security.protocol"] == "SASL_SSL"
-    assert opts["kafka.sasl.mechanism"] == "PLAIN" and 'username="u"' in opts["kafka.sasl.jaas.config"]
-    assert "kafka.enable.auto.commit" not in opts and "kafka.auto.offset.reset" not in opts
+    assert opts["kafka.sasl.mechanism"] == "PLAIN"
+    assert 'username="u" password="p\\"w";' in opts["kafka.sasl.jaas.config"]
     with pytest.raises(ValueError):
-        kafka.write_kafka(spark.range(1).selectExpr("CAST(id AS STRING) AS value"),
-                          kafka.KafkaSettings())
+        kafka.write_kafka(spark.range(1).selectExpr("CAST(id AS STRING) AS value"), "b:1")
 
 
 def test_snapshot_diff_envelope(spark):

@@ -68,7 +68,7 @@ def test_topic_required(spark):
 
 def test_kafka_guard(spark):
     with pytest.raises(RuntimeError):
-        kafka.read_kafka(spark, kafka.KafkaSettings(), "t")
+        kafka.read_kafka(spark, "b:1", "t")
 
 
 def test_stream_counters_and_progress(spark):
@@ -163,7 +163,8 @@ def test_late_rows_go_to_side_table(spark):
     fn = sinks.late_split_sink(main, f"{root}/late", f"{root}/wm", f"{root}/batches",
                                "event_epoch", delay_s=2.0)
     jobs.run_foreach(stream, "late", fn, base=root)
-    late = sorted(r.id for r in spark.read.parquet(f"{root}/late").collect())
+    late = sorted(r.id for r in sinks.read_batches(spark, f"{root}/late",
+                                                   f"{root}/batches").collect())
     on_time = sorted(r.id for r in spark.read.parquet(f"{root}/main").collect())
     assert late == [3] and on_time == [1, 2, 4, 5]
 
