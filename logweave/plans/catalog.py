@@ -494,6 +494,53 @@ def topic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logtable.union_topics(o, p)
 
 
+ORDER_TOPIC, PAYMENT_TOPIC = "stream.order_events.v1", "stream.payment_events.v1"
+
+
+def _two_topic_log(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Orders and payments as one log directory, routed by key; its path."""
+    parts = [logtable.to_records(df, topic, "order_id", F.struct("order_id", "amount"),
+                                 F.col(t), num_partitions=6)
+             for df, topic, t in ((fx.order_events(spark, sf_dir), ORDER_TOPIC, "order_epoch"),
+                                  (fx.payment_events(spark, sf_dir), PAYMENT_TOPIC,
+                                   "payment_epoch"))]
+    path = sinks.scratch_path(checkpoint_dir(spark), name)
+    logtable.write_log(logtable.assign_offsets(logtable.union_topics(*parts)), path)
+    return path
+
+
+@register("log_key_routing")
+def log_key_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key of both topics lies in one partition number."""
+    log = logtable.read_log(spark, _two_topic_log(spark, sf_dir, "routed-log"))
+    return log.groupBy(serde.decode_key("key").alias("key")).agg(
+        F.count_distinct("partition").alias("n_partitions"), F.count("*").alias("n_records"))
+
+
+@register("stream_subscribe")
+def stream_subscribe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One subscription to two topics, a few files per micro-batch."""
+    path = _two_topic_log(spark, sf_dir, "subscribed-log")
+    log = logtable.read_log_stream(spark, path, [ORDER_TOPIC, PAYMENT_TOPIC],
+                                   max_files_per_trigger=6)
+    d = logtable.decode_messages(log, out="d")
+    out = d.select("topic", serde.decode_key("key").alias("key"),
+                   serde.to_number(F.col("d.json"), "amount").alias("amount"),
+                   F.unix_seconds("timestamp").alias("event_epoch"))
+    return jobs.run_available(out, "stream_subscribe")
+
+
+@register("stream_fanout")
+def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two groups over one log, each with its own checkpoint and offsets."""
+    path = _two_topic_log(spark, sf_dir, "fanout-log")
+    seen = [jobs.run_available(
+        logtable.read_log_stream(spark, path, topics).select(F.lit(grp).alias("grp"), "topic"),
+        f"fanout-{grp}") for grp, topics in (("audit", [ORDER_TOPIC, PAYMENT_TOPIC]),
+                                             ("billing", [PAYMENT_TOPIC]))]
+    return seen[0].unionByName(seen[1]).groupBy("grp", "topic").agg(F.count("*").alias("n"))
+
+
 # ----------------------------------------------------------------- streaming
 
 

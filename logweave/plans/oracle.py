@@ -135,15 +135,15 @@ SELECT event_id AS off, CAST(user_id AS VARCHAR) AS key,
 FROM events"""
 
 VIEWS["transfers_staged"] = f"""
-SELECT l_orderkey % 50 AS txn_id, CAST(l_orderkey AS VARCHAR) AS transfer_id, seq,
+SELECT CAST(l_orderkey // 16 AS BIGINT) AS txn_id, CAST(l_orderkey AS VARCHAR) AS transfer_id, seq,
        CAST(100 * l_linenumber AS BIGINT) AS amount, l_orderkey * 16 + seq AS off,
        {_SEC.format('l_shipdate')} AS ship_epoch
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) AS seq
       FROM lineitem) t"""
 
 VIEWS["txn_markers"] = """
-SELECT DISTINCT l_orderkey % 50 AS txn_id, 'commit' AS state
-FROM lineitem WHERE (l_orderkey % 50) % 7 <> 0"""
+SELECT DISTINCT CAST(l_orderkey // 16 AS BIGINT) AS txn_id, 'commit' AS state
+FROM lineitem WHERE (l_orderkey // 16) % 7 <> 0"""
 
 VIEWS["order_events"] = """
 SELECT txn_id AS order_id, amount, event_epoch AS order_epoch FROM transactions"""
@@ -731,6 +731,17 @@ ORACLE["stream_kpi"] = ORACLE["kpi_1m"].replace(
     "ORDER BY window_start", """WHERE (window_start + 60) * 1000 <=
       (SELECT max(epoch_us(ts)) // 1000 FROM events) - 2000
 ORDER BY window_start""")
+ORACLE["stream_subscribe"] = ORACLE["topic_union"]
+ORACLE["stream_fanout"] = with_views("""
+SELECT 'audit' AS grp, 'stream.order_events.v1' AS topic, count(*) AS n FROM order_events
+UNION ALL SELECT 'audit', 'stream.payment_events.v1', count(*) FROM payment_events
+UNION ALL SELECT 'billing', 'stream.payment_events.v1', count(*) FROM payment_events""",
+                                     "order_events", "payment_events")
+ORACLE["log_key_routing"] = with_views("""
+SELECT key, CAST(1 AS BIGINT) AS n_partitions, count(*) AS n_records
+FROM (SELECT order_id AS key FROM order_events
+      UNION ALL SELECT order_id FROM payment_events) u GROUP BY key""",
+                                       "order_events", "payment_events")
 ORACLE["stream_join"] = ORACLE["order_payment_join"]
 ORACLE["stream_dedup"] = ORACLE["dedup_first"]
 ORACLE["stream_cdc"] = ORACLE["cdc_apply"]

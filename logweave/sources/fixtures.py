@@ -225,7 +225,7 @@ def transfers_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
         "l_quantity", "l_discount", "l_tax", "l_linestatus", "l_shipdate")
     return (li.withColumn("seq", F.row_number().over(w).cast("bigint"))
-            .select((F.col("l_orderkey") % 50).alias("txn_id"),
+            .select(F.floor(F.col("l_orderkey") / 16).cast("bigint").alias("txn_id"),
                     _s("l_orderkey").alias("transfer_id"),
                     F.col("seq"),
                     (F.lit(100) * F.col("l_linenumber")).cast("bigint").alias("amount"),
@@ -237,7 +237,7 @@ def txn_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit markers: one ``commit`` row per committed transaction; aborted
     transactions (ids divisible by 7) have none."""
     li = table(spark, sf_dir, "lineitem")
-    t = (F.col("l_orderkey") % 50)
+    t = F.floor(F.col("l_orderkey") / 16).cast("bigint")
     return (li.select(t.alias("txn_id")).filter(F.col("txn_id") % 7 != 0).distinct()
             .withColumn("state", F.lit("commit")))
 

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from logweave.functions.materialize import computed
-from logweave.functions.serde import decode_key, decode_value, encode_value, parse_json
+from logweave.functions.serde import (decode_key, decode_value, encode_value, member_path,
+                                      parse_json)
 from logweave.operators.scan import global_positions
 
 HEADER = T.StructType([T.StructField("key", T.StringType()),
@@ -85,12 +86,11 @@ def assign_offsets(records: DataFrame, order: Sequence[str] = ("timestamp",),
     """
     keys = ["topic", "partition", *order, "key", "value"]
     pos = global_positions(records, keys)
-    # One row per log partition (a topic's partition count): broadcast.
     starts = pos.groupBy("topic", "partition").agg(F.min("_pos").alias("_p0"))
-    out = pos.join(F.broadcast(starts), ["topic", "partition"])
+    out = pos.join(starts, ["topic", "partition"])
     off = F.col("_pos") - F.col("_p0")
     if base is not None:
-        out = out.join(F.broadcast(base), ["topic", "partition"], "left")
+        out = out.join(base, ["topic", "partition"], "left")
         off = off + F.coalesce(F.col("next_offset"), F.lit(0))
     return out.withColumn("offset", off.cast("bigint")).select(*LOG_COLUMNS)
 
@@ -147,7 +147,7 @@ def starting_from(log: DataFrame, position: str = "earliest",
     if snapshot is None:
         raise ValueError("latest needs the log snapshot taken at start")
     marks = next_offsets(snapshot)          # one row per log partition
-    return (log.join(F.broadcast(marks), ["topic", "partition"], "left")
+    return (log.join(marks, ["topic", "partition"], "left")
             .filter(F.col("offset") >= F.coalesce(F.col("next_offset"), F.lit(0)))
             .drop("next_offset"))
 
@@ -166,7 +166,7 @@ def metadata(log: DataFrame, payload_fields: dict[str, str] | None = None) -> Da
     cols = [decode_key("key").alias("key"), "partition", "offset",
             (F.unix_micros("timestamp") / F.lit(1e6)).alias("ts")]
     for name, typ in (payload_fields or {}).items():
-        cols.append(F.try_variant_get("_v", f"$.{name}", typ).alias(name))
+        cols.append(F.try_variant_get("_v", member_path(name), typ).alias(name))
     return parsed.select(*cols)
 
 
