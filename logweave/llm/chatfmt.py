@@ -36,6 +36,8 @@ from logweave.operators.scan import pinned
 ROLES = ("assistant", "system", "tool", "user")
 #: Bound on the units that training reads.
 SAMPLE = 20_000
+#: Units in a range partition, which a task holds.
+UNITS_PER_PARTITION = 500_000
 #: Usual speaker names by role.
 SPEAKERS = {"assistant": "assistant ai bot chatbot model answer agent gpt response",
             "system": "system instruction instructions",
@@ -157,7 +159,8 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame, np.ndarray]:
 
 def viterbi(units: DataFrame, model: dict[str, np.ndarray], partitions: int | None = None) -> DataFrame:
     """rid, sub, role for every unit."""
-    n = partitions or int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                          units.count() // UNITS_PER_PARTITION + 1)
     order = ["ckey", "turn", "rid", "sub"]
     key = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
     rows = pinned(units.select(key.alias("ckey"), "turn", "rid", "sub", "mark", "size", "lines", "ask")
