@@ -180,7 +180,7 @@ def bag_score(text: str | None, model: dict[str, float], weight) -> tuple[float,
         clean -= soft
         if z >= 0:
             found.append({"start": a, "end": b, "score": -math.expm1(-soft)})
-    return -math.expm1(clean), found
+    return max(0.0, -math.expm1(clean)), found
 
 
 def score(docs: DataFrame, model: dict[str, float], id_col: str = "doc_id",
