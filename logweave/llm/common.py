@@ -36,6 +36,17 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     return staged(df.withColumn("rid", F.monotonically_increasing_id()), label)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """``names``, underscored until no column of ``df`` has one of them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the Arrow batches that reach Python workers."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from logweave.llm.common import numbered, small_batches, staged
+from logweave.llm.common import numbered, small_batches, spare, staged
 
 WINDOW = 10
 SHINGLE = 5
@@ -208,6 +208,7 @@ def keep_uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     key = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
     found = decontaminate(docs.select("text", key.alias("k")), items, id_col="k",
                           window=window, shingle=shingle)
-    bad = found.filter("n_hit > 0").select(F.col("doc_id").alias("k_bad")).distinct()
-    return docs.withColumn("k_row", key).join(bad, F.col("k_row") == F.col("k_bad"),
-                                              "left_anti").drop("k_row")
+    k_row, k_bad = spare(docs, "k_row", "k_bad")
+    bad = found.filter("n_hit > 0").select(F.col("doc_id").alias(k_bad)).distinct()
+    return docs.withColumn(k_row, key).join(bad, F.col(k_row) == F.col(k_bad),
+                                            "left_anti").drop(k_row)

@@ -156,31 +156,39 @@ def first_pass(block) -> bool | None:
     return None
 
 
+def nearest_label(groups: list[int], labels: list[bool | None]) -> list[bool | None]:
+    """Per block the label of the nearest decided block of its group (None without
+    one); a tie goes to the following block."""
+    n = len(labels)
+    near: list[int | None] = [None] * n
+    last: dict[int, int] = {}
+    for i in range(n - 1, -1, -1):
+        if labels[i] is not None:
+            last[groups[i]] = i
+        near[i] = last.get(groups[i])
+    last.clear()
+    for i in range(n):
+        if labels[i] is not None:
+            last[groups[i]] = i
+        before = last.get(groups[i])
+        if before is not None and (near[i] is None or i - before < near[i] - i):
+            near[i] = before
+    return [None if j is None else labels[j] for j in near]
+
+
 def second_pass(found: list, labels: list[bool | None]) -> list[bool]:
     """Ambiguous blocks inherit from the nearest decided neighbour, of their own
-    container if it has one; a tie goes to the following block.  A container
-    without decided blocks takes its kind (article or not), otherwise the page."""
-    n = len(found)
-    out = list(labels)
-
-    def nearest(i: int, same: bool) -> bool | None:
-        for d in range(1, n):
-            for j in (i + d, i - d):
-                if 0 <= j < n and labels[j] is not None and (not same or found[j][4] == found[i][4]):
-                    return labels[j]
-        return None
+    container if it has one.  A container without decided blocks takes its kind
+    (article or not), otherwise the page."""
+    own = nearest_label([b[4] for b in found], labels)
+    page = nearest_label([0] * len(found), labels)
 
-    boxes = {b[4] for b, x in zip(found, labels) if x is not None}
-    decided = any(x is not None for x in labels)
-    for i, x in enumerate(labels):
-        if x is None:
-            if found[i][4] in boxes:
-                out[i] = nearest(i, True)
-            elif found[i][3]:
-                out[i] = True
-            else:
-                out[i] = bool(nearest(i, False)) if decided else True
-    return out
+    def inherited(i: int) -> bool:
+        if own[i] is not None:
+            return own[i]
+        return found[i][3] or page[i] is not False
+
+    return [inherited(i) if x is None else x for i, x in enumerate(labels)]
 
 
 def main_text(page: str | None) -> str:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.common import numbered, small_batches, staged
+from logweave.llm.common import small_batches, spare, staged
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -293,8 +293,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tkey")).alias("f")
     per = staged(rows.groupBy("fp").agg(first), "simhash-codes")
     comp = components(fingerprint_links(per, max_bits, limit))
+    k_id, k_key, k_row = spare(docs, "k_id", "k_key", "k_row")
     kept = _named(per, comp).groupBy("root").agg(F.min("f").alias("f")) \
-        .select(F.col("f.doc_id").alias("k_id"), F.col("f.tkey").alias("k_key"))
-    d = docs.withColumn("k_row", text_key(F.col("text")))
-    return d.join(kept, d["doc_id"].eqNullSafe(kept["k_id"]) & (F.col("k_row") == F.col("k_key")),
-                  "left_semi").dropDuplicates(["doc_id", "k_row"]).drop("k_row")
+        .select(F.col("f.doc_id").alias(k_id), F.col("f.tkey").alias(k_key))
+    d = docs.withColumn(k_row, text_key(F.col("text")))
+    return d.join(kept, d["doc_id"].eqNullSafe(kept[k_id]) & (d[k_row] == kept[k_key]),
+                  "left_semi").dropDuplicates(["doc_id", k_row]).drop(k_row)

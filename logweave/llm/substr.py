@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from logweave.llm.common import numbered, small_batches, staged, words
+from logweave.llm.common import numbered, small_batches, spare, staged, words
 
 WINDOW = 35
 ROUNDS = 3
@@ -358,19 +358,20 @@ def remove_substrings(docs: DataFrame, window: int = WINDOW, hot_rows: int = HOT
     copies = base.groupBy("sha").agg(F.count("*").alias("c"), F.max("n_words").alias("w")) \
         .filter((F.col("c") > 1) & (F.col("w") >= window)) \
         .select(F.unhex(F.substring("sha", 1, 32)).alias("t"), F.lit(True).alias("gone"))
+    h_own, h_t, h_p, h_gone = spare(docs, "h_own", "h_t", "h_p", "h_gone")
     hit = places.join(copies, "t", "full").select(
-        F.col("t").alias("h_t"), F.when(F.col("gone"), F.array().cast("array<int>"))
-        .otherwise(F.col("p")).alias("h_p"), F.coalesce("gone", F.lit(False)).alias("h_gone"))
+        F.col("t").alias(h_t), F.when(F.col("gone"), F.array().cast("array<int>"))
+        .otherwise(F.col("p")).alias(h_p), F.coalesce("gone", F.lit(False)).alias(h_gone))
     own = F.unhex(F.substring(F.sha2(F.array_join(words(F.col("text")), " ").cast("binary"), 256),
                               1, 32))
-    joined = docs.withColumn("h_own", own).join(hit, F.col("h_own") == F.col("h_t"), "left")
+    joined = docs.withColumn(h_own, own).join(hit, F.col(h_own) == F.col(h_t), "left")
     out = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = b.column("text").to_pylist()
             size = b.column("n_chars").to_pylist()
-            p, gone = b.column("h_p"), b.column("h_gone").to_pylist()
+            p, gone = b.column(h_p), b.column(h_gone).to_pylist()
             for i, g in enumerate(gone):
                 if g is None:
                     continue

@@ -266,6 +266,21 @@ def test_html():
     assert htmltext.main_text(plain).split("\n")[-2:] == [flat, "Bye"]
 
 
+def test_nearest_label_of_many_blocks():
+    rnd = random.Random(3)
+    for n in (0, 1, 5, 60):
+        groups = [rnd.randrange(3) for _ in range(n)]
+        labels = [rnd.choice([True, False, None, None, None]) for _ in range(n)]
+        want = []
+        for i in range(n):
+            near = [(abs(i - j), j < i, j) for j in range(n)
+                    if groups[j] == groups[i] and labels[j] is not None]
+            want.append(labels[min(near)[2]] if near else None)
+        assert htmltext.nearest_label(groups, labels) == want
+    page = "<body><article>" + "<p>Yes.</p>" * 50_000 + "</article></body>"
+    assert htmltext.main_text(page) == "\n".join(["Yes."] * 50_000)
+
+
 def test_html_rows(spark):
     d = spark.createDataFrame([(1, None, None, 0), (None, "u", "<p>a</p>", 1), (1, None, None, 0)],
                               "page_id int, url string, html string, text int")
@@ -392,6 +407,19 @@ def test_stages(spark, docs):
         (r.doc_id, r.text) for r in src if "p10 p11" not in (r.text or ""))
 
 
+def test_stages_keep_columns_with_working_names(docs):
+    names = ["k_id", "k_key", "k_row", "k_bad", "h_own", "h_t", "h_p", "h_gone", "rid2"]
+    extra = docs.select("*", *[F.col("doc_id").alias(n) for n in names])
+    items = docs.sparkSession.createDataFrame([(1, "p1 p2 p3")], "item_id int, text string")
+    for stage in (simhash.keep_one, substr.remove_substrings,
+                  lambda d: decontam.keep_uncontaminated(d, items)):
+        out, plain = stage(extra), stage(docs)
+        assert out.columns == extra.columns
+        got = Counter(tuple(r) for r in out.select(*docs.columns).collect())
+        assert got == Counter(tuple(r) for r in plain.collect())
+        assert not out.filter(~F.col("k_row").eqNullSafe(F.col("doc_id"))).count()
+
+
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "substrings", "decontamination", "mixing"]
