@@ -592,3 +592,53 @@ def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.run_foreach(raw, "stream_dlq", sinks.dlq_router(f"{root}/main", f"{root}/dlq",
                                                          f"{root}/batches", MAIN_TOPIC))
     return _dlq_view(sinks.read_batches(spark, f"{root}/dlq", f"{root}/batches"))
+
+
+def _halves(df: DataFrame, path: str):
+    """Write ``df`` to a log folder in two appends, the later offsets second; yields the
+    stream over the folder after each."""
+    spark = df.sparkSession
+    cut = (F.col("off") * 2 <= F.lit(df.agg(F.max("off")).first()[0] or 0))
+    for part in (df.filter(cut), df.filter(~cut)):
+        part.write.mode("append").parquet(path)
+        yield spark.readStream.schema(df.schema).parquet(path)
+
+
+@register("stream_dedup_restart")
+def stream_dedup_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stream_dedup`` stopped halfway and started again on its checkpoint."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_dedup_restart")
+    markers = fx.txn_markers(spark, sf_dir)
+    for staged in _halves(fx.transfers_staged(spark, sf_dir), f"{root}/staged"):
+        ledger = jobs.dedup_stream(spark, staged, markers, "transfer_id", f"{root}/ledger",
+                                   f"{root}/batches", checkpoint=f"{root}/checkpoint")
+    return ledger
+
+
+@register("stream_cdc_restart")
+def stream_cdc_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stream_cdc`` stopped halfway and started again under a new checkpoint: changes
+    that the replica has already are applied a second time and change nothing."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_cdc_restart")
+    for i, changes in enumerate(_halves(fx.cdc_log(spark, sf_dir), f"{root}/changes")):
+        jobs.run_foreach(changes, "stream_cdc_restart",
+                         sinks.cdc_replica_sink(f"{root}/replica", f"{root}/batches"),
+                         checkpoint=f"{root}/checkpoint-{i}")
+    return sinks.read_replica(spark, f"{root}/replica", f"{root}/batches")
+
+
+@register("publish_atomic_retry")
+def publish_atomic_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two transactions published after an attempt that never committed, then again
+    after they did; a third one is aborted.  Readers see each row once."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "publish_atomic_retry")
+    rows = fx.transfers_staged(spark, sf_dir).drop("txn_id")
+    log, marks = f"{root}/staged", f"{root}/markers"
+    for txn in (0, 1):
+        mine = rows.filter(F.col("off") % 2 == txn)
+        eo.publish_atomic(mine.filter(F.col("off") % 3 == 0), txn, log, marks, commit=False)
+        for _ in range(2):
+            eo.publish_atomic(mine, txn, log, marks)
+    eo.publish_atomic(rows, 2, log, marks, commit=False)
+    return eo.read_committed(spark.read.parquet(log), spark.read.parquet(marks)).select(
+        "txn_id", "transfer_id", "seq", "amount", "off")

@@ -746,3 +746,8 @@ ORACLE["stream_join"] = ORACLE["order_payment_join"]
 ORACLE["stream_dedup"] = ORACLE["dedup_first"]
 ORACLE["stream_cdc"] = ORACLE["cdc_apply"]
 ORACLE["stream_dlq"] = ORACLE["dlq_route"]
+ORACLE["stream_dedup_restart"] = ORACLE["dedup_first"]
+ORACLE["stream_cdc_restart"] = ORACLE["cdc_apply"]
+ORACLE["publish_atomic_retry"] = with_views("""
+SELECT off % 2 AS txn_id, transfer_id, seq, amount, off FROM transfers_staged""",
+                                            "transfers_staged")
