@@ -550,6 +550,14 @@ def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_available(jobs.kpi_stream(ev, window_s=60), "stream_kpi")
 
 
+@register("stream_rolling")
+def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fx.analytics_events(spark, sf_dir, ev=fx.table_stream(spark, sf_dir, "events"))
+    live = jobs.rolling_stream(ev, window_s=60, slide_s=10)
+    return jobs.run_available(live, "stream_rolling").select(
+        F.unix_seconds("w.start").alias("window_start"), "window_count", "page_views", "purchases")
+
+
 @register("stream_join")
 def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = fx.order_events(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))

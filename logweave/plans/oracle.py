@@ -731,6 +731,15 @@ ORACLE["stream_kpi"] = ORACLE["kpi_1m"].replace(
     "ORDER BY window_start", """WHERE (window_start + 60) * 1000 <=
       (SELECT max(epoch_us(ts)) // 1000 FROM events) - 2000
 ORDER BY window_start""")
+ORACLE["stream_rolling"] = with_views("""
+SELECT window_start, count(*) AS window_count,
+       count(*) FILTER (WHERE type = 'page_view') AS page_views,
+       count(*) FILTER (WHERE type = 'purchase') AS purchases
+FROM (SELECT type, CAST(floor(event_epoch / 10) AS BIGINT) * 10
+                   - 10 * unnest(range(6)) AS window_start
+      FROM analytics_events) x
+WHERE (window_start + 60) * 1000 <= (SELECT max(epoch_us(ts)) // 1000 FROM events) - 2000
+GROUP BY window_start""", "analytics_events")
 ORACLE["stream_subscribe"] = ORACLE["topic_union"]
 ORACLE["stream_fanout"] = with_views("""
 SELECT 'audit' AS grp, 'stream.order_events.v1' AS topic, count(*) AS n FROM order_events

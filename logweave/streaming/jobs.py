@@ -51,15 +51,24 @@ def kpi_stream(events: DataFrame, window_s: int = 60, grace: str = "2 seconds",
 
 def rolling_stream(events: DataFrame, window_s: int = 60, slide_s: int = 1,
                    grace: str = "2 seconds", epoch_col: str = "event_epoch") -> DataFrame:
-    """Sliding-window KPIs refreshed every ``slide_s`` seconds (STR2); run it
-    in update mode with ``trigger(processingTime=...)`` for a live view."""
+    """Sliding-window KPIs every ``slide_s`` seconds (STR2), in append mode.
+
+    Events are first counted in buckets of one slide; a window sums its buckets.  So an
+    event makes one state row, not one per window that holds it, and only buckets are
+    spread over windows.  ``window_s`` is a multiple of ``slide_s``."""
+    if window_s % slide_s:
+        raise ValueError("the window must be a multiple of the slide")
     ts = to_event_timestamp(epoch_col)
     typ = F.col("type")
-    return (events.withColumn("_ts", ts).withWatermark("_ts", grace)
-            .groupBy(F.window("_ts", f"{window_s} seconds", f"{slide_s} seconds").alias("w"))
-            .agg(F.count(F.lit(1)).alias("window_count"),
-                 F.count_if(typ == PAGE_VIEW).alias("page_views"),
-                 F.count_if(typ == PURCHASE).alias("purchases")))
+    buckets = (events.withColumn("_ts", ts).withWatermark("_ts", grace)
+               .groupBy(F.window("_ts", f"{slide_s} seconds").alias("_b"))
+               .agg(F.count(F.lit(1)).alias("n"),
+                    F.count_if(typ == PAGE_VIEW).alias("views"),
+                    F.count_if(typ == PURCHASE).alias("bought"))
+               .withColumn("_bt", F.window_time("_b")))
+    return (buckets.groupBy(F.window("_bt", f"{window_s} seconds", f"{slide_s} seconds").alias("w"))
+            .agg(F.sum("n").alias("window_count"), F.sum("views").alias("page_views"),
+                 F.sum("bought").alias("purchases")))
 
 
 def join_stream(orders: DataFrame, payments: DataFrame, key: str = "order_id",
