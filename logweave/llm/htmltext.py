@@ -2,9 +2,14 @@
 
 A page is cut into blocks at block-level tags.  Pass one decides blocks by link
 density, length and stop-word density, and by the container they stand in
-(navigation, footer, form, advert and so on against article or main).  Short or
-middling blocks stay ambiguous; in pass two they inherit the label of the nearest
-decided neighbour, looked for in their own container first.
+(navigation, footer, form and so on against article or main).  Short or middling
+blocks stay ambiguous; in pass two they inherit the label of the nearest decided
+neighbour, looked for in their own container first.
+
+A hint is a class, role or id that names an advert, a menu, a widget and the like as
+a whole word.  It speaks against the blocks of its element up to an article in it,
+unless pass one finds long main text among them: then the two passes judge them all.
+Hidden elements and readers' comments are left out without that.
 
 Defined cases: null html gives an empty text; a page cut off in the middle of a
 tag, comment or script loses that piece only; repeated rows each give a row; an
@@ -49,43 +54,66 @@ _HINT = frozenset("""ad ads adv advert advertisement advertising banner sponsor
 promoted cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup nav
 navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead comment comments disqus reply
 replies respond share sharing social related recommended recommendations pagination pager login
-notice alert toolbar widget hidden complementary contentinfo""".split())
+notice alert toolbar widget complementary contentinfo ad-slot ad-container ad-banner ad-wrapper
+cookie-banner cookie-notice cookie-consent main-nav site-nav main-menu nav-menu site-navigation
+main-navigation site-footer page-footer site-sidebar sidebar-left sidebar-right left-sidebar
+right-sidebar related-posts related-articles share-buttons social-links social-share
+newsletter-signup comment-list comments-area comments-section""".split())
+_COMMENTS = frozenset("""comment comments disqus reply replies respond comment-list comments-area
+comments-section""".split())
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _RAW = "script|style|noscript|title|textarea|iframe|xmp|svg|template|object"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(%s)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)" % _RAW, re.S | re.I)
-_ATTR = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+")
+_ATTR = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s]+))?")
+_NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _hinted(attrs: str) -> bool:
-    if not attrs.strip():
-        return False
-    if _HIDDEN.search(attrs):
-        return True
-    return any(t in _HINT for m in _ATTR.finditer(attrs) for t in _SPLIT.split(m[1].lower()))
-
-
-def blocks(page: str) -> list[tuple[str, int, bool, bool, int, str]]:
-    """(text, characters in links, in boilerplate, in article, container, tag)."""
+def _marks(name: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
+    """(hidden or readers' comments, hinted at) of an element by its attributes."""
+    if not attrs or attrs.isspace() or name in ("html", "body"):
+        return False, False
+    out = hint = False
+    for m in _ATTR.finditer(attrs):
+        key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+        if key == "hidden" or key == "aria-hidden" and value.strip() == "true" \
+                or key == "style" and _NO_DISPLAY.search(value):
+            out = True
+        elif key in ("class", "role", "itemprop"):
+            found = _HINT.intersection(value.replace("_", "-").split())
+            hint = hint or bool(found)
+            out = out or not _COMMENTS.isdisjoint(found)
+        elif key in ("id", "aria-label"):
+            # Ids of headings and sections are link targets named after their topic.
+            if in_main and (name == "section" or name in _HEADING):
+                continue
+            value = value.strip().replace("_", "-")
+            hint = hint or value in _HINT
+            out = out or value in _COMMENTS
+    return out, hint
+
+
+def blocks(page: str) -> list[tuple[str, int, bool, bool, int, int]]:
+    """(text, characters in links, in boilerplate, in article, container, number of
+    the hinted element around it or 0)."""
     out: list = []
-    stack: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]
+    stack: list[tuple[str, bool, bool, int, int]] = [("", False, False, 0, 0)]
     text: list[str] = []
     linked: list[str] = []
-    depth_a, p_bad, tag_now, serial = 0, False, "", 0
+    depth_a, p_bad, p_hint, serial = 0, False, 0, 0
 
     def close():
-        nonlocal p_bad
+        nonlocal p_bad, p_hint
         t = " ".join(_html.unescape("".join(text)).split())
         if t:
-            _, bad, main, box = stack[-1]
+            _, bad, main, box, hint = stack[-1]
             a = " ".join(_html.unescape("".join(linked)).split())
-            out.append((t, len(a), bad or p_bad, main, box, tag_now))
+            out.append((t, len(a), bad or p_bad, main, box, p_hint or hint))
         text.clear()
         linked.clear()
-        p_bad = False
+        p_bad, p_hint = False, 0
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -114,21 +142,19 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int, str]]:
                 if stack[i][0] == name:
                     del stack[i:]
                     break
-            tag_now = ""
             continue
-        tag_now = name
-        bad = _hinted(m[4])
+        _, up_bad, up_main, _, up_hint = stack[-1]
+        bad, hint = _marks(name, m[4], up_main)
+        serial += 1
         if name in ("p", "li", "hr", "dt", "dd", "option") or name[0] == "h" and name[1:].isdigit():
-            p_bad = bad or name == "option"
+            p_bad, p_hint = bad or name == "option", serial if hint else 0
             continue
-        _, up_bad, up_main, _ = stack[-1]
-        serial += 1
         main = up_main or name in ("article", "main")
         bad = up_bad or bad or name in _BAD or name == "header" and not up_main
         if name in ("article", "main"):
-            bad = up_bad
+            bad, hint, up_hint = up_bad, False, 0
         if not m[4].rstrip().endswith("/"):
-            stack.append((name, bad, main, serial))
+            stack.append((name, bad, main, serial, serial if hint else up_hint))
     rest = page[at:]
     if rest:
         text.append(rest.split("<", 1)[0] if re.match(r"[^<]*<[a-zA-Z/!]?[^>]*\Z", rest) else rest)
@@ -137,7 +163,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int, str]]:
 
 
 def first_pass(block) -> bool | None:
-    """True main text, False boilerplate, None ambiguous."""
+    """True main text, False boilerplate, None ambiguous; hints left aside."""
     text, n_link, bad, main, _, _ = block
     if bad or text.lstrip()[:1] == "©":
         return False
@@ -156,6 +182,13 @@ def first_pass(block) -> bool | None:
     return None
 
 
+def hinted_pass(found: list, labels: list[bool | None]) -> list[bool | None]:
+    """The labels with the blocks of a hinted element as boilerplate, unless a long
+    one among them is main text."""
+    told = {b[5] for b, x in zip(found, labels) if x and len(b[0]) >= LONG}
+    return [False if b[5] and b[5] not in told else x for b, x in zip(found, labels)]
+
+
 def nearest_label(groups: list[int], labels: list[bool | None]) -> list[bool | None]:
     """Per block the label of the nearest decided block of its group (None without
     one); a tie goes to the following block."""
@@ -195,7 +228,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    kept = second_pass(found, [first_pass(b) for b in found])
+    kept = second_pass(found, hinted_pass(found, [first_pass(b) for b in found]))
     return "\n".join(b[0] for b, k in zip(found, kept) if k)
 
 

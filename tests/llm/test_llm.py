@@ -266,6 +266,27 @@ def test_html():
     assert htmltext.main_text(plain).split("\n")[-2:] == [flat, "Bye"]
 
 
+def test_hints_do_not_swallow_articles():
+    body = "The quick story of the town and the river that ran through it for many years. " * 4
+    flat = " ".join(body.split())
+    article = f"<article><p>{body}</p></article>"
+    for page in (f"<div style='overflow:hidden'>{article}</div>", f"<div class=widget>{article}</div>",
+                 f"<body class='single has-sidebar'>{article}</body>",
+                 f"<body class='sidebar'>{article}</body>", f"<div data-x='hidden'>{article}</div>",
+                 f"<div class='no-sidebar nav-open'>{article}</div>",
+                 f"<article><section id=related-work><p>{body}</p></section></article>",
+                 f"<article><section id=related><p>{body}</p></section></article>",
+                 f"<div class=overlay><p>{body}</p></div><div class=ad>Buy the thing</div>"):
+        assert htmltext.main_text(page) == flat, page
+    page = f"<article><h2 id=social-impact>Impact</h2><p>{body}</p><h2 id=social>More</h2></article>"
+    assert htmltext.main_text(page) == f"Impact\n{flat}\nMore"
+    page = f"<div class=overlay><p>{body}</p><p>Short.</p><div class=ad>Buy</div></div>"
+    assert htmltext.main_text(page) == f"{flat}\nShort."
+    for gone in ("hidden", "hidden=''", "style='color:red; display: none'", "aria-hidden=true",
+                 "class='big comments'", "id=comments"):
+        assert htmltext.main_text(f"{article}<div {gone}><p>{body}</p></div>") == flat, gone
+
+
 def test_nearest_label_of_many_blocks():
     rnd = random.Random(3)
     for n in (0, 1, 5, 60):
