@@ -62,10 +62,17 @@ newsletter-signup comment-list comments-area comments-section""".split())
 _COMMENTS = frozenset("""comment comments disqus reply replies respond comment-list comments-area
 comments-section""".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-_RAW = "script|style|noscript|title|textarea|iframe|xmp|svg|template|object"
+#: Raw text runs to its end tag or the end of the page.  Other elements without text
+#: of the page are left out with their content only if they end.
+_RAW = "script|style|textarea|title"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(%s)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(%s)(?=[\s/>]|\Z).*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)" % _RAW, re.S | re.I)
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
+        for name in ("noscript", "iframe", "xmp", "svg", "template", "object")}
+#: Tags that end an svg element which was left open, if it holds no foreign object.
+_NOT_SVG = re.compile(r"<(?:p|div|h[1-6]|ul|ol|table|body|nav|article|main|section)(?=[\s/>])", re.I)
+_FOREIGN = re.compile(r"<foreignobject(?=[\s/>])", re.I)
 _ATTR = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s]+))?")
 _NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -95,6 +102,25 @@ def _marks(name: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
     return out, hint
 
 
+def _past(page: str, name: str, attrs: str, at: int, seen: dict) -> int:
+    """Where the element whose tag ends at ``at`` is over.  ``seen`` keeps the next
+    place of each pattern, so that a page is searched once."""
+    def following(pattern):
+        span = seen.get(pattern, (-1, -1))
+        if span[0] < at:
+            m = pattern.search(page, at)
+            span = seen[pattern] = m.span() if m else (len(page) + 1, at)
+        return span
+
+    if attrs.rstrip().endswith("/"):
+        return at
+    start, end = following(_END[name])
+    if start > len(page) or name == "svg" and following(_NOT_SVG)[0] < start \
+            and following(_FOREIGN)[0] > start:
+        return at
+    return end
+
+
 def blocks(page: str) -> list[tuple[str, int, bool, bool, int, int]]:
     """(text, characters in links, in boilerplate, in article, container, number of
     the hinted element around it or 0)."""
@@ -115,8 +141,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int, int]]:
         linked.clear()
         p_bad, p_hint = False, 0
 
-    at = 0
-    for m in _TOKEN.finditer(page):
+    at, seen = 0, {}
+    while m := _TOKEN.search(page, at):
         piece = page[at:m.start()]
         at = m.end()
         if piece:
@@ -130,6 +156,9 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int, int]]:
         if name == "br":
             text.append(" ")
             continue
+        if name in _END and not m[2]:
+            at = _past(page, name, m[4], at, seen)
+            continue
         if name == "a":
             depth_a = 0 if m[2] else 1
             continue

@@ -287,6 +287,22 @@ def test_hints_do_not_swallow_articles():
         assert htmltext.main_text(f"{article}<div {gone}><p>{body}</p></div>") == flat, gone
 
 
+def test_raw_elements_end():
+    body = "The quick story of the town and the river that ran through it for many years. " * 4
+    flat = " ".join(body.split())
+    article = f"<article><p>{body}</p></article>"
+    for tag in ("<svg-icon></svg-icon>", "<title-bar></title-bar>", "<svg class='i'/>", "<svg class=i>",
+                "<svg viewBox='0 0 1 1' />", "<object data='x'/>", "<template/>", "<iframe src=x>",
+                "<noscript>", "<object-view>", "<svg><title>t</title><path d='M0'/></svg>",
+                "<template><p>no</p></template >", "<script >var a='<svg>'</script x>"):
+        assert htmltext.main_text(tag + article) == flat, tag
+        assert htmltext.main_text(tag + article + "<svg><text>no</text></svg>") == flat, tag
+        assert htmltext.main_text(f"<article><p>{body}{tag}</p></article>") == flat, tag
+    assert htmltext.main_text(article + "<script>var a = 1") == flat
+    for end in ("", "</svg>", "</iframe>"):
+        assert htmltext.main_text("<svg class=i>" * 20_000 + article + end) == flat
+
+
 def test_nearest_label_of_many_blocks():
     rnd = random.Random(3)
     for n in (0, 1, 5, 60):
