@@ -343,6 +343,53 @@ def test_licences(spark):
     assert not [k for k in got if k[0] is not None and k[0] < 100]
 
 
+def test_licence_phrases_name_one_family():
+    for family, phrases in licences.PHRASES.items():
+        for phrase in phrases:
+            assert len(phrase.split()) <= licences.MAX_WORDS // 2
+            assert not [f for f, texts in licences.TEXTS.items() if f != family
+                        and any(f" {phrase} " in f" {x} " for x in texts)]
+
+
+def test_licence_texts_and_short_forms(spark):
+    rnd = random.Random(2)
+    prose = [" ".join(rnd.choices(["tree", "the", "river", "and", "town", "old", "of"], k=30))
+             for _ in range(60)]
+    grant = ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software '
+             'and associated documentation files (the "Software"), to deal in the Software without '
+             'restriction, including without limitation the rights to use, copy, modify, merge, publish, '
+             'distribute, sublicense, and/or sell copies of the Software')
+    apache = ('Unless required by applicable law or agreed to in writing, software distributed under the '
+              'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND.')
+    bsd = ("Redistributions of source code must retain the above copyright notice, this list of conditions "
+           "and the following disclaimer.")
+    gpl = ("it under the terms of the GNU {}General Public License as published by the Free Software "
+           "Foundation, either version {} of the License, or (at your option) any later version.")
+    want = [
+        (grant, "mit"), (f"{prose[0]} {grant} {prose[1]}", "mit"), (grant[:76], "mit"),
+        (grant[77:150], "mit"), (apache, "apache-2.0"), (f"{prose[2]} {apache}", "apache-2.0"),
+        ("http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"),
+        (bsd, "bsd"), (f"{prose[3]} {bsd} {prose[4]}", "bsd"),
+        ("* Redistributions in binary form must reproduce the above copyright notice,", "bsd"),
+        (gpl.format("", 3), "gpl-3.0"), (gpl.format("", 2), "gpl-2.0"),
+        (gpl.format("Lesser ", 3), "lgpl"), (gpl.format("Affero ", 3), "agpl"),
+        ("purpose with or without fee is hereby granted, provided that the above copyright notice", "isc"),
+        ("If a copy of the MPL was not distributed with this file, You can obtain one", "mpl-2.0"),
+        ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"), ("SPDX-License-Identifier: MIT", "mit"),
+        ("SPDX-License-Identifier: ISC", "isc"), ("BSD-3-Clause", "bsd"),
+        ("SPDX-License-Identifier: GPL-3.0-or-later", "gpl-3.0"),
+        ("GNU General Public License v3.0", "gpl-3.0"), ("CC BY 3.0", "cc-by"),
+        ("https://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa"),
+        (f"{prose[5]} licensed under CC BY-NC 4.0 {prose[6]}", "cc-by-nc"),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of "
+         "the software and accompanying documentation covered by this license", "unknown")]
+    data = [(i, x) for i, x in enumerate(prose)] + [(100 + i, x) for i, (x, _) in enumerate(want)]
+    data.append((99, "the town was old and the people of the river had permission to copy the tree"))
+    got = {r.doc_id: r.family for r in licences.scan(
+        spark.createDataFrame(data, "doc_id int, text string")).collect()}
+    assert {100 + i: f for i, (_, f) in enumerate(want)} == got
+
+
 # --- repeated substrings
 
 def brute_substr(texts):
