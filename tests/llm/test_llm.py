@@ -455,6 +455,17 @@ def test_quality(docs):
     assert Counter(tuple(r) for r in got) == want
 
 
+def test_quality_limits_of_small_and_large_hosts(spark):
+    def host(name, n, held):
+        return [(f"{name}{i}", " ".join(f"{name}{i}w{k}" for k in range(12))
+                 + ("\nsubscribe to our letter" if i < held else ""), name) for i in range(n)]
+
+    data = host("a", 500, 20) + host("b", 500, 21) + host("c", 2500, 25) + host("d", 2500, 26)
+    got = quality.quality_rules(spark.createDataFrame(data, "doc_id string, text string, source string"))
+    lost = Counter(r.doc_id[0] for r in got.filter("n_boilerplate_words = 4").collect())
+    assert lost == {"b": 21, "d": 26}
+
+
 # --- empty tables, pipeline
 
 def test_empty_tables(spark, empty):
