@@ -5,9 +5,9 @@ source's size is reshared among the others.  The documents of a source stand in
 shuffled order (hash of the id).  A document's virtual finish time is the
 source's cumulative words up to and including it divided by the source's
 target, later epochs following on.  The copies of all sources are merged in the
-order of virtual finish time and the stream is truncated at the total budget;
-documents still in service when it runs out are cut to what their source has
-left.
+order of virtual finish time.  The quota of a source makes the cut: its document
+in service at virtual time 1 is cut to what the source has left.  The quotas sum to
+the total budget at most, so truncating the stream there removes nothing more.
 
 All steps are DataFrame operations.  Running sums never gather a source in one
 task: rows are dealt into hash buckets, summed per bucket, and only the
