@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +72,10 @@ def hash_sample(df: DataFrame, keys: list[str], n: int, total: int | None = None
     if total > 4 * n:
         df = df.filter(F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(1 << 30)) < int(4 * n / total * (1 << 30)))
     return df.orderBy(h, *(order or keys)).limit(n)
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit values, one to one."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))

@@ -111,5 +111,65 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT
 FROM d LEFT JOIN per USING (rid) LEFT JOIN kept USING (rid)
 """
 
+_PHRASES = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws
+      FROM p),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+            FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k)
+      GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS ws
+      FROM g WHERE k > 1),
+s AS (SELECT c.lang, c.k, c.phrase, c.a, c.cut, l.f AS l, r.f AS r,
+             CAST(2000000::HUGEINT * c.a // (l.f::HUGEINT + r.f) AS BIGINT) AS score
+      FROM c JOIN g l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(ws[1:cut], ' ')
+      JOIN g r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(ws[cut + 1:c.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+sub AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(f) AS longer
+        FROM (SELECT lang, f, ws, m, unnest(range(1, k - m + 2)) AS i
+              FROM (SELECT lang, k, f, string_split(phrase, ' ') AS ws, unnest(range(2, k)) AS m
+                    FROM g WHERE k > 2)) GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank,
+       b.phrase, a, l, r, n, score
+FROM b JOIN n ON n.lang = b.lang LEFT JOIN sub ON sub.lang = b.lang AND sub.phrase = b.phrase
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
+_FIM = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+             regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS ls FROM documents),
+e AS (SELECT *, len(ls) AS n, ('0x' || h[1:8])::BIGINT % (len(ls) + 1) AS x,
+        ('0x' || h[9:16])::BIGINT % (len(ls) + 1) AS y,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+             WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(ls[1:least(x, y)], '') AS prefix,
+        array_to_string(ls[least(x, y) + 1:greatest(x, y)], '') AS middle,
+        array_to_string(ls[greatest(x, y) + 1:n], '') AS suffix FROM e)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+_WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS digest FROM pages),
+r AS (SELECT page_id, octet_length(b) AS n, digest,
+             row_number() OVER (PARTITION BY digest ORDER BY page_id NULLS LAST) AS place,
+             first_value(page_id) OVER (PARTITION BY digest ORDER BY page_id NULLS LAST) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND place > 1 THEN first END AS refers_to
+FROM r
+"""
+
 ORACLE = {"op2_decontamination": _DECON, "op4_mixing": _MIX, "op9_substring_dedup": _SUBSTRING,
-          "op10_quality_rules": _QUALITY}
+          "op10_quality_rules": _QUALITY, "op11_phrase_mining": _PHRASES,
+          "op12_fill_in_middle": _FIM, "op13_warc": _WARC}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import (chatfmt, decontam, htmltext, licences, mixing, quality, simhash, substr,
-                          tokencount, toxicity)
+from logweave.llm import (chatfmt, decontam, fim, htmltext, licences, mixing, phrases, quality,
+                          simhash, substr, tokencount, toxicity, warc)
 from logweave.llm.common import table
 
 
@@ -58,6 +58,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(table(spark, sf_dir, "documents"), with_output=False)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -66,4 +79,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_simhash_dedup, op2_decontamination, op3_token_counts, op4_mixing, op5_toxicity,
     op6_chat_formatting, op7_html_extraction, op8_licence_scan, op9_substring_dedup,
-    op10_quality_rules, pipeline)}
+    op10_quality_rules, op11_phrase_mining, op12_fill_in_middle, op13_warc, pipeline)}
