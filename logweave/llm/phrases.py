@@ -49,10 +49,10 @@ BYTES_PER_PART = 4 << 20
 #: Capacity of a summary as a multiple of mass / threshold.
 SLACK = 2
 #: Bounds of one task: bytes of text taken at a time, names held before they are sent.
-BLOCK_BYTES = 4 << 20
-HELD_NAMES = 3_000_000
+BLOCK_BYTES = 2 << 20
+HELD_NAMES = 1_500_000
 #: Names in one row of the shuffle.
-ROW_NAMES = 1 << 14
+ROW_NAMES = 1 << 12
 #: The broadcast filter has at most this many bits (16 MB).
 FILTER_BITS = 1 << 27
 #: Phrases of one language that a ranking task holds.
@@ -243,8 +243,11 @@ def surviving_names(texts: DataFrame, threshold: int, max_words: int, parts: int
                 names.append(n)
                 counts.append(c)
             if sum(map(len, names)) > HELD_NAMES:
-                yield from _send(*merge(names, counts), parts)
-                names, counts = [], []
+                n, c = merge(names, counts)
+                names, counts = [n], [c]
+                if len(n) > HELD_NAMES // 2:
+                    yield from _send(n, c, parts)
+                    names, counts = [], []
         if names:
             yield from _send(*merge(names, counts), parts)
 
@@ -258,18 +261,19 @@ def surviving_names(texts: DataFrame, threshold: int, max_words: int, parts: int
                     yield pa.record_batch([pa.array(kept)], names=["name"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["part"] != part:
+            for i in range(batch.num_rows):
+                p, kind, more_mass, ones, more, counts = (c[i].as_py() for c in batch.columns)
+                if p != part:
                     yield from done()
-                    part, mass, summary = row["part"], 0, None
-                if row["kind"] == 0:                    # these come first
-                    mass += row["mass"]
+                    part, mass, summary = p, 0, None
+                if kind == 0:                           # these come first
+                    mass += more_mass
                     continue
                 if summary is None:
                     summary = Summary(SLACK * mass // threshold + 1)
-                ones, more = _unpack(row["ones"]), _unpack(row["names"])
-                summary.add(np.r_[ones, more], np.r_[np.ones(len(ones), np.int64),
-                                                     np.frombuffer(row["counts"], "<i8")])
+                one = _unpack(ones)
+                summary.add(np.r_[one, _unpack(more)],
+                            np.r_[np.ones(len(one), np.int64), np.frombuffer(counts, "<i8")])
         yield from done()
 
     n = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
