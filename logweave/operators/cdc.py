@@ -52,15 +52,40 @@ def apply_changes(df: DataFrame, order_col: str = "off", key: str = "id") -> Dat
     return last.filter(F.col("_last.op") != OP_DELETE).select("_last.after.*")
 
 
+def latest_changes(df: DataFrame, order_col: str = "off", key: str = "id") -> DataFrame:
+    """The last change of each key as a row of a versioned replica: ``_key``, ``_off`` (the
+    change's offset), ``_deleted`` and ``_row`` (null for a deleted key)."""
+    return (applicable(df).groupBy(change_key(key=key).alias("_key"))
+            .agg(F.max_by(F.struct(F.col(order_col).alias("_off"),
+                                   (F.col("op") == OP_DELETE).alias("_deleted"),
+                                   F.when(F.col("op") != OP_DELETE, F.col("after")).alias("_row")),
+                          F.col(order_col)).alias("_last"))
+            .select("_key", "_last.*"))
+
+
+def latest_rows(rows: DataFrame) -> DataFrame:
+    """Per key of a versioned replica the row with the highest offset."""
+    return (rows.groupBy("_key")
+            .agg(F.max_by(F.struct("_off", "_deleted", "_row"), F.col("_off")).alias("_last"))
+            .select("_key", "_last.*"))
+
+
 def apply_incremental(replica: DataFrame, changes: DataFrame, order_col: str = "off",
                       key: str = "id") -> DataFrame:
-    """New replica = untouched rows of ``replica`` + surviving upserts of the
-    batch (the ``foreachBatch`` form of CDC1)."""
+    """New replica = untouched rows of ``replica`` + surviving upserts of the batch.  The
+    changes must be later than the replica; :func:`merge_changes` takes them in any order."""
     touched = (applicable(changes).select(change_key(key=key).alias(key)).distinct())
     return (replica.join(touched, key, "left_anti")
             .unionByName(apply_changes(changes, order_col, key)))
 
 
+def merge_changes(versions: DataFrame, changes: DataFrame, order_col: str = "off",
+                  key: str = "id") -> DataFrame:
+    """A versioned replica (see :func:`latest_changes`) after more changes, in any order: a
+    change older than the row or tombstone it meets does nothing."""
+    return latest_rows(versions.unionByName(latest_changes(changes, order_col, key)))
+
+
 def replica_count(replica: DataFrame) -> DataFrame:
     """Row count of the replica (AG11)."""
     return replica.agg(F.count(F.lit(1)).alias("n"))
@@ -74,6 +99,8 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "id",
 
     Output: op, before, after (row structs) [, source, ts_ms].
     """
+    if set(old.columns) != set(new.columns):
+        raise ValueError(f"columns differ: {sorted(set(old.columns) ^ set(new.columns))}")
     cols = [c for c in old.columns]
     o = old.select(F.col(key).alias("_k"), F.struct(*cols).alias("before"))
     n = new.select(F.col(key).alias("_k"), F.struct(*cols).alias("after"))

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.functions.numeric import ratio_round, round_dp
@@ -131,3 +132,74 @@ def bench_report(throughput: DataFrame, config_col: str = "config") -> DataFrame
                  _fmt_int(F.round(F.col("msg_per_s").cast("decimal(38,1)"), 0)),
                  F.lit(" | "), F.format_number(F.col("mb_per_s").cast("decimal(38,2)"), 2),
                  F.lit(" |")).alias("line"))
+
+
+# The members of the result files.
+THROUGHPUT_RESULT = ("config string, count bigint, elapsed_s double, msg_per_s double, "
+                     "mb_per_s double")
+LATENCY_RESULT = ("measured bigint, p50_ms double, p95_ms double, p99_ms double, max_ms double")
+
+
+def _result_text(spark: SparkSession, path: str) -> DataFrame:
+    """One row with the text of a result file; null if it is absent."""
+    try:
+        found = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], "value string")
+    return found.agg(F.max("value").alias("text"))
+
+
+def report_document(spark: SparkSession, throughput_path: str, latency_path: str) -> DataFrame:
+    """The benchmark report as an ordered document (SNK8): line_no, line.
+
+    ``throughput_path`` is a JSON array with one object per configuration, ``latency_path``
+    one JSON object.  A file that is absent, empty, no JSON or of the other kind makes its
+    section say that there are no results; a missing member counts as 0, a missing
+    configuration name as ``?``."""
+    n = lambda c, kind: F.coalesce(c, F.lit(0).cast(kind))
+    text = F.col("text")
+    rows = F.when(F.json_array_length(text) > 0, F.from_json(text, f"array<struct<{_fields(THROUGHPUT_RESULT)}>>"))
+    sweep = F.transform(rows, lambda r: F.concat(
+        F.lit("| "), F.coalesce(r["config"], F.lit("?")), F.lit(" | "),
+        F.format_number(n(r["count"], "bigint"), 0), F.lit(" | "),
+        _plain(n(r["elapsed_s"], "double")), F.lit(" | "),
+        F.format_number(F.bround(n(r["msg_per_s"], "double").cast("decimal(38,6)"), 0), 0), F.lit(" | "),
+        n(r["mb_per_s"], "double").cast("decimal(38,2)").cast("string"), F.lit(" |")))
+    t = _result_text(spark, throughput_path).select(_section(
+        "## Producer throughput (sweep)", F.concat(_lines(
+            "| Config | Messages | Elapsed (s) | msg/s | MB/s |", "|---|---:|---:|---:|---:|"), sweep),
+        "_No throughput results._").alias("throughput"))
+    one = F.when(F.json_object_keys(text).isNotNull(), F.from_json(text, LATENCY_RESULT))
+    values = F.array(*[F.concat(F.lit(f"| {label} | "), n(one[c], kind).cast("string") if kind == "bigint"
+                                else _plain(n(one[c], kind)), F.lit(" |"))
+                       for label, c, kind in (("measured", "measured", "bigint"), ("P50", "p50_ms", "double"),
+                                              ("P95", "p95_ms", "double"), ("P99", "p99_ms", "double"),
+                                              ("max", "max_ms", "double"))])
+    lat = _result_text(spark, latency_path).select(_section(
+        "## End-to-end latency", F.when(one.isNotNull(), F.concat(
+            _lines("| Metric | Value (ms) |", "|---|---:|"), values)),
+        "_No latency results._").alias("latency"))
+    # one row beside one row
+    return t.crossJoin(lat).select(F.posexplode(F.concat(
+        _lines("# Benchmark Report", ""), "throughput", "latency")).alias("pos", "line")) \
+        .select((F.col("pos") + 1).cast("bigint").alias("line_no"), "line")
+
+
+def _fields(ddl: str) -> str:
+    return ddl.replace(" ", ":").replace(",:", ",")
+
+
+def _plain(c: Column) -> Column:
+    """A DOUBLE as text with at least one and at most six places, never with an exponent."""
+    text = F.regexp_replace(c.cast("decimal(38,6)").cast("string"), "0+$", "")
+    return F.regexp_replace(text, r"\.$", ".0")
+
+
+def _lines(*lines: str) -> Column:
+    return F.array(*[F.lit(x) for x in lines])
+
+
+def _section(title: str, body: Column, none: str) -> Column:
+    return F.concat(_lines(title, ""), F.coalesce(body, _lines(none)), _lines(""))

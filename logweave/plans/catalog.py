@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.functions import jsonschema, serde
@@ -26,7 +26,7 @@ from logweave.operators import windows
 from logweave.session import checkpoint_dir
 from logweave.sources import fixtures as fx
 from logweave.sources import logtable
-from logweave.streaming import jobs, sinks
+from logweave.streaming import commits, jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -599,7 +599,7 @@ def stream_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.raw_orders(spark, sf_dir, orders=fx.table_stream(spark, sf_dir, "orders"))
     jobs.run_foreach(raw, "stream_dlq", sinks.dlq_router(f"{root}/main", f"{root}/dlq",
                                                          f"{root}/batches", MAIN_TOPIC))
-    return _dlq_view(sinks.read_batches(spark, f"{root}/dlq", f"{root}/batches"))
+    return _dlq_view(sinks.read_table(spark, "dlq", f"{root}/dlq", f"{root}/batches"))
 
 
 def _halves(df: DataFrame, path: str):
@@ -635,6 +635,217 @@ def stream_cdc_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_replica(spark, f"{root}/replica", f"{root}/batches")
 
 
+def _slices(df: DataFrame, path: str, n: int, slice_no: Column, files: int = 2):
+    """Write ``df`` to a log folder in ``n`` appends of ``files`` files, the rows of a slice
+    together; yields after each.  Read with ``maxFilesPerTrigger=files`` a slice is a batch."""
+    df = df.withColumn("_slice", slice_no).persist()
+    try:
+        for i in range(n):
+            df.filter(F.col("_slice") == i).drop("_slice").repartition(files) \
+                .write.mode("append").parquet(path)
+            yield i
+    finally:
+        df.unpersist()
+
+
+def _stream_of(spark: SparkSession, path: str, like: DataFrame, files: int | None = 2) -> DataFrame:
+    r = spark.readStream.schema(like.schema)
+    return (r.option("maxFilesPerTrigger", files) if files else r).parquet(path)
+
+
+@register("stream_late_split")
+def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows kept apart (STR4): events arrive by quarters of their time span, every
+    20th one quarter late, some without a time; stopped and started again halfway."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_late_split")
+    log = fx.arriving_events(spark, sf_dir)
+    for i in _slices(log, f"{root}/log", 4, F.col("arrival")):
+        if i % 2:
+            live = jobs.tag_late(_stream_of(spark, f"{root}/log", log), delay="2 seconds", window_s=60)
+            jobs.run_foreach(live, "stream_late_split", sinks.late_split_sink(
+                f"{root}/main", f"{root}/late", f"{root}/commits"), checkpoint=f"{root}/checkpoint")
+    parts = [sinks.read_table(spark, name, f"{root}/{name}", f"{root}/commits")
+             .withColumn("late", F.lit(name == "late")) for name in ("main", "late")]
+    return parts[0].unionByName(parts[1]).select("event_id", "event_epoch", "late")
+
+
+@register("stream_cdc_bucketed")
+def stream_cdc_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert store (SNK4) fed out of order: updates and deletes first, creates after them,
+    then everything once more under a new checkpoint."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_cdc_bucketed")
+    log = fx.cdc_log(spark, sf_dir)
+    order = F.when(F.col("op") == "c", 1).otherwise(0)
+    for _ in _slices(log, f"{root}/changes", 2, order):
+        pass
+    for run in range(2):
+        jobs.run_foreach(_stream_of(spark, f"{root}/changes", log), "stream_cdc_bucketed",
+                         sinks.cdc_replica_sink(f"{root}/replica", f"{root}/commits"),
+                         checkpoint=f"{root}/checkpoint-{run}")
+    return sinks.read_replica(spark, f"{root}/replica", f"{root}/commits")
+
+
+def _order_payment_stream(spark: SparkSession, sf_dir: str, name: str, payments: DataFrame) -> DataFrame:
+    """Orders and payments as one time-ordered log in four micro-batches, joined as a stream."""
+    root = sinks.scratch_path(checkpoint_dir(spark), name)
+    o = fx.order_events(spark, sf_dir).withColumnRenamed("order_epoch", "t")
+    log = o.withColumn("method", F.lit(None).cast("string")).withColumn("side", F.lit(0)).unionByName(
+        payments.withColumnRenamed("payment_epoch", "t").withColumn("side", F.lit(1)))
+    span = log.agg(F.min("t"), F.max("t") + 1).first()
+    quarter = F.floor(4 * (F.col("t") - F.lit(span[0])) / F.lit((span[1] or 1) - (span[0] or 0)))
+    for _ in _slices(log, f"{root}/log", 4, quarter):
+        pass
+    side = lambda n, t, *cols: _stream_of(spark, f"{root}/log", log).filter(F.col("side") == n) \
+        .select("order_id", "amount", F.col("t").alias(t), *cols)
+    live = jobs.consume_stream(side(0, "order_epoch"), side(1, "payment_epoch", "method"),
+                               bound_s=JOIN_WINDOW_S)
+    return jobs.run_available(live, name)
+
+
+def _member(col: str, name: str, kind: str) -> Column:
+    return F.get_json_object(col, f"$.{name}").cast(kind)
+
+
+@register("stream_consume")
+def stream_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_payment_consume`` as a stream over several micro-batches."""
+    out = _order_payment_stream(spark, sf_dir, "stream_consume", fx.payment_events_repeated(spark, sf_dir))
+    return out.filter("matched").select(
+        F.col("key").alias("order_id"), _member("order_json", "amount", "double").alias("order_amount"),
+        _member("payment_json", "amount", "double").alias("payment_amount"),
+        _member("payment_json", "method", "string").alias("method"),
+        F.col("order_t").cast("bigint").alias("order_epoch"),
+        F.col("payment_t").cast("bigint").alias("payment_epoch"))
+
+
+@register("stream_expiry")
+def stream_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that the watermark expires without a payment (JN4)."""
+    out = _order_payment_stream(spark, sf_dir, "stream_expiry", fx.payment_events(spark, sf_dir))
+    return out.filter("NOT matched").select(
+        F.col("key").alias("order_id"), _member("order_json", "amount", "double").alias("amount"),
+        F.col("order_t").cast("bigint").alias("order_epoch"))
+
+
+@register("stream_fold")
+def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fold_all`` kept up to date over four batches (AG5); each batch holds events of many
+    orders, and later events of an order may come before earlier ones."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_fold")
+    log = fx.order_log(spark, sf_dir)
+    for _ in _slices(log, f"{root}/log", 4, ((F.col("seq") + 3) % 4).cast("int")):
+        pass
+    jobs.run_foreach(_stream_of(spark, f"{root}/log", log), "stream_fold", sinks.fold_sink(
+        f"{root}/events", f"{root}/states", f"{root}/commits"))
+    return sinks.read_states(spark, f"{root}/states", f"{root}/commits")
+
+
+@register("ledger_indexed")
+def ledger_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger in hash buckets with filters (SNK5), over four batches with redeliveries."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "ledger_indexed")
+    staged = fx.transfers_staged(spark, sf_dir)
+    top = staged.agg(F.max("off")).first()[0] or 0
+    part = F.least(F.lit(3), F.floor(4 * F.col("off") / F.lit(top + 1))).cast("int")
+    for _ in _slices(staged, f"{root}/staged", 4, part):
+        pass
+    return jobs.dedup_stream(spark, _stream_of(spark, f"{root}/staged", staged),
+                             fx.txn_markers(spark, sf_dir), "transfer_id", f"{root}/ledger",
+                             f"{root}/commits")
+
+
+@register("stream_from_latest")
+def stream_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A group started at ``latest`` (SRC3), stopped, and started again after more records."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_from_latest")
+    log = _txn_log(spark, sf_dir)
+    old = F.col("timestamp") < F.lit(LATEST_FROM).cast("timestamp")
+    for part in (log.filter(old), log.filter(~old)):
+        logtable.write_log(part, f"{root}/log")
+        live = logtable.read_log_stream_latest(spark, f"{root}/log", f"{root}/start", [TXN_TOPIC])
+        got = jobs.run_available(live.select(serde.decode_key("key").alias("key"), "partition", "offset"),
+                                 "stream_from_latest", out=f"{root}/out", checkpoint=f"{root}/checkpoint")
+    return got
+
+
+def _recovery(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The DLQ processor over the dead letters of ``raw_orders``, stopped halfway; its folder."""
+    root = sinks.scratch_path(checkpoint_dir(spark), name)
+    raw = fx.raw_orders(spark, sf_dir)
+    checked = dlq.classify(raw)
+    part = F.pmod(F.col("key").cast("bigint"), F.lit(3)).cast("int")
+    main = logtable.to_records(dlq.valid_rows(checked), MAIN_TOPIC, "key", F.col("value"),
+                               F.timestamp_seconds("off"), part)
+    main = logtable.assign_offsets(main)
+    dead = dlq.dead_letters(checked, MAIN_TOPIC).withColumn(
+        "off", header_value("headers", "source_offset").cast("bigint"))
+    for live in _halves(dead, f"{root}/dlq"):
+        jobs.run_foreach(live, name, sinks.dlq_recovery_sink(
+            f"{root}/main", f"{root}/poison", f"{root}/commits", MAIN_TOPIC, main, part),
+            checkpoint=f"{root}/checkpoint")
+    return root
+
+
+@register("stream_dlq_recover")
+def stream_dlq_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recovered dead letters with the offsets they get in the main topic (ST2)."""
+    root = _recovery(spark, sf_dir, "stream_dlq_recover")
+    return sinks.read_table(spark, "recovered", f"{root}/main", f"{root}/commits").select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+        "partition", "offset")
+
+
+@register("stream_poison")
+def stream_poison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The poison table (DLQ4)."""
+    root = _recovery(spark, sf_dir, "stream_poison")
+    return sinks.read_table(spark, "poison", f"{root}/poison", f"{root}/commits").select(
+        "key", F.col("value").cast("string").alias("value"), "error")
+
+
+@register("stream_counters")
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the DLQ router (AG6, UDF3) over two batches, the second after a restart."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "stream_counters")
+    for live in _halves(fx.raw_orders(spark, sf_dir), f"{root}/log"):
+        jobs.run_foreach(live, "stream_counters", sinks.dlq_router(
+            f"{root}/main", f"{root}/dlq", f"{root}/commits", MAIN_TOPIC), checkpoint=f"{root}/checkpoint")
+    return sinks.counters(spark, f"{root}/commits")
+
+
+@register("publish_fenced")
+def publish_fenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A producer that is replaced while it still runs: what it publishes afterwards is refused,
+    and its successor publishes the same transaction once (EO4)."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "publish_fenced")
+    rows = fx.transfers_staged(spark, sf_dir).drop("txn_id")
+    odd = rows.filter(F.col("off") % 2 == 1)
+    first = commits.TransactionalWriter(spark, root, "transfers")
+    first.publish(rows.filter(F.col("off") % 2 == 0), 0)
+    second = commits.TransactionalWriter(spark, root, "transfers")
+    try:
+        first.publish(odd, 1)
+    except commits.Fenced:
+        second.publish(odd, 1)
+        second.publish(odd, 1)
+    second.publish(rows, 2, abort=True)
+    return commits.read_published(spark, root).select(
+        "txn_id", "epoch", "transfer_id", "seq", "amount", "off")
+
+
+@register("bench_report_full")
+def bench_report_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report document from result files (SNK8)."""
+    root = sinks.scratch_path(checkpoint_dir(spark), "bench_report_full")
+    sent = fx.delivery_reports(spark, sf_dir)
+    sweep = metrics.throughput_summary(sent).agg(F.to_json(F.array_sort(F.collect_list(F.struct(
+        "config", "count", "elapsed_s", "msg_per_s", "mb_per_s")))))        # one row per configuration
+    lat = metrics.latency_report(sent, ()).select(F.to_json(F.struct("*")))
+    for df, name in ((sweep, "throughput"), (lat, "latency")):
+        df.coalesce(1).write.text(f"{root}/{name}.json")
+    return metrics.report_document(spark, f"{root}/throughput.json", f"{root}/latency.json")
+
+
 @register("publish_atomic_retry")
 def publish_atomic_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two transactions published after an attempt that never committed, then again

@@ -760,3 +760,73 @@ ORACLE["stream_cdc_restart"] = ORACLE["cdc_apply"]
 ORACLE["publish_atomic_retry"] = with_views("""
 SELECT off % 2 AS txn_id, transfer_id, seq, amount, off FROM transfers_staged""",
                                             "transfers_staged")
+
+_ARRIVING = """
+SELECT event_id, CASE WHEN event_id % 50 <> 7 THEN event_epoch END AS event_epoch,
+       least(3, CAST(floor(4 * (event_epoch - lo) / (hi - lo + 1)) AS INTEGER)
+                + CASE WHEN event_id % 20 = 0 THEN 1 ELSE 0 END) AS arrival
+FROM analytics_events, (SELECT min(event_epoch) AS lo, max(event_epoch) AS hi FROM analytics_events) s"""
+# The watermark of a batch: the highest time of those before it, less 2 s.
+ORACLE["stream_late_split"] = with_views(f"""
+SELECT event_id, event_epoch,
+       coalesce((CAST(floor(event_epoch / 60) AS BIGINT) + 1) * 60000 <= wm, FALSE) AS late
+FROM ({_ARRIVING}) a LEFT JOIN (
+  SELECT b.arrival, CAST(floor(max(p.event_epoch) * 1000) AS BIGINT) - 2000 AS wm
+  FROM (SELECT DISTINCT arrival FROM ({_ARRIVING}) x) b JOIN ({_ARRIVING}) p ON p.arrival < b.arrival
+  GROUP BY b.arrival) w USING (arrival)""", "analytics_events")
+ORACLE["stream_cdc_bucketed"] = ORACLE["cdc_apply"]
+ORACLE["stream_consume"] = ORACLE["order_payment_consume"]
+# An order expires when the final watermark, 600 s behind the last event, has passed the bound
+# after the newest record of its key.
+ORACLE["stream_expiry"] = with_views("""
+SELECT o.order_id, o.amount, o.order_epoch
+FROM order_events o LEFT JOIN payment_events p ON p.order_id = o.order_id
+WHERE (p.order_id IS NULL OR abs(p.payment_epoch - o.order_epoch) > 300)
+  AND greatest(o.order_epoch, coalesce(p.payment_epoch, o.order_epoch)) + 300 <
+      greatest((SELECT max(order_epoch) FROM order_events),
+               (SELECT max(payment_epoch) FROM payment_events)) - 600""",
+                                     "order_events", "payment_events")
+ORACLE["stream_fold"] = ORACLE["fold_all"]
+ORACLE["ledger_indexed"] = ORACLE["dedup_first"]
+ORACLE["stream_from_latest"] = ORACLE["consume_from_latest"]
+ORACLE["stream_dlq_recover"] = _dlq("""
+SELECT r.key, r.value, CAST(CAST(r.key AS BIGINT) % 3 AS INTEGER) AS "partition",
+       coalesce(b.n, 0) + row_number() OVER (PARTITION BY CAST(r.key AS BIGINT) % 3
+           ORDER BY 2 * CAST(r.key AS BIGINT) > top, r.key, r.value) - 1 AS "offset"
+FROM recovered r CROSS JOIN (SELECT max(off) AS top FROM dead) t
+LEFT JOIN (SELECT off % 3 AS part, count(*) AS n FROM classified WHERE error IS NULL GROUP BY 1) b
+  ON b.part = CAST(r.key AS BIGINT) % 3""")
+ORACLE["stream_poison"] = ORACLE["dlq_poison"]
+ORACLE["stream_counters"] = _dlq("""
+SELECT CASE WHEN error IS NULL THEN 'ok' ELSE 'routed' END AS counter, count(*) AS value
+FROM classified GROUP BY 1""")
+ORACLE["publish_fenced"] = with_views("""
+SELECT off % 2 AS txn_id, off % 2 + 1 AS epoch, transfer_id, seq, amount, off
+FROM transfers_staged""", "transfers_staged")
+ORACLE["bench_report_full"] = with_views(f"""
+SELECT row_number() OVER (ORDER BY sec, pos) AS line_no, line FROM (
+  SELECT 0 AS sec, unnest(range(2)) AS pos, unnest(['# Benchmark Report', '']) AS line
+  UNION ALL
+  SELECT 1, unnest(range(4)), unnest(['## Producer throughput (sweep)', '',
+    '| Config | Messages | Elapsed (s) | msg/s | MB/s |', '|---|---:|---:|---:|---:|'])
+  UNION ALL
+  SELECT 2, row_number() OVER (ORDER BY config), '| ' || config || ' | ' || format('{{:,}}', count)
+         || ' | ' || CAST(elapsed_s AS VARCHAR) || ' | '
+         || format('{{:,}}', CAST(round_even(msg_per_s, 0) AS BIGINT)) || ' | '
+         || CAST(CAST(mb_per_s AS DECIMAL(38,2)) AS VARCHAR) || ' |'
+  FROM ({ORACLE["throughput_by_config"]}) t
+  UNION ALL
+  SELECT 3, unnest(range(5)), unnest(['', '## End-to-end latency', '', '| Metric | Value (ms) |',
+    '|---|---:|'])
+  UNION ALL
+  SELECT 4, unnest(range(5)), unnest([
+    '| measured | ' || CAST(n AS VARCHAR) || ' |',
+    '| P50 | ' || CAST(p50 AS VARCHAR) || ' |', '| P95 | ' || CAST(p95 AS VARCHAR) || ' |',
+    '| P99 | ' || CAST(p99 AS VARCHAR) || ' |', '| max | ' || CAST(mx AS VARCHAR) || ' |'])
+  FROM (SELECT n, {", ".join(
+      f"CAST(round(CAST({v} AS DECIMAL(38,10)), 3) AS DOUBLE) AS {c}" for c, v in (
+          [(f"p{p}", f"l[CAST(round_even({p / 100} * (n - 1), 0) AS BIGINT) + 1]") for p in (50, 95, 99)]
+          + [("mx", "l[n]")]))}
+        FROM (SELECT count(*) AS n, list_sort(list(latency_ms)) AS l FROM delivery_reports
+              WHERE latency_ms IS NOT NULL) a) b
+  UNION ALL SELECT 5, 0, '') d""", "delivery_reports")

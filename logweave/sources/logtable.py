@@ -152,6 +152,39 @@ def starting_from(log: DataFrame, position: str = "earliest",
             .drop("next_offset"))
 
 
+def start_marks(spark: SparkSession, path: str, marks_path: str) -> DataFrame:
+    """The next offset of every log partition when a group first started at ``latest``:
+    topic, partition, next_offset.
+
+    They are written once, under ``marks_path`` (kept beside the group's checkpoint), and
+    read from there ever after, so a restart does not move the start.  Whoever writes them
+    first wins; a broken-off write has no success file and is not taken."""
+    def marks() -> DataFrame:
+        return spark.read.schema("topic string, partition int, next_offset long").parquet(marks_path)
+
+    def done() -> bool:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{marks_path}/_SUCCESS")  # noqa: SLF001
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+
+    if not done():
+        log = spark.read.schema(LOG_SCHEMA).parquet(path)
+        next_offsets(log).coalesce(1).write.mode("overwrite").parquet(marks_path)
+    return marks()
+
+
+def read_log_stream_latest(spark: SparkSession, path: str, marks_path: str,
+                           topics: Sequence[str] | None = None,
+                           max_files_per_trigger: int | None = None) -> DataFrame:
+    """Subscribe from ``latest`` (SRC3): records that were in the log when the group first
+    started are never delivered, all later ones are, also after restarts.  A log partition that
+    did not exist then is read from its beginning.  The marks hold one row per log partition."""
+    marks = start_marks(spark, path, marks_path)
+    log = read_log_stream(spark, path, topics, max_files_per_trigger)
+    return (log.join(marks, ["topic", "partition"], "left")
+            .filter(F.col("offset") >= F.coalesce(F.col("next_offset"), F.lit(0)))
+            .select(*LOG_COLUMNS))
+
+
 def first_n(log: DataFrame, n: int) -> DataFrame:
     """Bounded consumption: the first ``n`` records in log order (SRC4).
     A top-n (each task keeps its best n), not a sort of the whole log."""

@@ -2,16 +2,17 @@
 
 * ``kpi_stream``: 1-minute KPI windows with a 2 s watermark in append mode
   (STR1, STR3): a window is emitted once the event-time watermark passes its
-  end, and late rows are dropped (counted in ``numRowsDroppedByWatermark``),
-  where the reference would re-open the window (STR4).
+  end, and late rows are dropped (counted in ``numRowsDroppedByWatermark``);
+  ``tag_late`` before it keeps them apart (STR4).
 * ``rolling_stream``: sliding 60 s windows refreshed every second (STR2).
 * ``join_stream``: stream-stream interval join; the band predicate plus
   watermarks bound the join state (JN3, STR5).
+* ``tag_late``: rows that come after the watermark, tagged instead of dropped (STR4).
 * ``dedup_stream``: read-committed transfers deduplicated against a ledger
   in ``foreachBatch`` (EO2, EO3, SNK5, EO4).
 * ``dedup_keyed_stream``: the same with Spark's keyed state (no ledger scans).
-* ``consume_stream``: consume-on-match join as a custom stateful operator
-  (``applyInPandasWithState``, event-time expiry).
+* ``consume_stream``: consume-on-match join as a custom stateful operator over hash
+  buckets of keys (``applyInPandasWithState``, event-time expiry).
 * CDC replica and DLQ routing: ``foreachBatch`` sinks in
   :mod:`logweave.streaming.sinks`.
 
@@ -21,7 +22,7 @@ and returns that table, so a stream can be checked against the batch result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.functions.numeric import MONEY, ratio_round
@@ -125,74 +126,115 @@ def dedup_stream(spark: SparkSession, staged: DataFrame, markers: DataFrame, id_
     committed = eo.read_committed(staged, markers)
     run_foreach(committed, "dedup", sinks.ledger_sink(ledger_path, marker_path, id_col,
                                                       order_col), checkpoint=checkpoint)
-    return spark.read.parquet(ledger_path)
+    return sinks.read_ledger(spark, ledger_path, marker_path)
+
+
+def _json_row(df: DataFrame) -> Column:
+    """All columns as one JSON text, times to the microsecond."""
+    return F.to_json(F.struct(*df.columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+
+
+def tag_late(events: DataFrame, epoch_col: str = "event_epoch", delay: str = "2 seconds",
+             window_s: int | None = None, n_groups: int = 64) -> DataFrame:
+    """Tag each row of a stream with ``late`` (STR4) instead of dropping late ones.
+
+    The watermark is Spark's own, as the keyed state reports it: the highest event time of
+    the batches before, less ``delay``.  With ``window_s`` a row is late if its window has
+    ended by then and may have been emitted; without, if its time lies before the
+    watermark.  A row without a time is never late, and nothing is late in the first batch.
+    Rows keep their values; no state is stored.  It survives restarts with the checkpoint."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    schema = events.schema
+    flat = [f.name for f in schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    rows = events.select(
+        F.pmod(F.xxhash64(*flat), F.lit(n_groups)).alias("_g"), _json_row(events).alias("_row"),
+        to_event_timestamp(epoch_col).alias("_ts")).withWatermark("_ts", delay) \
+        .withColumn("_ms", F.unix_millis("_ts"))
+
+    def step(key, pdfs, state):
+        import numpy as np
+        import pandas as pd
+        wm = state.getCurrentWatermarkMs()
+        for pdf in pdfs:
+            t = pdf["_ms"].to_numpy(dtype=float, na_value=np.nan)
+            if window_s:
+                late = (np.floor(t / (1000.0 * window_s)) + 1) * 1000 * window_s <= wm
+            else:
+                late = t < wm
+            yield pd.DataFrame({"_row": pdf["_row"], "late": late & (wm > 0)})
+
+    tagged = rows.groupBy("_g").applyInPandasWithState(
+        step, "_row string, late boolean", "unused long", "append", GroupStateTimeout.NoTimeout)
+    return tagged.select(F.from_json("_row", schema).alias("_v"), "late").select("_v.*", "late")
 
 
 def consume_stream(orders: DataFrame, payments: DataFrame, key: str = "order_id",
                    order_time: str = "order_epoch", payment_time: str = "payment_epoch",
-                   bound_s: int = 300, delay: str = "10 minutes") -> DataFrame:
-    """Streaming consume-on-match join (JN2-JN4) as a custom stateful
-    operator (``applyInPandasWithState``).
-
-    State per key: the latest pending order and payment (O(1) per key).  In
-    each micro-batch a key's new events are applied in arrival order
-    (time, side).  An event-time timeout ``bound_s`` after the newest pending
-    record expires the key (JN3) and emits a pending order as unmatched (JN4).
-    Output: matched, key, order payload (``l_*``), payment payload (``r_*``),
-    in append mode.
+                   bound_s: int = 300, delay: str = "10 minutes",
+                   n_buckets: int | None = None) -> DataFrame:
+    """Streaming consume-on-match join (JN2-JN4) as a custom stateful operator.
+
+    Keys are dealt over ``n_buckets`` hash buckets.  A bucket's state holds the latest pending
+    order and payment of each of its keys, so a batch makes one Python call per bucket and not
+    per key.  A key's new events are applied in arrival order (time, side).  The bucket's
+    event-time timeout is its earliest expiry: ``bound_s`` after the newest pending record of a
+    key the watermark drops the key (JN3) and its pending order is emitted as unmatched (JN4).
+    Events older than the watermark are dropped, so ``delay`` bounds how late a partner may come.
+    Output: matched, key, order_json, payment_json, order_t, payment_t, in append mode.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    lcols, rcols = list(orders.columns), list(payments.columns)
-    o = orders.select(F.col(key).cast("string").alias("_key"),
-                      F.col(order_time).cast("double").alias("_t"), F.lit(0).alias("_side"),
-                      F.to_json(F.struct(*lcols)).alias("_payload"))
-    p = payments.select(F.col(key).cast("string").alias("_key"),
-                        F.col(payment_time).cast("double").alias("_t"), F.lit(1).alias("_side"),
-                        F.to_json(F.struct(*rcols)).alias("_payload"))
-    events = (o.unionByName(p).withColumn("_ts", to_event_timestamp("_t"))
-              .withWatermark("_ts", delay))
+    n = n_buckets or 4 * int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = [df.select(F.col(key).cast("string").alias("_key"), F.col(t).cast("double").alias("_t"),
+                       F.lit(side).alias("_side"), F.to_json(F.struct(*df.columns)).alias("_payload"))
+             for side, (df, t) in enumerate(((orders, order_time), (payments, payment_time)))]
+    events = (sides[0].unionByName(sides[1]).withColumn("_ts", to_event_timestamp("_t"))
+              .withWatermark("_ts", delay)
+              .filter((F.col("_key") != "") & F.col("_t").isNotNull())
+              .withColumn("_b", F.pmod(F.xxhash64("_key"), F.lit(n))))
     bound = float(bound_s)
+    out_cols = ["matched", "key", "order_json", "payment_json", "order_t", "payment_t"]
     out_schema = ("matched boolean, key string, order_json string, payment_json string, "
                   "order_t double, payment_t double")
-    state_schema = "lo_t double, lo string, lp_t double, lp string"
 
-    def step(key_t, pdfs, state):
+    def step(bucket, pdfs, state):
+        import json
+
         import pandas as pd
-        k = key_t[0]
-        if state.hasTimedOut:
-            lo_t, lo, _, _ = state.get
-            state.remove()
-            if lo is not None:
-                yield pd.DataFrame({"matched": [False], "key": [k], "order_json": [lo],
-                                    "payment_json": [None], "order_t": [lo_t],
-                                    "payment_t": [None]})
-            return
-        lo_t, lo, lp_t, lp = state.get if state.exists else (None, None, None, None)
-        ev = pd.concat(list(pdfs)).sort_values(["_t", "_side", "_payload"], kind="stable")
+        pending = json.loads(state.get[0]) if state.exists else {}
         out = []
-        for t, s, pay in zip(ev["_t"].tolist(), ev["_side"].tolist(), ev["_payload"].tolist()):
-            if s == 0:
-                if lo is not None:
-                    out.append((False, k, lo, None, lo_t, None))
-                lo_t, lo = t, pay
+        if not state.hasTimedOut:
+            ev = pd.concat(list(pdfs)).sort_values(["_key", "_t", "_side", "_payload"], kind="stable")
+            for k, t, side, pay in zip(*(ev[c].tolist() for c in ("_key", "_t", "_side", "_payload"))):
+                one = pending.pop(k, [None, None])
+                if side == 0 and one[0]:
+                    out.append((False, k, one[0][1], None, one[0][0], None))
+                one[side] = [t, pay]
+                if one[0] and one[1] and abs(one[0][0] - one[1][0]) <= bound:
+                    out.append((True, k, one[0][1], one[1][1], one[0][0], one[1][0]))
+                else:
+                    pending[k] = one
+        wm = state.getCurrentWatermarkMs()
+        due = None
+        for k, one in list(pending.items()):
+            end = int((max(x[0] for x in one if x) + bound) * 1000) + 1
+            if end <= wm:
+                del pending[k]
+                if one[0]:
+                    out.append((False, k, one[0][1], None, one[0][0], None))
             else:
-                lp_t, lp = t, pay
-            if lo is not None and lp is not None and abs(lo_t - lp_t) <= bound:
-                out.append((True, k, lo, lp, lo_t, lp_t))
-                lo_t = lo = lp_t = lp = None
-        if lo is None and lp is None:
+                due = end if due is None else min(due, end)
+        if pending:
+            state.update((json.dumps(pending),))
+            state.setTimeoutTimestamp(due)
+        elif state.exists:
             state.remove()
-        else:
-            state.update((lo_t, lo, lp_t, lp))
-            newest = max(x for x in (lo_t, lp_t) if x is not None)
-            state.setTimeoutTimestamp(int((newest + bound) * 1000) + 1)
         if out:
-            yield pd.DataFrame(out, columns=["matched", "key", "order_json", "payment_json",
-                                             "order_t", "payment_t"])
+            yield pd.DataFrame(out, columns=out_cols)
 
-    return events.groupBy("_key").applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+    return events.groupBy("_b").applyInPandasWithState(
+        step, out_schema, "pending string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def dedup_keyed_stream(committed: DataFrame, id_col: str, event_time_col: str | None = None,

@@ -12,7 +12,7 @@ from logweave.functions import numeric, serde
 from logweave.operators import exactly_once as eo
 from logweave.operators import joins, metrics
 from logweave.session import checkpoint_dir
-from logweave.streaming import jobs, sinks
+from logweave.streaming import commits, jobs, sinks
 
 TRANSFERS = "transfer_id string, txn_id long, amount double, off long"
 
@@ -57,7 +57,7 @@ class Crash(Exception):
 def _crash_on(monkeypatch, name):
     def fail(*a, **k):
         raise Crash
-    monkeypatch.setattr(sinks, name, fail)
+    monkeypatch.setattr(commits, name, fail)
 
 
 CHANGE = ("off long, op string, before struct<id:long,status:string>, "
@@ -97,10 +97,10 @@ def test_dlq_router_survives_a_crash_between_writes(spark, root, monkeypatch, wh
             m.setattr(sinks.dlq, where, fail)
         with pytest.raises(Crash):
             fn(raw, 0)
-    assert sinks.read_batches(spark, f"{root}/main", f"{root}/m") is None
+    assert sinks.read_table(spark, "main", f"{root}/main", f"{root}/m") is None
     fn(raw, 0)
     for t in ("main", "dlq"):
-        assert sinks.read_batches(spark, f"{root}/{t}", f"{root}/m").count() == 1
+        assert sinks.read_table(spark, t, f"{root}/{t}", f"{root}/m").count() == 1
 
 
 def test_publish_atomic_retry_shows_one_attempt(spark, root, monkeypatch):
