@@ -6,8 +6,7 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_
         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
 i AS (SELECT item_id, list_filter(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark
-      WHERE item_id IS NOT NULL),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
 wi AS (SELECT DISTINCT item_id, least(len(ws), 10) AS k,
          array_to_string(ws[s:s + 9], ' ') AS win
        FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS s
@@ -20,7 +19,8 @@ hit AS (SELECT p.rid, p.s, p.k, w.item_id FROM pos p JOIN wi w ON p.win = w.win
 n AS (SELECT rid, count(DISTINCT x) AS n_hit
       FROM (SELECT rid, unnest(range(s, s + k)) AS x FROM hit) GROUP BY rid),
 it AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-       FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY rid)
+       FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL)
+      GROUP BY rid)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
        CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
