@@ -5,9 +5,14 @@ encoded length is kept.  Running sums over the lengths then answer, for every
 length L as a context limit: documents and tokens up to L and beyond it, the
 quantile of L, and the tokens left if each document is truncated to L.
 
-The vocabulary file is a parameter and is read through Spark, so it may lie in
-any store.  Running sums are two-level (blocks of lengths, then inside a block):
-no task holds the whole histogram.
+The vocabulary file is a parameter: a path on the driver, or a URL that Spark reads; its
+bytes are sent to the tasks.  Running sums are two-level (blocks of lengths, then inside
+a block): no task holds the whole histogram.
+
+The splitting pattern ends in ``\\s+(?!\\S)|\\s+``, which takes a run of white space less its
+last character as one piece, or the whole run at the end of a text.  The pattern
+engine cannot do that for runs of millions, so runs over ``LONG_RUN`` are cut out first and
+encoded as that one piece; the tokens are the same.
 
 Defined cases: a null or empty text has length 0; repeated rows count each; an
 empty table gives an empty histogram; other columns are ignored.
@@ -16,7 +21,9 @@ empty table gives an empty histogram; other columns are ignored.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import os
+import re
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,15 +37,49 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 MAX_VOCABULARY_BYTES = 16 << 20
 BLOCK = 1024
+#: White space runs longer than this are encoded apart.
+LONG_RUN = 1000
+_RUN_RULE = r"\s+(?!\S)|\s+"
+#: The characters that the pattern's \s stands for.
+_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 def vocabulary(spark, path: str = VOCABULARY) -> bytes:
     """The vocabulary file's bytes, at most MAX_VOCABULARY_BYTES."""
-    row = spark.read.format("binaryFile").load(path if "://" in path else f"file://{path}") \
-        .select("length", "content").first()
-    if row.length > MAX_VOCABULARY_BYTES:
-        raise ValueError(f"vocabulary of {row.length} bytes")
-    return bytes(row.content)
+    if "://" in path:
+        row = spark.read.format("binaryFile").load(path).select("length", "content").first()
+        size, read = row.length, lambda: bytes(row.content)
+    else:
+        size, read = os.path.getsize(path), lambda: open(path, "rb").read()
+    if size > MAX_VOCABULARY_BYTES:
+        raise ValueError(f"vocabulary of {size} bytes")
+    return read()
+
+
+def encoder(content: bytes, pattern: str = PATTERN) -> Callable[[str], list[int]]:
+    """text -> token ids, for texts with white space runs of any length."""
+    import tiktoken
+    ranks = {base64.b64decode(t): int(r) for t, r in
+             (line.split() for line in content.splitlines() if line)}
+    enc, whole = (tiktoken.Encoding("vocabulary", pat_str=p, mergeable_ranks=ranks, special_tokens={})
+                  for p in (pattern, r"(?s).+"))
+    if not pattern.endswith(_RUN_RULE):
+        return enc.encode_ordinary
+
+    def encode(text: str) -> list[int]:
+        if len(text) <= LONG_RUN:
+            return enc.encode_ordinary(text)
+        out: list[int] = []
+        at = 0
+        for m in _WHITE.finditer(text):
+            if m.end() - m.start() > LONG_RUN:
+                stop = m.end() - (m.end() < len(text))
+                if at < m.start():
+                    out += enc.encode_ordinary(text[at:m.start()])
+                out += whole.encode_ordinary(text[m.start():stop])
+                at = stop
+        return out + enc.encode_ordinary(text[at:]) if at < len(text) else out
+    return encode
 
 
 def token_lengths(docs: DataFrame, text_col: str = "text", path: str = VOCABULARY,
@@ -49,14 +90,9 @@ def token_lengths(docs: DataFrame, text_col: str = "text", path: str = VOCABULAR
     content = spark.sparkContext.broadcast(vocabulary(spark, path))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import tiktoken
-        ranks = {base64.b64decode(t): int(r) for t, r in
-                 (line.split() for line in content.value.splitlines() if line)}
-        enc = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks,
-                                special_tokens={})
+        encode = encoder(content.value, pattern)
         for pdf in batches:
-            yield pd.DataFrame({"length": [len(enc.encode_ordinary(t)) if t else 0
-                                           for t in pdf["text"]]})
+            yield pd.DataFrame({"length": [len(encode(t)) if t else 0 for t in pdf["text"]]})
 
     return docs.select(F.col(text_col).alias("text")).mapInPandas(run, "length bigint")
 

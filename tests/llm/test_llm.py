@@ -114,18 +114,19 @@ def test_links_of_dense_groups(spark, limit):
 
 # --- decontamination
 
-@pytest.mark.parametrize("index_limit", [200_000, 0])
-def test_decontamination(spark, docs, index_limit):
+@pytest.mark.parametrize("index_limit, hash_limit", [(decontam.INDEX_LIMIT, 0), (0, decontam.HASH_LIMIT),
+                                                     (0, 0)])
+def test_decontamination(spark, docs, index_limit, hash_limit):
     items = [(1, " ".join(f"P{i}" for i in range(10, 25))), (2, "w1"), (3, None), (4, ""),
              (5, "straße the"), (None, "w2"), (12, "p5, p6; p7 p8"), (12, "p5, p6; p7 p8"),
              (6, "nowhere to be found at all in any of these texts whatever")]
     got = decontam.decontaminate(docs, spark.createDataFrame(items, "item_id int, text string"),
-                                 index_limit=index_limit).collect()
+                                 index_limit=index_limit, hash_limit=hash_limit).collect()
 
     def split(t):
         low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
-    wins = {(i, tuple(ws[s:s + 10])) for i, t in items if i is not None and (ws := split(t))
+    wins = {(i, tuple(ws[s:s + 10])) for i, t in items if (ws := split(t))
             for s in range(max(1, len(ws) - 9))}
     want = Counter()
     for r in docs.collect():
@@ -134,18 +135,64 @@ def test_decontamination(spark, docs, index_limit):
             for s in range(len(ws) - len(w) + 1):
                 if tuple(ws[s:s + len(w)]) == w:
                     hit |= set(range(s, s + len(w)))
-                    ids.add(str(i))
+                    ids |= {str(i)} - {"None"}
         want[(r.doc_id, len(ws), len(hit), ",".join(sorted(ids)))] += 1
     assert Counter((r.doc_id, r.n_words, r.n_hit, ",".join(r["items"])) for r in got) == want
 
 
 # --- token counts
 
-def test_token_histogram(docs):
+@pytest.fixture(scope="module")
+def slow_encode():
+    """Splits by the pattern with another engine and merges the lowest-ranked pair, one by one."""
+    import base64
+
+    import regex
+    ranks = {base64.b64decode(t): int(r) for t, r in
+             (x.split() for x in open(tokencount.VOCABULARY, "rb").read().splitlines() if x)}
+
+    def encode(text):
+        out = []
+        for piece in regex.findall(tokencount.PATTERN, text):
+            parts = [bytes([b]) for b in piece.encode()]
+            while len(parts) > 1:
+                rank, i = min((ranks.get(parts[i] + parts[i + 1], 1 << 40), i) for i in range(len(parts) - 1))
+                if rank == 1 << 40:
+                    break
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            out += [ranks[p] for p in parts]
+        return out
+    return encode
+
+
+def test_tokens_of_white_space_runs(slow_encode, monkeypatch):
+    rnd = random.Random(5)
+    content = open(tokencount.VOCABULARY, "rb").read()
+    monkeypatch.setattr(tokencount, "LONG_RUN", 3)
+    encode = tokencount.encoder(content)
+    for n in (0, 1, 2, 5, 30, 90):
+        for _ in range(40):
+            t = "".join(rnd.choice(["a", "Wörter", "12", "'s", "!?", "\x1f", " ", "\n", "\t", "\u3000", "\x85"])
+                        * rnd.choice([1, 1, 1, 5, 9]) for _ in range(n))
+            assert encode(t) == slow_encode(t), repr(t)
+    monkeypatch.undo()
+    encode = tokencount.encoder(content)
+    for ch in (" ", "\n", "a", "\u3000 "):
+        for n in (10**5, 10**7):
+            run = ch * (n // len(ch))
+            k = len(encode("x" + run + "y"))
+            assert k == len(encode("x" + run[:-1])) + len(encode(run[-1] + "y")) or ch == "a"
+
+
+def test_token_histogram(docs, slow_encode):
     lens = [r.length for r in tokencount.token_lengths(docs).collect()]
+    assert sorted(lens) == sorted(len(slow_encode(r.text or "")) for r in docs.collect())
     got = tokencount.token_counts(docs).collect()
     assert sum(r.n_docs for r in got) == len(lens) and {r.length for r in got} == set(lens)
     for r in got:
+        assert r.n_tokens == r.length * r.n_docs and r.n_docs == lens.count(r.length)
+        assert r.docs_up_to == sum(x <= r.length for x in lens)
+        assert r.tokens_beyond == sum(x for x in lens if x > r.length)
         assert r.tokens_up_to == sum(x for x in lens if x <= r.length)
         assert r.docs_beyond == sum(x > r.length for x in lens)
         assert r.truncated_tokens == sum(min(x, r.length) for x in lens)
