@@ -276,7 +276,7 @@ def surviving_names(texts: DataFrame, threshold: int, max_words: int, parts: int
                             np.r_[np.ones(len(one), np.int64), np.frombuffer(counts, "<i8")])
         yield from done()
 
-    n = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(parts, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (texts.mapInArrow(count, _SENT)
             .repartition(n, "part").sortWithinPartitions("part", "kind")
             .mapInArrow(fold, "name long"))
