@@ -4,7 +4,11 @@ A page is cut into blocks at block-level tags.  Pass one decides blocks by link
 density, length and stop-word density, and by the container they stand in
 (navigation, footer, form and so on against article or main).  Short or middling
 blocks stay ambiguous; in pass two they inherit the label of the nearest decided
-neighbour, looked for in their own container first.
+neighbour, looked for in their own container first.  Inside an article a block of links
+is ambiguous too: a list of references has the label of the text around it.
+
+Stop words speak only where they can: if most of a page's long unlinked text has few of
+them, the page is in a language that is not listed, and length and links decide.
 
 A hint is a class, role or id that names an advert, a menu, a widget and the like as
 a whole word.  It speaks against the blocks of its element up to an article in it,
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -64,10 +69,10 @@ comments-section""".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Raw text runs to its end tag or the end of the page.  Other elements without text
 #: of the page are left out with their content only if they end.
-_RAW = "script|style|textarea|title"
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(%s)(?=[\s/>]|\Z).*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)" % _RAW, re.S | re.I)
+_RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
+        for name in ("script", "style", "textarea", "title")}
+_START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_STEP = re.compile(r"[>\"']")
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
         for name in ("noscript", "iframe", "xmp", "svg", "template", "object")}
 #: Tags that end an svg element which was left open, if it holds no foreign object.
@@ -76,6 +81,7 @@ _FOREIGN = re.compile(r"<foreignobject(?=[\s/>])", re.I)
 _ATTR = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s]+))?")
 _NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+_WIDE = re.compile("[\u2e80-\U0010ffff]")
 
 
 def _marks(name: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
@@ -102,23 +108,72 @@ def _marks(name: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
     return out, hint
 
 
-def _past(page: str, name: str, attrs: str, at: int, seen: dict) -> int:
-    """Where the element whose tag ends at ``at`` is over.  ``seen`` keeps the next
-    place of each pattern, so that a page is searched once."""
-    def following(pattern):
-        span = seen.get(pattern, (-1, -1))
+class _Scanner:
+    """Tags of a page in order, in time linear in its length: what is not found from one
+    place on is not looked for again further on."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at = page, 0
+        self._seen: dict = {}
+
+    def _following(self, pattern, at: int) -> tuple[int, int]:
+        """The next match at or after ``at``; beyond the page if there is none."""
+        span = self._seen.get(pattern, (-1, -1))
         if span[0] < at:
-            m = pattern.search(page, at)
-            span = seen[pattern] = m.span() if m else (len(page) + 1, at)
+            m = pattern.search(self.page, at)
+            span = self._seen[pattern] = m.span() if m else (len(self.page) + 1, at)
         return span
 
-    if attrs.rstrip().endswith("/"):
-        return at
-    start, end = following(_END[name])
-    if start > len(page) or name == "svg" and following(_NOT_SVG)[0] < start \
-            and following(_FOREIGN)[0] > start:
-        return at
-    return end
+    def _tag_end(self, at: int) -> int:
+        """Behind the ``>`` that ends the tag whose name ends at ``at``.  Quoted values may
+        hold it; a quote that is never closed counts for nothing."""
+        while m := _STEP.search(self.page, at):
+            if m[0] == ">":
+                return m.end()
+            at = m.end()
+            if self._seen.get(m[0]) is None:
+                close = self.page.find(m[0], at)
+                if close < 0:
+                    self._seen[m[0]] = True
+                else:
+                    at = close + 1
+        return len(self.page)
+
+    def next(self) -> tuple[str, str, bool, str] | None:
+        """(text before it, name, is an end tag, attributes) of the next tag; the name is empty
+        for what stands for nothing.  None at the end, with ``at`` behind the last tag."""
+        m = _START.search(self.page, self.at)
+        if not m:
+            return None
+        before, name = self.page[self.at:m.start()], (m[2] or "").lower()
+        if not name:
+            close = "-->" if m[0] == "<!--" else ">"
+            end = self.page.find(close, m.end())
+            self.at = len(self.page) if end < 0 else end + len(close)
+            return before, "", False, ""
+        self.at = self._tag_end(m.end())
+        attrs = self.page[m.end():self.at].removesuffix(">")
+        if m[1]:
+            return before, name, True, attrs
+        if name in _RAW:
+            end = _RAW[name].search(self.page, self.at)
+            self.at = end.end() if end else len(self.page)
+            return before, "", False, ""
+        if name in _END:
+            self.at = self._past(name, attrs)
+            return before, "", False, ""
+        return before, name, False, attrs
+
+    def _past(self, name: str, attrs: str) -> int:
+        """Where the element whose tag ends here is over."""
+        at = self.at
+        if attrs.rstrip().endswith("/"):
+            return at
+        start, end = self._following(_END[name], at)
+        if start > len(self.page) or name == "svg" and self._following(_NOT_SVG, at)[0] < start \
+                and self._following(_FOREIGN, at)[0] > start:
+            return at
+        return end
 
 
 def blocks(page: str) -> list[tuple[str, int, bool, bool, int, int]]:
@@ -141,39 +196,33 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int, int]]:
         linked.clear()
         p_bad, p_hint = False, 0
 
-    at, seen = 0, {}
-    while m := _TOKEN.search(page, at):
-        piece = page[at:m.start()]
-        at = m.end()
+    scan, opened = _Scanner(page), Counter()
+    while tag := scan.next():
+        piece, name, ends, attrs = tag
         if piece:
             text.append(piece)
             if depth_a:
                 linked.append(piece)
-        name = m[3]
-        if not name:
-            continue
-        name = name.lower()
         if name == "br":
             text.append(" ")
-            continue
-        if name in _END and not m[2]:
-            at = _past(page, name, m[4], at, seen)
-            continue
         if name == "a":
-            depth_a = 0 if m[2] else 1
-            continue
+            # A link may hold blocks; it ends with its tag or with the element around it.
+            depth_a = 0 if ends else len(stack)
         if name not in _BLOCK:
             continue
         close()
-        depth_a = 0
-        if m[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+        if ends:
+            if opened[name]:
+                while True:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
+                        break
+                if len(stack) < depth_a:
+                    depth_a = 0
             continue
         _, up_bad, up_main, _, up_hint = stack[-1]
-        bad, hint = _marks(name, m[4], up_main)
+        bad, hint = _marks(name, attrs, up_main)
         serial += 1
         if name in ("p", "li", "hr", "dt", "dd", "option") or name[0] == "h" and name[1:].isdigit():
             p_bad, p_hint = bad or name == "option", serial if hint else 0
@@ -182,33 +231,60 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, int, int]]:
         bad = up_bad or bad or name in _BAD or name == "header" and not up_main
         if name in ("article", "main"):
             bad, hint, up_hint = up_bad, False, 0
-        if not m[4].rstrip().endswith("/"):
+        if not attrs.rstrip().endswith("/"):
+            opened[name] += 1
             stack.append((name, bad, main, serial, serial if hint else up_hint))
-    rest = page[at:]
+    rest = page[scan.at:]
     if rest:
         text.append(rest.split("<", 1)[0] if re.match(r"[^<]*<[a-zA-Z/!]?[^>]*\Z", rest) else rest)
     close()
     return out
 
 
-def first_pass(block) -> bool | None:
-    """True main text, False boilerplate, None ambiguous; hints left aside."""
+def _width(text: str) -> int:
+    """Characters, those of scripts that pack more into one (from U+2E80 on) twice."""
+    return len(text) if text.isascii() else len(text) + len(_WIDE.findall(text))
+
+
+def _stops(text: str) -> float:
+    ws = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in ws) / max(1, len(ws))
+
+
+def stop_shares(found: list) -> list[float | None]:
+    """Share of stop words of the blocks that it can decide, None for the others; None
+    for all if stop words cannot judge the page, that is if most of its long text without
+    links has few of them."""
+    out: list[float | None] = []
+    few = many = 0
+    for text, n_link, bad, main, _, _ in found:
+        n = _width(text)
+        out.append(None if bad or n < SHORT or n_link > ARTICLE_LINK_DENSITY * len(text) else _stops(text))
+        if out[-1] is not None and n >= LONG and n_link <= MAX_LINK_DENSITY * len(text):
+            if out[-1] < STOP_LOW:
+                few += n
+            else:
+                many += n
+    return out if many >= few else [None] * len(found)
+
+
+def first_pass(block, stop: float | None) -> bool | None:
+    """True main text, False boilerplate, None ambiguous; hints left aside.  ``stop`` is the
+    block's share of stop words, None if they cannot judge it."""
     text, n_link, bad, main, _, _ = block
-    if bad or text.lstrip()[:1] == "©":
+    n = _width(text)
+    if bad or text.lstrip()[:1] == "©" and n < SHORT:
         return False
-    n = len(text)
-    density = n_link / n
+    density = n_link / len(text)
     if density > (ARTICLE_LINK_DENSITY if main else MAX_LINK_DENSITY):
-        return False
-    ws = _WORD.findall(text.lower())
-    stop = sum(w in STOP_WORDS for w in ws) / max(1, len(ws))
+        return None if main else False
     if n < SHORT:
         return None
-    if n >= LONG and (stop >= STOP_LOW or main):
-        return True
-    if stop >= STOP_HIGH or main and stop >= STOP_LOW:
+    if main and n >= LONG:
         return True
-    return None
+    if stop is None:
+        return True if main or n >= LONG else None
+    return True if stop >= (STOP_LOW if main or n >= LONG else STOP_HIGH) else None
 
 
 def hinted_pass(found: list, labels: list[bool | None]) -> list[bool | None]:
@@ -257,7 +333,8 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    kept = second_pass(found, hinted_pass(found, [first_pass(b) for b in found]))
+    labels = [first_pass(b, stop) for b, stop in zip(found, stop_shares(found))]
+    kept = second_pass(found, hinted_pass(found, labels))
     return "\n".join(b[0] for b, k in zip(found, kept) if k)
 
 

@@ -365,6 +365,53 @@ def test_nearest_label_of_many_blocks():
     assert htmltext.main_text(page) == "\n".join(["Yes."] * 50_000)
 
 
+PROSE = {
+    "en": "The quick story of the town and the river that ran through it for many years. ",
+    "it": "Il fiume scorreva tra le colline e gli abitanti raccontavano ancora storie di tempi lontani. ",
+    "ru": "Река текла между холмами, и жители всё ещё рассказывали истории о далёких временах. ",
+    "zh": "河流在山丘之间流淌，居民们仍然讲述着遥远时代的故事，谁也不知道它们从哪里来。",
+    "pl": "Rzeka płynęła między wzgórzami, a mieszkańcy wciąż opowiadali historie z dawnych czasów. ",
+    "fi": "Joki virtasi kukkuloiden välissä ja asukkaat kertoivat yhä tarinoita kaukaisista ajoista. ",
+    "de": "Der Fluss lief zwischen den Hügeln und die Leute erzählten sich noch immer von alten Zeiten. "}
+
+
+@pytest.mark.parametrize("lang", PROSE)
+def test_pages_of_any_language(lang):
+    """No article element: a heading, three paragraphs, a menu, teasers and a footer."""
+    body = " ".join((PROSE[lang] * 4).split())
+    teaser = f"<a href=x><div><h3>Altro</h3><p>{PROSE[lang] * 2}</p></div></a>"
+    page = (f"<body><div><a href=a>Uno due tre</a> <a href=b>Quattro cinque</a></div><div><h1>Titolo</h1>"
+            f"<p>{body}</p><p>{body}</p><p>{body}</p></div><div>{teaser * 3}</div><footer>x {body}</footer></body>")
+    assert htmltext.main_text(page) == "\n".join(["Titolo", body, body, body])
+
+
+def test_links_and_notices_inside_an_article():
+    body = " ".join((PROSE["en"] * 4).split())
+    refs = "".join(f"<li><a href=x{i}>Reference number {i}, a book about rivers</a></li>" for i in range(3))
+    flat = [f"Reference number {i}, a book about rivers" for i in range(3)]
+    owner = "© the word of the law: " + body
+    page = f"<main><p>{body}</p><ul>{refs}</ul><p>{owner}</p><p>© 2020 Me</p></main>"
+    assert htmltext.main_text(page) == "\n".join([body, *flat, owner])
+    assert htmltext.main_text(f"<p>{body}</p><ul>{refs}</ul>") == body
+    open_link = f"<div><a href=x>menu</div><p>{body}</p>"
+    assert htmltext.main_text(open_link) == body
+
+
+@pytest.mark.parametrize("page", [
+    "<a b " * 200_000 + '"', "<a b='\"" * 100_000, "<div>" * 2000 + "</section>" * 90_000, '<a href="x>' * 90_000,
+    "<!--" * 250_000, "<" * 1_000_000, "<a href=x>" * 50_000 + "<div>" * 80_000, "<svg>" * 200_000,
+    "<p class=\"a" * 90_000, "</a " * 250_000])
+def test_a_megabyte_of_broken_tags(page):
+    import time
+    body = " ".join((PROSE["en"] * 4).split())
+    began = time.process_time()
+    htmltext.main_text(page)
+    htmltext.main_text(f"<article><p>{body}</p></article>" + page)
+    assert time.process_time() - began < 4          # two pages
+    for tail in ('<p title="odd>', "<p title='odd", "<b x"):
+        assert htmltext.main_text(f"<article><p>{body}</p></article>{tail}") == body
+
+
 def test_html_rows(spark):
     d = spark.createDataFrame([(1, None, None, 0), (None, "u", "<p>a</p>", 1), (1, None, None, 0)],
                               "page_id int, url string, html string, text int")
