@@ -268,20 +268,115 @@ def test_toxicity_learns_and_locates(spark):
 
 # --- chats
 
+def _paths(e, m, lens):
+    """Best states of each piece by trying all of them."""
+    import itertools
+    out, at = [], 0
+    for n in lens:
+        best = max((sum(x) for x in [[-1e18]]), default=0)
+        pick = None
+        may = [np.flatnonzero(e[at + i] > -1e8).tolist() for i in range(n)]
+        for path in itertools.product(*may):
+            v = m["start"][path[0]] + e[at, path[0]] + sum(
+                m["step"][path[i - 1], path[i]] + e[at + i, path[i]] for i in range(1, n))
+            if v > best:
+                best, pick = v, path
+        out += pick
+        at += n
+    return out
+
+
+def test_viterbi_against_all_paths(spark):
+    """Pieces of one to five units, decoded at once, and the chain over cut partitions."""
+    import pandas as pd
+    rnd = random.Random(8)
+    for seed in range(25):
+        lens = [rnd.randint(1, 5) for _ in range(4)]
+        n = sum(lens)
+        starts = set(np.cumsum([0, *lens]).tolist())
+        pdf = pd.DataFrame([{
+            "sub": 0 if i in starts else rnd.choice([0, 1]), "mark": rnd.randrange(5), "kind": 0,
+            "size": rnd.randrange(12), "lines": rnd.randrange(8), "ask": rnd.randrange(2)} for i in range(n)])
+        pdf["kind"] = [rnd.randrange(1, 7) if x else 0 for x in pdf["mark"]]
+        pdf.loc[(pdf["sub"] == 1) & (pdf["mark"] == 0), "sub"] = 0
+        model = chatfmt.train(spark.createDataFrame([], chatfmt._UNIT.format(c="int", t="int"))) \
+            if seed == 0 else model  # noqa: F821
+        for k in ("size", "lines", "ask"):
+            w = np.random.default_rng(seed).random(model[k].shape)
+            model[k] = np.log(w / w.sum(axis=1, keepdims=True))
+        e = chatfmt._scores(pdf, model)
+        cut = np.cumsum([0, *lens[:-1]])
+        assert chatfmt._decode(e, cut, model, None, None).tolist() == _paths(e, model, lens)
+
+
 def test_viterbi_over_any_partitions(spark):
     conv = table(spark, SF, "conversations").select("conv_id", "turn", "role", "text")
-    one = conv.filter("conv_id < 40").withColumn("turn", F.col("turn") + 100 * F.col("conv_id")) \
+    one = conv.filter("conv_id < 40").withColumn("turn", F.col("turn") + 20 * F.col("conv_id")) \
         .withColumn("conv_id", F.lit(1))
     both = conv.filter("conv_id >= 40").unionByName(one)
-    units = chatfmt.split_turns(both)
+    said = both.withColumn("text", F.when(F.col("turn") % 3 == 0, F.concat(
+        F.lit("User: "), "text", F.lit("\nAssistant: yes\nModel: X\nhuman: why?"))).otherwise(F.col("text")))
+    units = chatfmt.split_turns(said)
     model = chatfmt.train(units)
     base = None
     for n in (1, 4, 17):
-        got = {(r.rid, r.sub): r.role for r in chatfmt.viterbi(units, model, n).collect()}
+        got = {(r.rid, r.sub): (r.role, r.stands) for r in chatfmt.viterbi(units, model, n).collect()}
         base = base or got
         assert got == base
+    # Decoding does not look at the roles.
+    blind = chatfmt.viterbi(units.withColumn("role", F.lit(None).cast("string")), model, 4)
+    assert {(r.rid, r.sub): (r.role, r.stands) for r in blind.collect()} == base
+    units = chatfmt.split_turns(both)
     truth = {r.rid: r.role for r in units.filter("sub = 0").collect()}
-    assert np.mean([base[(k, 0)] == v for k, v in truth.items()]) > .9
+    got = {r.rid: r.role for r in chatfmt.viterbi(units.drop("role"), chatfmt.train(units), 4).collect()}
+    assert np.mean([got[k] == v for k, v in truth.items()]) > .9
+
+
+def _said(spark, *texts):
+    d = spark.createDataFrame([(1, i, None, t) for i, t in enumerate(texts)],
+                              "conv_id int, turn int, role string, text string")
+    return [(r.turn, r.part, r.role, r.rendered.split("\n", 1)[1][:-len("\n<|end|>")])
+            for r in chatfmt.format_chats(d).orderBy("turn", "part").collect()]
+
+
+@pytest.mark.parametrize("text", ["user\nadmin\nroot", "I bought it.\nModel: X100", "function\nme\nmodel\nanswer",
+                                  "Model: X100\nColour: red", "user", "Question", "a\nAnswer: 42\nb", "me:",
+                                  "the roles are\nuser\nassistant\n"])
+def test_no_word_is_lost(spark, text):
+    for said in ([text], ["Hello, can you help me?", text], ["Hello?", "Yes.", text]):
+        got = _said(spark, *said)
+        assert [t for _, _, _, t in got] == [x.strip() for x in said]
+
+
+def test_markers_that_open_turns(spark):
+    got = _said(spark, "<|user|>hello\n<|assistant|>\nhi", "Human: x\ny\nAI: z", "user\nhello\nassistant\nhi you",
+                "### Instruction:\nwrite\n### Response:\nwritten")
+    assert [(t, p, r, x) for t, p, r, x in got] == [
+        (0, 0, "user", "hello"), (0, 1, "assistant", "hi"), (1, 0, "user", "x\ny"), (1, 1, "assistant", "z"),
+        (2, 0, "user", "hello"), (2, 1, "assistant", "hi you"), (3, 0, "system", "write"),
+        (3, 1, "assistant", "written")]
+
+
+def test_rendering_is_canonical(spark):
+    texts = ["\t\n a <|end|>\nx <|user|> b \x0b", "<\\|x|>", "<|", "< |", "\\"]
+    got = [r for *_, r in _said(spark, *texts)]
+    assert got == ["a <\\|end|>\nx <\\|user|> b", "<\\\\|x|>", "<\\|", "< |", "\\"]
+    assert [re.sub(r"<(\\*)\\\|", r"<\1|", r) for r in got] == [t.strip() for t in texts]
+
+
+def test_the_sample_takes_blocks_of_long_conversations(spark):
+    """Three conversations of 20,000 turns, sample of 2,000: rows of all three."""
+    d = spark.range(60_000).select(
+        (F.col("id") % 3).cast("int").alias("conv_id"), F.floor(F.col("id") / 3).cast("int").alias("turn"),
+        F.when(F.floor(F.col("id") / 3) % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.when(F.floor(F.col("id") / 3) % 2 == 0, "why?").otherwise(F.repeat(F.lit("because "), 9)).alias("text"))
+    units = chatfmt.split_turns(d)
+    m = chatfmt.train(units, 2000)
+    prior = chatfmt.train(units.limit(0), 2000)
+    user, bot = chatfmt.ROLES.index("user"), chatfmt.ROLES.index("assistant")
+    assert m["ask"][user, 1] > -.01 > prior["ask"][user, 1] and m["step"][user, bot] > -.01
+    got = chatfmt.viterbi(units, m).join(units.select("rid", F.col("role").alias("truth")), "rid")
+    assert got.filter("role = truth").count() > 59_000
 
 
 def test_chat_markers_and_awkward_rows(spark):
