@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +45,7 @@ def non_empty_key(df: DataFrame, key_col: str) -> DataFrame:
 
 def tax_inclusive(df: DataFrame, rate: float, amount_col: str = "amount",
                   out_col: str = "amount_incl") -> DataFrame:
-    """Tax-inclusive price (FN21): ``amount * (1 + rate)`` rounded to 2 dp.
-    The reference names the transform without a rate, so ``rate`` is required."""
-    return df.withColumn(out_col, F.round((_c(amount_col) * F.lit(1.0 + rate))
-                                          .cast("decimal(38,10)"), 2).cast("double"))
+    """Tax-inclusive price (FN21): ``amount * (1 + rate)`` rounded half up to 2 dp, in exact
+    arithmetic (amounts to six places, the rate as written).  The rate is required."""
+    factor = F.lit(1 + Decimal(str(rate))).cast("decimal(12,8)")
+    return df.withColumn(out_col, F.round(_c(amount_col).cast("decimal(22,6)") * factor, 2).cast("double"))

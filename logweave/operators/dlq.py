@@ -47,7 +47,12 @@ def _any_missing(v: Column, required: Sequence[str]) -> Column:
 
 def classify(df: DataFrame, value_col: str = "value",
              required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
-    """Add ``error`` (NULL for valid rows) (DLQ1).
+    """Add ``error`` (NULL for valid rows) (DLQ1)."""
+    return _classified(df, value_col, required).drop("_v")
+
+
+def _classified(df: DataFrame, value_col: str, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
+    """``error`` and ``_v``, the parsed value.
 
     The text is decoded, parsed and its keys extracted once per row in
     separate projections (Catalyst keeps expensive expressions from being
@@ -66,7 +71,7 @@ def classify(df: DataFrame, value_col: str = "value",
            .when(~F.col("_obj"), ERR_NOT_OBJECT)
            .when(_any_missing(v, required),
                  F.concat(F.lit(f"{ERR_MISSING}: ["), _missing_list(v, required), F.lit("]"))))
-    return computed(staged, {"error": err}).drop("_t", "_w1", "_w2", "_v", "_obj")
+    return computed(staged, {"error": err}).drop("_t", "_w1", "_w2", "_obj")
 
 
 def validation_error(value: Column | str, required: Sequence[str] = REQUIRED_FIELDS) -> Column:
@@ -166,6 +171,21 @@ def reprocess(main: DataFrame, recovered: DataFrame, value_col: str = "value") -
     return m.unionByName(r)
 
 
+def reprocess_log(main: DataFrame, value_col: str = "value") -> DataFrame:
+    """:func:`reprocess` of a log together with its own recovered dead letters, each message
+    parsed once: a message that only lacks fields comes back with their defaults, which is
+    what recovery and a second validation give.  Output: key, order_id, customer, amount,
+    origin."""
+    v = F.col("_v")
+    kinds = {"order_id": "string", "customer": "string", "amount": "double"}
+    fields = [F.when(has_field(v, f), F.try_variant_get(v, f"$.{f}", kinds[f]))
+              .otherwise(F.lit(default).cast(kinds[f])).alias(f) for f, _, default in RECOVERY_DEFAULTS]
+    kept = _classified(main, value_col).filter(
+        F.col("error").isNull() | F.col("error").startswith(ERR_MISSING))
+    return kept.select("key", *fields, F.when(F.col("error").isNull(), "main").otherwise("recovered")
+                       .alias("origin")).select("key", "order_id", "customer", "amount", "origin")
+
+
 def outcome_counts(main: DataFrame, value_col: str = "value") -> DataFrame:
     """Counters of one pass (AG6): ok, routed, recovered, poison."""
     c = classify(main, value_col)

@@ -62,6 +62,9 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
 
     Records without a key (null or empty) or time are skipped.
 
+    Keys with one record per side, nearly all of a usual log, are joined by one aggregate in
+    the JVM.  For the others:
+
     Between two events of a key the join state is one of four values
     (pending left? pending right?); the pending records themselves are always
     the latest record of that side so far.  Rows are range-partitioned on
@@ -94,7 +97,10 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
                 (own if s == 1 else F.lit(None).cast(rsch)).alias("_r")]
         return df.select(*sel).filter((F.col("_key") != "") & F.col("_t").isNotNull())
 
-    both = side(left, 0, left_time, left_order).unionByName(side(right, 1, right_time, right_order))
+    everything = side(left, 0, left_time, left_order).unionByName(
+        side(right, 1, right_time, right_order))
+    single, repeated = _single_records(everything, float(bound_s))
+    both = everything.join(repeated, "_key", "left_semi")
     sort_cols = ["_key", "_t", "_side", *[f"_o{i}" for i in range(n_ord)]]
     rows = pinned(both.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
                   .withColumn("_row", F.monotonically_increasing_id()))
@@ -248,10 +254,27 @@ def consume_on_match(left: DataFrame, right: DataFrame, key: str, left_time: str
     pairs = events.mapInPandas(run, "_lrow long, _rrow long")
     lrows = rows.filter("_side = 0").select(F.col("_row").alias("_lrow"), "_key", "_l")
     rrows = rows.filter("_side = 1").select(F.col("_row").alias("_rrow"), "_r")
-    return (pairs.join(lrows, "_lrow").join(rrows, "_rrow", "left").select(
-        (F.col("_rrow") >= 0).alias("matched"), F.col("_key").alias("key"),
+    stepped = pairs.join(lrows, "_lrow").join(rrows, "_rrow", "left").select(
+        (F.col("_rrow") >= 0).alias("matched"), "_key", "_l", "_r")
+    return stepped.unionByName(single).select(
+        "matched", F.col("_key").alias("key"),
         *[F.col("_l").getField(c).alias("l_" + c) for c in left.columns],
-        *[F.col("_r").getField(c).alias("r_" + c) for c in right.columns]))
+        *[F.col("_r").getField(c).alias("r_" + c) for c in right.columns])
+
+
+def _single_records(both: DataFrame, bound: float) -> tuple[DataFrame, DataFrame]:
+    """The join of the keys with at most one record per side (matched, _key, _l, _r), which
+    one aggregate per key gives, and the other keys (_key), which need their order."""
+    left, right = F.col("_side") == 0, F.col("_side") == 1
+    counts = [F.count_if(left).alias("_nl"), F.count_if(right).alias("_nr")]
+    keys = both.groupBy("_key").agg(
+        *counts, F.max(F.when(left, F.col("_t"))).alias("_lt"), F.max(F.when(right, F.col("_t"))).alias("_rt"),
+        F.first("_l", ignorenulls=True).alias("_l"), F.first("_r", ignorenulls=True).alias("_r"))
+    met = F.coalesce(F.abs(F.col("_lt") - F.col("_rt")) <= bound, F.lit(False))
+    single = keys.filter("_nl = 1 AND _nr <= 1").select(
+        met.alias("matched"), "_key", "_l", F.when(met, F.col("_r")).alias("_r"))
+    repeated = both.groupBy("_key").agg(*counts).filter("_nl > 1 OR _nr > 1").select("_key")
+    return single, repeated
 
 
 def _step(state: int, side: int, t: float, t_lo, t_lp, bound: float) -> int:

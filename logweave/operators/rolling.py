@@ -84,43 +84,37 @@ def rolling_series(df: DataFrame, window_s: int = 60, epoch_col: str = "event_ep
     """KPIs as of every event over the frame ``[t - w, t]`` (WN3).
 
     Every KPI is a sum, so the frame value is ``S(<= t) - S(< t - w)`` where
-    ``S`` is a global running sum in event-time order.  Each event adds one
-    data point and two probe points (``t`` after its peers, ``t - w`` before
-    them); :func:`prefix_sums` evaluates all probes in parallel.
+    ``S`` is a global running sum in event-time order.  Events of one time have one
+    frame, so they are added up per distinct time first (map-side); each time gives two
+    points, itself and ``t - w``, and :func:`prefix_sums` evaluates all in parallel.  The
+    events take their frame by an equi-join on the time.
 
     Output: event_id, event_epoch, page_views, add_to_carts, purchases, gmv,
-    window_count.  ``id_col`` must be unique per event (the two probes of an
-    event are paired by it).
+    window_count; events without a time give no row.
     """
     w = float(window_s)
-    typ = _c(type_col)
+    typ = F.col("_type")
     ev = df.select(_c(id_col).alias("event_id"), _c(epoch_col).cast("double").alias("_t"),
-                   typ.alias("_type"), _c(amount_col).alias("_amount"))
-    zero = F.lit(0).cast("bigint")
+                   _c(type_col).alias("_type"), _c(amount_col).alias("_amount")) \
+        .filter(F.col("_t").isNotNull())
     weights = {
-        "page_views": F.when(F.col("_type") == PAGE_VIEW, 1).otherwise(0).cast("bigint"),
-        "add_to_carts": F.when(F.col("_type") == ADD_TO_CART, 1).otherwise(0).cast("bigint"),
-        "purchases": F.when(F.col("_type") == PURCHASE, 1).otherwise(0).cast("bigint"),
-        "gmv_cents": F.coalesce(F.when(F.col("_type") == PURCHASE,
-                                       (F.col("_amount").cast("decimal(18,2)") * 100)
-                                       .cast("bigint")), zero),
-        "window_count": F.lit(1).cast("bigint"),
+        "page_views": F.count_if(typ == PAGE_VIEW),
+        "add_to_carts": F.count_if(typ == ADD_TO_CART),
+        "purchases": F.count_if(typ == PURCHASE),
+        "gmv_cents": F.coalesce(F.sum(F.when(typ == PURCHASE, (F.col("_amount").cast("decimal(18,2)") * 100)
+                                             .cast("bigint"))), F.lit(0).cast("bigint")),
+        "window_count": F.count(F.lit(1)),
     }
-    data = ev.filter(F.col("_t").isNotNull()).select(
-        F.col("_t").alias("_k"), F.lit(1).alias("_tag"), "event_id",
-        F.lit(False).alias("_emit"), *[c.alias(n) for n, c in weights.items()])
-    probes_hi = ev.filter(F.col("_t").isNotNull()).select(
-        F.col("_t").alias("_k"), F.lit(2).alias("_tag"), "event_id", F.lit(True).alias("_emit"),
-        *[zero.alias(n) for n in weights])
-    probes_lo = ev.filter(F.col("_t").isNotNull()).select(
-        (F.col("_t") - F.lit(w)).alias("_k"), F.lit(0).alias("_tag"), "event_id",
-        F.lit(True).alias("_emit"), *[zero.alias(n) for n in weights])
-    pts = data.unionByName(probes_hi).unionByName(probes_lo)
-    sums = prefix_sums(pts, ["_k", "_tag", "event_id"], list(weights), "_emit",
-                       ["event_id", "_tag", "_k"], num_partitions)
-    sign = F.when(F.col("_tag") == 2, 1).otherwise(-1)
-    framed = sums.groupBy("event_id").agg(
-        F.max(F.when(F.col("_tag") == 2, F.col("_k"))).alias("event_epoch"),
-        *[F.sum(F.col(n) * sign).alias(n) for n in weights])
-    return framed.select("event_id", "event_epoch", "page_views", "add_to_carts", "purchases",
-                         (F.col("gmv_cents") / F.lit(100.0)).alias("gmv"), "window_count")
+    per = ev.groupBy("_t").agg(*[c.alias(n) for n, c in weights.items()])
+
+    def point(k: Column, tag: int) -> Column:
+        return F.struct(k.alias("_k"), F.lit(tag).alias("_tag"), F.col("_t"), F.lit(True).alias("_emit"),
+                        *[(F.col(n) if tag else F.lit(0).cast("bigint")).alias(n) for n in weights])
+
+    pts = per.select(F.inline(F.array(point(F.col("_t"), 1), point(F.col("_t") - F.lit(w), 0))))
+    sums = prefix_sums(pts, ["_k", "_tag", "_t"], list(weights), "_emit", ["_t", "_tag"], num_partitions)
+    sign = F.when(F.col("_tag") == 1, 1).otherwise(-1)
+    framed = sums.groupBy("_t").agg(*[F.sum(F.col(n) * sign).alias(n) for n in weights])
+    return ev.select("event_id", "_t").join(framed, "_t").select(
+        "event_id", F.col("_t").alias("event_epoch"), "page_views", "add_to_carts", "purchases",
+        (F.col("gmv_cents") / F.lit(100.0)).alias("gmv"), "window_count")

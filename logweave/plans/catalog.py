@@ -244,9 +244,7 @@ def dlq_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dlq_reprocess")
 def dlq_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
-    main = fx.raw_orders(spark, sf_dir)
-    recovered = dlq.recover(_dead(spark, sf_dir))
-    return dlq.reprocess(main, recovered)
+    return dlq.reprocess_log(fx.raw_orders(spark, sf_dir))
 
 
 # -------------------------------------------------------------- exactly once
@@ -432,6 +430,46 @@ def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.array_join(errs, "; ").alias("errors"))
 
 
+# Fixed value: the nested order message checked by ``schema_errors_nested``.
+NESTED_SCHEMA = {
+    "type": "object", "required": ["id", "payload"],
+    "properties": {
+        "id": {"type": "integer"},
+        "payload": {"type": "object", "properties": {
+            "product": {"type": "string"}, "quantity": {"type": "integer"}, "amount": {"type": "number"}}},
+        "lines": {"type": "array", "items": {
+            "type": "object", "required": ["sku"], "properties": {"qty": {"type": "integer"}}}}},
+}
+
+
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return computed(fx.nested_orders(spark, sf_dir), {"_v": serde.parse_json("value")})
+
+
+@register("nested_fields")
+def nested_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of members (FN7); null where the way there ends."""
+    v = F.col("_v")
+    return _nested(spark, sf_dir).select(
+        "off", serde.nested(v, "payload.product", "string").alias("product"),
+        serde.nested(v, "payload.quantity", "bigint").alias("quantity"),
+        serde.nested(v, "payload.amount", "double").alias("amount"))
+
+
+@register("schema_errors_nested")
+def schema_errors_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested objects and array items (FN16)."""
+    errs = jsonschema.compile_errors(F.col("_v"), NESTED_SCHEMA)
+    return _nested(spark, sf_dir).select("off", F.array_join(errs, "; ").alias("errors"))
+
+
+@register("tax_inclusive")
+def tax_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gross amounts at a rate of 19 % (FN21)."""
+    t = transforms.tax_inclusive(fx.transactions(spark, sf_dir), 0.19)
+    return t.select("txn_id", "amount", "amount_incl")
+
+
 # ----------------------------------------------------------------- log table
 TXN_TOPIC = "stream.transactions.v1"
 

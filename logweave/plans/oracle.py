@@ -830,3 +830,27 @@ SELECT row_number() OVER (ORDER BY sec, pos) AS line_no, line FROM (
         FROM (SELECT count(*) AS n, list_sort(list(latency_ms)) AS l FROM delivery_reports
               WHERE latency_ms IS NOT NULL) a) b
   UNION ALL SELECT 5, 0, '') d""", "delivery_reports")
+
+# The messages of ``fixtures.nested_orders`` by their kind.
+_NESTED_KIND = "CAST(floor(o_orderkey / 4) AS BIGINT) % 8"
+ORACLE["nested_fields"] = f"""
+SELECT off, CASE WHEN has THEN 'SKU-' || CAST(off % 20 AS VARCHAR) END AS product,
+       CASE WHEN has THEN CASE WHEN m = 2 THEN 3 ELSE off % 7 + 1 END END AS quantity,
+       CASE WHEN has THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS amount
+FROM (SELECT o_orderkey AS off, o_totalprice, {_NESTED_KIND} AS m, {_NESTED_KIND} NOT IN (1, 6) AS has
+      FROM orders) t"""
+ORACLE["schema_errors_nested"] = f"""
+SELECT o_orderkey AS off, CASE {_NESTED_KIND}
+         WHEN 1 THEN '$: missing required property ''payload'''
+         WHEN 2 THEN '$.payload.quantity: expected integer, got str'
+         WHEN 3 THEN '$.lines[1].qty: expected integer, got boolean'
+         WHEN 4 THEN '$.lines[0]: missing required property ''sku''; $.lines[1].qty: expected integer, got str'
+         WHEN 5 THEN '$.lines: expected array, got dict'
+         WHEN 6 THEN '$.payload: expected object, got NoneType'
+         ELSE '' END AS errors
+FROM orders"""
+ORACLE["tax_inclusive"] = with_views("""
+SELECT txn_id, amount,
+       CAST(round(CAST(amount AS DECIMAL(22,6)) * CAST(1.19 AS DECIMAL(12,8)), 2) AS DOUBLE)
+         AS amount_incl
+FROM transactions""", "transactions")

@@ -209,6 +209,23 @@ def raw_orders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
                     (F.col("o_orderkey") % 3).cast("int").alias("partition"))
 
 
+def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pubsub.orders.v1`` messages as JSON texts: off, value.  Of every eight, one has no
+    payload, one a quantity as text, two bad lines, one an object for lines, one a null
+    payload and one no lines."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    m = F.floor(k / 4) % 8
+    quantity = F.when(m == 2, F.lit('"3"')).otherwise(_s(k % 7 + 1))
+    payload = (F.when(m == 1, "").when(m == 6, ',"payload":null')
+               .otherwise(F.concat(F.lit(',"payload":{"product":"SKU-'), _s(k % 20), F.lit('","quantity":'),
+                                   quantity, F.lit(',"amount":'), _money_text("o_totalprice"), F.lit("}"))))
+    lines = (F.when(m == 3, ',"lines":[{"sku":"a","qty":1},{"sku":"b","qty":true}]')
+             .when(m == 4, ',"lines":[{"qty":2},{"sku":"c","qty":"x"}]')
+             .when(m == 5, ',"lines":{}').when(m == 7, "").otherwise(',"lines":[{"sku":"a","qty":1}]'))
+    return o.select(k.alias("off"), F.concat(F.lit('{"id":'), _s(k), payload, lines, F.lit("}")).alias("value"))
+
+
 # -------------------------------------------------------- serde mixed log
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed payloads for best-effort decoding: JSON objects, arrays, numbers,
