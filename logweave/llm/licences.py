@@ -1,16 +1,21 @@
 """Licence scan: a trained paragraph classifier with template confirmation.
 
-Paragraphs are the lines of a text.  Sparse word uni- and bigram counts go through
+A text is read line by line, and where lines are short, as in a licence wrapped to a
+width, each line also with the lines that follow it.  Sparse word uni- and bigram counts go through
 a multinomial logistic regression whose classes are the licence families, an
 unknown licence, and no licence.  It is trained on notices made from the family
 names, on sentences of the licence texts, on made-up names and texts of other
 licences for the unknown class, and on a bounded sample of paragraphs for no
 licence.  A probability threshold is calibrated on notices and
 paragraphs that training did not see; below it a licence notice is of the unknown
-class.  A family also has to be confirmed by a template: the words of one of its
-name forms or of a phrase that its text has and no other family's, in order;
-otherwise it is unknown too.  A text wrapped over lines is reported by each line
-that holds a template.
+class.  A family also has to be confirmed by a template: one of its name forms or a phrase
+that its text has and no other family's, in order, or by CONTAINED of the window's four-word
+sequences standing in the family's texts, one of them in no other's; otherwise it is unknown too.  In a window over
+several lines the template has to begin in the first, so the line found is the one where it
+begins.  Of the Creative Commons families the most special one confirmed is taken.
+
+Lines of one family that follow each other are one notice, reported with its first and
+last line; unknown lines amid a confirmed notice belong to it.
 
 Everything runs as DataFrame operations and Spark's DataFrame machine learning
 (JVM); no Python runs over rows.
@@ -24,6 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from logweave.llm.common import hash_sample, staged
 
@@ -31,6 +37,13 @@ from logweave.llm.common import hash_sample, staged
 SAMPLE = 6_000
 VOCABULARY = 8_000
 MAX_WORDS = 40
+#: Wrapped text: lines up to this many characters, so many of them read together, and the
+#: most lines between two places of one notice.
+LINE_CHARS, LINES, GAP = 120, 5, 5
+#: Share of a window's four-word sequences in a family's texts that confirms it.
+CONTAINED = 0.5
+#: Probability that a window is of any licence from which on it is reported as unknown.
+ANY_LICENCE = 0.8
 #: Paragraphs whose words stand around notices in training.
 PROSE = 500
 #: Usual names of licence families.
@@ -54,6 +67,13 @@ FAMILIES = {
                  "creative commons attribution share alike"],
     "cc-by-nc": ["cc by nc 4 0", "cc by nc", "creative commons attribution noncommercial",
                  "creative commons attribution non commercial"],
+    "cc-by-nc-sa": ["cc by nc sa 4 0", "cc by nc sa", "creative commons attribution noncommercial sharealike",
+                    "creative commons attribution non commercial share alike"],
+    "cc-by-nd": ["cc by nd 4 0", "cc by nd", "creative commons attribution noderivatives",
+                 "creative commons attribution noderivs", "creative commons attribution no derivatives"],
+    "cc-by-nc-nd": ["cc by nc nd 4 0", "cc by nc nd", "creative commons attribution noncommercial noderivatives",
+                    "creative commons attribution noncommercial noderivs",
+                    "creative commons attribution non commercial no derivatives"],
     "cc0": ["cc0 1 0 universal", "cc0", "public domain dedication"],
     "isc": ["isc license", "isc licence"],
     "proprietary": ["all rights reserved"],
@@ -128,8 +148,9 @@ TEXTS = {
               for v in (4, 3, 2)],
     "cc-by-sa": [f"to view a copy of this license visit creativecommons org licenses by sa {v} 0"
                  for v in (4, 3)],
-    "cc-by-nc": [f"to view a copy of this license visit creativecommons org licenses by nc {v} 0"
-                 for v in (4, 3)],
+    **{f"cc-by-{x.replace(' ', '-')}": [
+        f"to view a copy of this license visit creativecommons org licenses by {x} {v} 0" for v in (4, 3)]
+        for x in ("nc", "nc sa", "nd", "nc nd")},
     "cc0": [
         "the person who associated a work with this deed has dedicated the work to the public domain by "
         "waiving all of his or her rights to the work worldwide under copyright law",
@@ -172,7 +193,10 @@ PHRASES = {
     "mpl-2.0": ["if a copy of the mpl was not distributed", "mozilla org mpl 2 0"],
     "cc-by": [f"creativecommons org licenses by {v}" for v in ("1 0", "2 0", "2 5", "3 0", "4 0")],
     "cc-by-sa": ["creativecommons org licenses by sa"],
-    "cc-by-nc": ["creativecommons org licenses by nc"],
+    "cc-by-nc": [f"creativecommons org licenses by nc {v}" for v in (1, 2, 3, 4)],
+    "cc-by-nc-sa": ["creativecommons org licenses by nc sa"],
+    "cc-by-nd": ["creativecommons org licenses by nd"],
+    "cc-by-nc-nd": ["creativecommons org licenses by nc nd"],
     "cc0": ["dedicated the work to the public domain by waiving all",
             "waived all copyright and related or neighboring rights",
             "creativecommons org publicdomain zero 1 0"],
@@ -210,6 +234,8 @@ MADE_UP = ["acme license", "example community license", "sunrise source license
            "research only license", "evaluation license agreement", "custom vendor license",
            "northwind shared source license", "end user license agreement", "data use licence"]
 NONE, UNKNOWN = "none", "unknown"
+#: The Creative Commons families, the more special ones first.
+SPECIAL = ["cc-by-nc-sa", "cc-by-nc-nd", "cc-by-nc", "cc-by-sa", "cc-by-nd", "cc-by"]
 
 
 def tokens(text: Column) -> Column:
@@ -217,10 +243,23 @@ def tokens(text: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, par (its number), w (its words)."""
-    t = docs.select(F.col(id_col).alias("doc_id"),
-                    F.posexplode(F.split(F.col(text_col), "\n")).alias("par", "line"))
-    return t.select("doc_id", "par", tokens(F.col("line")).alias("w")).filter(F.size("w") > 0)
+    """rid (number of the row), doc_id, par (line number), w (words), n_first (words of the
+    line): one row per line, and one for a short line with the short lines that follow it."""
+    t = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"),
+                    F.split(F.col(text_col), "\n").alias("ls"))
+    short = rf"[^\n]{{1,{LINE_CHARS}}}"
+    lines = F.transform(F.sequence(F.lit(1), F.size("ls")), lambda i: F.struct(
+        (i - 1).alias("par"), F.element_at("ls", i).alias("line"),
+        F.when(F.length(F.element_at("ls", i)).between(1, LINE_CHARS)
+               & F.length(F.get("ls", i)).between(1, LINE_CHARS),
+               F.array_join(F.slice("ls", i, LINES), "\n")).alias("run")))
+    e = t.select("rid", "doc_id", F.inline(lines))
+    run = F.regexp_extract("run", rf"^{short}(?:\n{short}(?=\n|\z))*", 0)
+    both = F.array(F.struct(tokens(F.col("line")).alias("w"), F.lit(False).alias("joined")),
+                   F.struct(F.when(F.col("run").isNotNull(), F.slice(tokens(run), 1, MAX_WORDS)).alias("w"),
+                            F.lit(True).alias("joined")))
+    return e.select("rid", "doc_id", "par", F.size(tokens(F.col("line"))).alias("n_first"), F.inline(both)) \
+        .filter((F.size("w") > 0) & (~F.col("joined") | (F.size("w") > F.col("n_first")) & (F.col("n_first") > 0)))
 
 
 def _features(df: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -280,7 +319,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
                    - {"0", "1", "2", "3", "4", "5", "v", "all", "by", "the", "new", "public", "general",
                       "library", "share", "alike", "non", "commercial"})
     phrases = "|".join(n for ns in PHRASES.values() for n in ns)
-    plain = paragraphs(some).filter(~F.arrays_overlap("w", F.array(*map(F.lit, names)))) \
+    plain = paragraphs(some).filter(~F.col("joined")).filter(~F.arrays_overlap("w", F.array(*map(F.lit, names)))) \
         .filter(~F.array_join("w", " ").rlike(rf"(^| )({phrases})( |$)")) \
         .select(F.slice("w", 1, MAX_WORDS).alias("w"), F.xxhash64("doc_id", "par").alias("o")) \
         .orderBy("o").limit(sample).select(F.lit(NONE).alias("class"), "w", "o")
@@ -321,10 +360,41 @@ def _calibrate(scored: DataFrame, precision: float = 0.99) -> float:
     return best
 
 
+def _four(w: Column) -> Column:
+    """The four-word sequences of a window."""
+    return F.when(F.size(w) > 3, F.transform(
+        F.sequence(F.lit(1), F.size(w) - 3), lambda i: F.array_join(F.slice(w, i, 4), " "))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def _sequences(family: str) -> set[str]:
+    return {" ".join(x[i:i + 4]) for t in TEXTS.get(family, []) for x in [t.split()]
+            for i in range(len(x) - 3)}
+
+
+def _confirmed(family: str) -> Column:
+    """Does a template of the family begin in the window's first line?"""
+    joined = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" "))
+    head = F.length(F.array_join(F.slice("w", 1, F.col("n_first")), " ")) + 1
+    found = F.lit(False)
+    for n in FAMILIES[family] + PHRASES.get(family, []):
+        found = found | F.when(F.col("joined"), F.instr(joined, f" {n} ").between(1, head)) \
+            .otherwise(joined.contains(f" {n} "))
+    texts = _sequences(family)
+    alone = texts.difference(*[_sequences(f) for f in TEXTS if f != family])
+    if alone:
+        have, own = (F.array(*map(F.lit, sorted(x))) for x in (texts, alone))
+        four = _four(F.col("w"))
+        found = found | ((F.size(four) > 3) & F.array_contains(have, F.get(four, F.lit(0)))
+                         & F.arrays_overlap(four, own)
+                         & (F.size(F.array_intersect(four, have)) >= CONTAINED * F.size(four)))
+    return F.coalesce(found, F.lit(False))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          sample: int = SAMPLE) -> DataFrame:
-    """doc_id, par, family (or unknown), probability, confirmed: one row per
-    paragraph that is a licence notice."""
+    """doc_id, par (first line), last_line, family (or unknown), probability, confirmed: one row
+    per licence notice."""
     from pyspark.ml.functions import vector_to_array
     pars = paragraphs(docs, id_col, text_col)
     model, vocabulary, classes, least = train(docs, id_col, text_col, sample)
@@ -332,22 +402,43 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     step = MAX_WORDS // 2
     wins = pars.withColumn("w", F.explode(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("w") - step, F.lit(1)), F.lit(step)),
-        lambda i: F.slice("w", i, MAX_WORDS))))
+        lambda i: F.slice("w", i, MAX_WORDS)))) \
+        .filter(~F.col("joined") | (F.size("w") > F.col("n_first")))
     scored = model.transform(_features(wins, vocabulary))
     prob = vector_to_array("probability")
     hit = scored.filter("prediction > 0").select(
-        "doc_id", "par", "w", F.col("prediction").cast("int").alias("c"),
-        F.array_max(prob).alias("probability"))
-    hit = hit.withColumn("guess", F.element_at(F.array(*map(F.lit, classes)), F.col("c") + 1))
-    joined = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" "))
-    confirm = F.coalesce(*[F.when(F.col("guess") == f, F.greatest(*[
-        joined.contains(f" {n} ") for n in ns + PHRASES.get(f, [])], F.lit(False)))
-        for f, ns in FAMILIES.items()],
-        F.lit(False))
-    hit = hit.withColumn("confirmed", confirm)
-    sure = F.col("confirmed") & (F.col("probability") >= least)
-    hit = hit.withColumn("family", F.when(sure, F.col("guess")).otherwise(UNKNOWN))
-    return hit.groupBy("doc_id", "par").agg(
-        F.max_by(F.struct("family", "probability", "confirmed"),
-                 F.struct("confirmed", "probability", "family")).alias("b")) \
-        .select("doc_id", "par", "b.family", "b.probability", "b.confirmed")
+        "rid", "doc_id", "par", "joined", "n_first", "w", F.col("prediction").cast("int").alias("c"),
+        F.array_max(prob).alias("probability"), (1 - F.get(prob, F.lit(0))).alias("any"))
+    guess = F.element_at(F.array(*map(F.lit, classes)), F.col("c") + 1)
+    special = F.coalesce(*[F.when(_confirmed(f), F.lit(f)) for f in SPECIAL])
+    plain = F.coalesce(*[F.when((F.col("guess") == f) & _confirmed(f), F.lit(f))
+                         for f in FAMILIES if f not in SPECIAL], F.lit(None).cast("string"))
+    hit = hit.withColumn("guess", guess).withColumn(
+        "named", F.when(F.col("guess").isin(SPECIAL), special).otherwise(plain))
+    hit = hit.withColumn("sure", F.col("named").isNotNull() & (F.col("probability") >= least)) \
+        .filter(F.col("sure") | ~F.col("joined") & (F.col("any") >= ANY_LICENCE))
+    best = hit.groupBy("rid", "par", F.when(F.col("sure"), F.col("named")).otherwise(UNKNOWN).alias("family")).agg(
+        F.first("doc_id").alias("doc_id"), F.max("probability").alias("probability"),
+        F.max(F.col("named").isNotNull()).alias("confirmed"), F.max("joined").alias("joined"))
+    return _notices_of(staged(best, "licence-hits"))
+
+
+def _notices_of(best: DataFrame) -> DataFrame:
+    """Joins the lines of a family that follow each other, and drops what is unknown in or
+    beside a notice of a family.  The windows hold the lines found in one document."""
+    known = best.filter(F.col("family") != UNKNOWN)
+    by = Window.partitionBy("rid", "family").orderBy("par")
+    opens = F.coalesce((F.col("par") - F.lag("par").over(by) > GAP).cast("int"), F.lit(1))
+    notice = known.withColumn("opens", opens).withColumn("no", F.sum("opens").over(by)) \
+        .groupBy("rid", "family", "no").agg(
+            F.first("doc_id").alias("doc_id"), F.min("par").alias("par"),
+            F.max(F.col("par") + F.col("joined").cast("int")).alias("last_line"),
+            F.max("probability").alias("probability"), F.max("confirmed").alias("confirmed"))
+    spans = notice.select(F.col("rid").alias("k"), F.col("par").alias("lo"), F.col("last_line").alias("hi"))
+    unknown = best.filter(F.col("family") == UNKNOWN).join(
+        spans, (F.col("rid") == F.col("k")) & F.col("par").between(F.col("lo") - GAP, F.col("hi") + GAP)
+        & (F.col("lo") < F.col("hi")), "left_anti")
+    own = best.filter(F.col("family") != UNKNOWN).select(F.col("rid").alias("k"), F.col("par").alias("p"))
+    unknown = unknown.join(own, (F.col("rid") == F.col("k")) & (F.col("par") == F.col("p")), "left_anti")
+    cols = ["doc_id", "par", "last_line", "family", "probability", "confirmed"]
+    return notice.select(*cols).unionByName(unknown.withColumn("last_line", F.col("par")).select(*cols))

@@ -579,6 +579,56 @@ def test_licence_texts_and_short_forms(spark):
     assert {100 + i: f for i, (_, f) in enumerate(want)} == got
 
 
+TEXTS = {
+    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials
+provided with the distribution.""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
+Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:""",
+    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
+in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on
+an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+specific language governing permissions and limitations under the License.""",
+    "gpl-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
+option) any later version."""}
+
+
+def test_wrapped_licences_and_variants(spark):
+    """Texts wrapped at three widths amid prose are one notice each, on their lines; the
+    Creative Commons variants are told apart."""
+    import textwrap
+    rnd = random.Random(4)
+    prose = [" ".join(rnd.choices(["tree", "the", "river", "and", "town", "old", "of"], k=30))
+             for _ in range(60)]
+    data, want = [(i, p) for i, p in enumerate(prose)], {}
+    for family, text in TEXTS.items():
+        for width in (60, 72, 80):
+            lines = textwrap.wrap(" ".join(text.split()), width)
+            k = 100 + len(want)
+            data.append((k, "\n".join(["The old town and the river.", "", *lines, "", prose[k % 60]])))
+            want[k] = (family, 2, len(lines))
+    variants = {"CC BY-NC-SA 4.0": "cc-by-nc-sa", "CC BY-NC-ND 4.0": "cc-by-nc-nd", "CC BY-ND 4.0": "cc-by-nd",
+                "CC BY-NC 4.0": "cc-by-nc", "CC BY-SA 4.0": "cc-by-sa", "CC BY 4.0": "cc-by",
+                "https://creativecommons.org/licenses/by-nc-sa/4.0/": "cc-by-nc-sa",
+                "Creative Commons Attribution-NonCommercial-ShareAlike": "cc-by-nc-sa"}
+    data += [(500 + i, f"This work is licensed under {v}.") for i, v in enumerate(variants)]
+    got = {}
+    for r in licences.scan(spark.createDataFrame(data, "doc_id int, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.family, r.par, r.last_line))
+    for k, (family, first, n) in want.items():
+        assert len(got[k]) == 1 and got[k][0][0] == family, (k, family, got.get(k))
+        _, lo, hi = got[k][0]
+        assert lo <= first + 2 and first + n // 3 <= hi < first + n, (family, got[k], n)
+    assert [got[500 + i][0][0] for i in range(len(variants))] == list(variants.values())
+    assert not [k for k in got if k < 100]
+
+
 # --- repeated substrings
 
 def brute_substr(texts):
