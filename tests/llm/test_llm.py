@@ -642,7 +642,7 @@ def brute_substr(texts):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [100_000, 1])
+@pytest.mark.parametrize("hot_rows", [substr.HOT_ROWS, 1])
 def test_substrings(docs, hot_rows):
     src = docs.collect()
     want = Counter((r.doc_id, n, g, hashlib.sha256(k.encode()).hexdigest())
