@@ -3,13 +3,15 @@
 ``observed_counts`` attaches named counters to a streaming DataFrame with
 ``DataFrame.observe``; Spark aggregates them per micro-batch on the executors
 and reports them in the query progress.  ``ProgressRecorder`` is a
-``StreamingQueryListener`` that keeps the progress events of one query, the
-stream-side equivalent of the reference's delivery callback.
+``StreamingQueryListener`` that adds up the progress of a query, the
+stream-side equivalent of the reference's delivery callback.  Counters that must
+survive the driver are committed with each batch (:func:`logweave.streaming.sinks.counters`).
 """
 
 from __future__ import annotations
 
 import threading
+from collections import deque
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +33,13 @@ def dlq_counters(classified: DataFrame, name: str = "dlq") -> DataFrame:
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Collects progress events (input rows, rates, observed metrics)."""
+    """Collects progress events (input rows, rates, observed metrics): totals of all, and
+    the last ``keep`` events."""
 
-    def __init__(self) -> None:
+    def __init__(self, keep: int = 1000) -> None:
         self._lock = threading.Lock()
-        self.progress: list[dict] = []
+        self.progress: deque[dict] = deque(maxlen=keep)
+        self._rows = self._ms = 0
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
@@ -43,11 +47,12 @@ class ProgressRecorder(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:  # noqa: N802
         p = event.progress
         obs = {k: v.asDict() for k, v in (p.observedMetrics or {}).items()}
+        ms = p.durationMs.get("triggerExecution", 0)
         with self._lock:
-            self.progress.append({"id": str(p.id), "batch": p.batchId,
-                                  "rows": p.numInputRows,
-                                  "duration_ms": p.durationMs.get("triggerExecution", 0),
-                                  "observed": obs})
+            self._rows += p.numInputRows
+            self._ms += ms
+            self.progress.append({"id": str(p.id), "batch": p.batchId, "rows": p.numInputRows,
+                                  "duration_ms": ms, "observed": obs})
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass
@@ -58,6 +63,4 @@ class ProgressRecorder(StreamingQueryListener):
     def rows_per_second(self) -> float:
         """Input rows over trigger time, all batches recorded so far."""
         with self._lock:
-            rows = sum(p["rows"] for p in self.progress)
-            ms = sum(p["duration_ms"] for p in self.progress)
-        return rows / (ms / 1000.0) if ms else 0.0
+            return self._rows / (self._ms / 1000.0) if self._ms else 0.0

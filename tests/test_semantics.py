@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from logweave.functions import transforms
@@ -120,6 +121,8 @@ def test_snapshot_diff_ops(spark):
     new = spark.createDataFrame([(2, "b"), (3, "x"), (4, "d")], "id long, status string")
     d = {(r.op, (r.before or r.after).id) for r in cdc.snapshot_diff(old, new).collect()}
     assert d == {("d", 1), ("u", 3), ("c", 4)}
+    with pytest.raises(ValueError, match="note"):
+        cdc.snapshot_diff(old, new.withColumn("note", new.status))
 
 
 def test_percentile_nearest_rank(spark):
