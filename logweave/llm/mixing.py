@@ -2,7 +2,7 @@
 
 Each source gets a target by its weight; what exceeds ``max_epochs`` times a
 source's size is reshared among the others.  The documents of a source stand in
-shuffled order (hash of the id).  A document's virtual finish time is the
+shuffled order (hash of id and text, so that repeated or null ids spread too).  A document's virtual finish time is the
 source's cumulative words up to and including it divided by the source's
 target, later epochs following on.  The copies of all sources are merged in the
 order of virtual finish time.  The quota of a source makes the cut: its document
@@ -97,7 +97,8 @@ def mix_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = numbered(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.size(words(F.col(text_col))).cast("bigint").alias("size"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key")),
+        F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"),
+                       F.coalesce(F.col(text_col), F.lit(""))).cast("binary")).alias("key")),
         "mix-docs")
     targets, budget = source_targets(docs.select("source", "size"), weights, max_epochs)
     t = targets.select(F.col("source").alias("t_source"), "source_size", "target", "quota")

@@ -33,7 +33,8 @@ _MIX = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source,
              CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
                                   lambda x: x <> '')) AS BIGINT) AS size,
-             md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+             md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key
+      FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1 AS weight FROM s),
 o AS (SELECT *, row_number() OVER (ORDER BY 3.0 * source_size / weight, source NULLS LAST) AS r
