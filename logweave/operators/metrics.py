@@ -140,15 +140,15 @@ THROUGHPUT_RESULT = ("config string, count bigint, elapsed_s double, msg_per_s d
 LATENCY_RESULT = ("measured bigint, p50_ms double, p95_ms double, p99_ms double, max_ms double")
 
 
-def _result_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row with the text of a result file; null if it is absent."""
+def _result_text(spark: SparkSession, path: str) -> Column:
+    """The text of a result file as a scalar; null if it is absent."""
     try:
         found = spark.read.text(path, wholetext=True)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         found = spark.createDataFrame([], "value string")
-    return found.agg(F.max("value").alias("text"))
+    return found.select(F.max("value")).scalar()
 
 
 def report_document(spark: SparkSession, throughput_path: str, latency_path: str) -> DataFrame:
@@ -159,7 +159,7 @@ def report_document(spark: SparkSession, throughput_path: str, latency_path: str
     section say that there are no results; a missing member counts as 0, a missing
     configuration name as ``?``."""
     n = lambda c, kind: F.coalesce(c, F.lit(0).cast(kind))
-    text = F.col("text")
+    text = F.col("throughput")
     rows = F.when(F.json_array_length(text) > 0, F.from_json(text, f"array<struct<{_fields(THROUGHPUT_RESULT)}>>"))
     sweep = F.transform(rows, lambda r: F.concat(
         F.lit("| "), F.coalesce(r["config"], F.lit("?")), F.lit(" | "),
@@ -167,23 +167,22 @@ def report_document(spark: SparkSession, throughput_path: str, latency_path: str
         _plain(n(r["elapsed_s"], "double")), F.lit(" | "),
         F.format_number(F.bround(n(r["msg_per_s"], "double").cast("decimal(38,6)"), 0), 0), F.lit(" | "),
         n(r["mb_per_s"], "double").cast("decimal(38,2)").cast("string"), F.lit(" |")))
-    t = _result_text(spark, throughput_path).select(_section(
-        "## Producer throughput (sweep)", F.concat(_lines(
-            "| Config | Messages | Elapsed (s) | msg/s | MB/s |", "|---|---:|---:|---:|---:|"), sweep),
-        "_No throughput results._").alias("throughput"))
+    first = _section("## Producer throughput (sweep)", F.concat(_lines(
+        "| Config | Messages | Elapsed (s) | msg/s | MB/s |", "|---|---:|---:|---:|---:|"), sweep),
+        "_No throughput results._")
+    text = F.col("latency")
     one = F.when(F.json_object_keys(text).isNotNull(), F.from_json(text, LATENCY_RESULT))
     values = F.array(*[F.concat(F.lit(f"| {label} | "), n(one[c], kind).cast("string") if kind == "bigint"
                                 else _plain(n(one[c], kind)), F.lit(" |"))
                        for label, c, kind in (("measured", "measured", "bigint"), ("P50", "p50_ms", "double"),
                                               ("P95", "p95_ms", "double"), ("P99", "p99_ms", "double"),
                                               ("max", "max_ms", "double"))])
-    lat = _result_text(spark, latency_path).select(_section(
-        "## End-to-end latency", F.when(one.isNotNull(), F.concat(
-            _lines("| Metric | Value (ms) |", "|---|---:|"), values)),
-        "_No latency results._").alias("latency"))
-    # one row beside one row
-    return t.crossJoin(lat).select(F.posexplode(F.concat(
-        _lines("# Benchmark Report", ""), "throughput", "latency")).alias("pos", "line")) \
+    second = _section("## End-to-end latency", F.when(one.isNotNull(), F.concat(
+        _lines("| Metric | Value (ms) |", "|---|---:|"), values)), "_No latency results._")
+    texts = spark.range(1).select(_result_text(spark, throughput_path).alias("throughput"),
+                                  _result_text(spark, latency_path).alias("latency"))
+    return texts.select(F.posexplode(F.concat(_lines("# Benchmark Report", ""), first, second))
+                        .alias("pos", "line")) \
         .select((F.col("pos") + 1).cast("bigint").alias("line_no"), "line")
 
 

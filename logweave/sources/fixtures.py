@@ -64,11 +64,10 @@ def arriving_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     the quarter of the log's time span that it belongs to, every 20th one quarter later;
     every 50th or so has no time."""
     ev = analytics_events(spark, sf_dir)
-    span = ev.agg(F.min("event_epoch").alias("lo"), F.max("event_epoch").alias("hi"))
-    quarter = F.floor(4 * (F.col("event_epoch") - F.col("lo")) / (F.col("hi") - F.col("lo") + 1))
+    lo, hi = (ev.select(f("event_epoch")).scalar() for f in (F.min, F.max))
+    quarter = F.floor(4 * (F.col("event_epoch") - lo) / (hi - lo + 1))
     late = F.when(F.col("event_id") % 20 == 0, 1).otherwise(0)
-    # one row beside every event
-    return ev.crossJoin(F.broadcast(span)).select(
+    return ev.select(
         "event_id", F.when(F.col("event_id") % 50 != 7, F.col("event_epoch")).alias("event_epoch"),
         F.least(F.lit(3), quarter + late).cast("int").alias("arrival"))
 
