@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from logweave.functions.materialize import computed
 from logweave.llm.common import hash_sample, staged
 
 #: Bound on the paragraphs that training and calibration read.
@@ -383,7 +384,7 @@ def _confirmed(family: str) -> Column:
     texts = _sequences(family)
     alone = texts.difference(*[_sequences(f) for f in TEXTS if f != family])
     if alone:
-        have, own = (F.array(*map(F.lit, sorted(x))) for x in (texts, alone))
+        have, own = (F.split(F.lit("\n".join(sorted(x))), "\n") for x in (texts, alone))
         four = _four(F.col("w"))
         found = found | ((F.size(four) > 3) & F.array_contains(have, F.get(four, F.lit(0)))
                          & F.arrays_overlap(four, own)
@@ -413,8 +414,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     special = F.coalesce(*[F.when(_confirmed(f), F.lit(f)) for f in SPECIAL])
     plain = F.coalesce(*[F.when((F.col("guess") == f) & _confirmed(f), F.lit(f))
                          for f in FAMILIES if f not in SPECIAL], F.lit(None).cast("string"))
-    hit = hit.withColumn("guess", guess).withColumn(
-        "named", F.when(F.col("guess").isin(SPECIAL), special).otherwise(plain))
+    hit = staged(hit.withColumn("guess", guess).filter(~F.col("joined") | (F.col("any") >= ANY_LICENCE)),
+                 "licence-windows")
+    hit = computed(hit, {"named": F.when(F.col("guess").isin(SPECIAL), special).otherwise(plain)})
     hit = hit.withColumn("sure", F.col("named").isNotNull() & (F.col("probability") >= least)) \
         .filter(F.col("sure") | ~F.col("joined") & (F.col("any") >= ANY_LICENCE))
     best = hit.groupBy("rid", "par", F.when(F.col("sure"), F.col("named")).otherwise(UNKNOWN).alias("family")).agg(
