@@ -2,9 +2,9 @@
 
 Each source gets a target by its weight; what exceeds ``max_epochs`` times a
 source's size is reshared among the others.  The documents of a source stand in
-shuffled order (hash of id and text, so that repeated or null ids spread too).  A document's virtual finish time is the
-source's cumulative words up to and including it divided by the source's
-target, later epochs following on.  The copies of all sources are merged in the
+shuffled order (hash of id and text, so that repeated or null ids spread too).  A
+document's virtual finish time is the source's cumulative words up to and including
+it divided by the source's target, later epochs following on.  The copies of all sources are merged in the
 order of virtual finish time.  The quota of a source makes the cut: its document
 in service at virtual time 1 is cut to what the source has left.  The quotas sum to
 the total budget at most, so truncating the stream there removes nothing more.

@@ -43,7 +43,7 @@ WINDOW = 35
 ROUNDS = 3
 GROUP = 8
 #: An anchor name with more rows than this is verified by a salted plan.
-HOT_ROWS = 5_000
+HOT_ROWS = 100_000
 _CACHE = 500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
