@@ -673,22 +673,33 @@ def stream_cdc_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_replica(spark, f"{root}/replica", f"{root}/batches")
 
 
+#: Rows of a slice that one file takes; more rows make more files, and so more tasks.
+ROWS_PER_FILE = 500_000
+
+
 def _slices(df: DataFrame, path: str, n: int, slice_no: Column, files: int = 2):
-    """Write ``df`` to a log folder in ``n`` appends of ``files`` files, the rows of a slice
-    together; yields after each.  Read with ``maxFilesPerTrigger=files`` a slice is a batch."""
+    """Write ``df`` to a log folder in ``n`` appends, the rows of a slice together; yields after
+    each the number of files of a slice.  It is the same for all slices (at least ``files``, and
+    one per ``ROWS_PER_FILE`` rows of the largest; a small slice gets empty files), so read with
+    ``maxFilesPerTrigger`` of it a slice is a batch."""
+    spark = df.sparkSession
     df = df.withColumn("_slice", slice_no).persist()
     try:
+        rows = df.agg(*[F.count_if(F.col("_slice") == i) for i in range(n)]).first()
+        files = max(files, -(-max(rows) // ROWS_PER_FILE))
         for i in range(n):
-            df.filter(F.col("_slice") == i).drop("_slice").repartition(files) \
-                .write.mode("append").parquet(path)
-            yield i
+            part = df.filter(F.col("_slice") == i).drop("_slice")
+            part.repartition(files).write.mode("append").parquet(path)
+            there = len(spark.read.schema(part.schema).parquet(path).inputFiles())
+            for _ in range(files * (i + 1) - there):
+                spark.createDataFrame([], part.schema).coalesce(1).write.mode("append").parquet(path)
+            yield files
     finally:
         df.unpersist()
 
 
-def _stream_of(spark: SparkSession, path: str, like: DataFrame, files: int | None = 2) -> DataFrame:
-    r = spark.readStream.schema(like.schema)
-    return (r.option("maxFilesPerTrigger", files) if files else r).parquet(path)
+def _stream_of(spark: SparkSession, path: str, like: DataFrame, files: int) -> DataFrame:
+    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @register("stream_late_split")
@@ -697,9 +708,9 @@ def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     20th one quarter late, some without a time; stopped and started again halfway."""
     root = sinks.scratch_path(checkpoint_dir(spark), "stream_late_split")
     log = fx.arriving_events(spark, sf_dir)
-    for i in _slices(log, f"{root}/log", 4, F.col("arrival")):
+    for i, files in enumerate(_slices(log, f"{root}/log", 4, F.col("arrival"))):
         if i % 2:
-            live = jobs.tag_late(_stream_of(spark, f"{root}/log", log), delay="2 seconds", window_s=60)
+            live = jobs.tag_late(_stream_of(spark, f"{root}/log", log, files), delay="2 seconds", window_s=60)
             jobs.run_foreach(live, "stream_late_split", sinks.late_split_sink(
                 f"{root}/main", f"{root}/late", f"{root}/commits"), checkpoint=f"{root}/checkpoint")
     parts = [sinks.read_table(spark, name, f"{root}/{name}", f"{root}/commits")
@@ -714,10 +725,9 @@ def stream_cdc_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = sinks.scratch_path(checkpoint_dir(spark), "stream_cdc_bucketed")
     log = fx.cdc_log(spark, sf_dir)
     order = F.when(F.col("op") == "c", 1).otherwise(0)
-    for _ in _slices(log, f"{root}/changes", 2, order):
-        pass
+    files = max(_slices(log, f"{root}/changes", 2, order))
     for run in range(2):
-        jobs.run_foreach(_stream_of(spark, f"{root}/changes", log), "stream_cdc_bucketed",
+        jobs.run_foreach(_stream_of(spark, f"{root}/changes", log, files), "stream_cdc_bucketed",
                          sinks.cdc_replica_sink(f"{root}/replica", f"{root}/commits"),
                          checkpoint=f"{root}/checkpoint-{run}")
     return sinks.read_replica(spark, f"{root}/replica", f"{root}/commits")
@@ -731,9 +741,8 @@ def _order_payment_stream(spark: SparkSession, sf_dir: str, name: str, payments:
         payments.withColumnRenamed("payment_epoch", "t").withColumn("side", F.lit(1)))
     span = log.agg(F.min("t"), F.max("t") + 1).first()
     quarter = F.floor(4 * (F.col("t") - F.lit(span[0])) / F.lit((span[1] or 1) - (span[0] or 0)))
-    for _ in _slices(log, f"{root}/log", 4, quarter):
-        pass
-    side = lambda n, t, *cols: _stream_of(spark, f"{root}/log", log).filter(F.col("side") == n) \
+    files = max(_slices(log, f"{root}/log", 4, quarter))
+    side = lambda n, t, *cols: _stream_of(spark, f"{root}/log", log, files).filter(F.col("side") == n) \
         .select("order_id", "amount", F.col("t").alias(t), *cols)
     live = jobs.consume_stream(side(0, "order_epoch"), side(1, "payment_epoch", "method"),
                                bound_s=JOIN_WINDOW_S)
@@ -771,9 +780,8 @@ def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, and later events of an order may come before earlier ones."""
     root = sinks.scratch_path(checkpoint_dir(spark), "stream_fold")
     log = fx.order_log(spark, sf_dir)
-    for _ in _slices(log, f"{root}/log", 4, ((F.col("seq") + 3) % 4).cast("int")):
-        pass
-    jobs.run_foreach(_stream_of(spark, f"{root}/log", log), "stream_fold", sinks.fold_sink(
+    files = max(_slices(log, f"{root}/log", 4, ((F.col("seq") + 3) % 4).cast("int")))
+    jobs.run_foreach(_stream_of(spark, f"{root}/log", log, files), "stream_fold", sinks.fold_sink(
         f"{root}/events", f"{root}/states", f"{root}/commits"))
     return sinks.read_states(spark, f"{root}/states", f"{root}/commits")
 
@@ -785,9 +793,8 @@ def ledger_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = fx.transfers_staged(spark, sf_dir)
     top = staged.agg(F.max("off")).first()[0] or 0
     part = F.least(F.lit(3), F.floor(4 * F.col("off") / F.lit(top + 1))).cast("int")
-    for _ in _slices(staged, f"{root}/staged", 4, part):
-        pass
-    return jobs.dedup_stream(spark, _stream_of(spark, f"{root}/staged", staged),
+    files = max(_slices(staged, f"{root}/staged", 4, part))
+    return jobs.dedup_stream(spark, _stream_of(spark, f"{root}/staged", staged, files),
                              fx.txn_markers(spark, sf_dir), "transfer_id", f"{root}/ledger",
                              f"{root}/commits")
 
