@@ -194,47 +194,76 @@ def consume_stream(orders: DataFrame, payments: DataFrame, key: str = "order_id"
               .filter((F.col("_key") != "") & F.col("_t").isNotNull())
               .withColumn("_b", F.pmod(F.xxhash64("_key"), F.lit(n))))
     bound = float(bound_s)
-    out_cols = ["matched", "key", "order_json", "payment_json", "order_t", "payment_t"]
     out_schema = ("matched boolean, key string, order_json string, payment_json string, "
                   "order_t double, payment_t double")
 
     def step(bucket, pdfs, state):
-        import json
-
+        import numpy as np
         import pandas as pd
-        pending = json.loads(state.get[0]) if state.exists else {}
-        out = []
-        if not state.hasTimedOut:
-            ev = pd.concat(list(pdfs)).sort_values(["_key", "_t", "_side", "_payload"], kind="stable")
-            for k, t, side, pay in zip(*(ev[c].tolist() for c in ("_key", "_t", "_side", "_payload"))):
-                one = pending.pop(k, [None, None])
-                if side == 0 and one[0]:
-                    out.append((False, k, one[0][1], None, one[0][0], None))
-                one[side] = [t, pay]
-                if one[0] and one[1] and abs(one[0][0] - one[1][0]) <= bound:
-                    out.append((True, k, one[0][1], one[1][1], one[0][0], one[1][0]))
-                else:
-                    pending[k] = one
+        import pyarrow as pa
+        cols = ["_key", "_t", "_side", "_payload"]
+        parts = [] if state.hasTimedOut else [p[cols] for p in pdfs]
+        n_old = 0
+        if state.exists:
+            parts.insert(0, pa.ipc.open_stream(state.get[0]).read_pandas())
+            n_old = len(parts[0])
+        rows = pd.concat(parts, ignore_index=True)
+        key, t, side, pay = rows["_key"].to_numpy(object), rows["_t"].to_numpy(float), \
+            rows["_side"].to_numpy(int), rows["_payload"].to_numpy(object)
+        code, names = pd.factorize(key)
+        # The pending order and payment of each key, as row numbers; -1 for none.
+        held = np.full((len(names), 2), -1)
+        held[code, side] = np.arange(len(rows))
+        near = lambda a, b: abs(t[a] - t[b]) <= bound
+        # A key with one record per side at most needs no order of arrival.
+        busy = (np.bincount(2 * code + side, minlength=held.size).reshape(-1, 2) > 1).any(axis=1)
+        pair = ~busy & (held >= 0).all(axis=1)
+        pair[pair] = near(held[pair, 0], held[pair, 1])
+        out_o, out_p = [held[pair, 0]], [held[pair, 1]]
+        held[pair] = -1
+        if busy.any():
+            held[busy] = -1
+            at = np.flatnonzero(busy[code])
+            new = rows.iloc[at[at >= n_old]].sort_values(cols, kind="stable").index
+            o, p = [], []
+            for i in [*at[at < n_old].tolist(), *new.tolist()]:
+                one, s = held[code[i]], side[i]
+                if i >= n_old and s == 0 and one[0] >= 0:
+                    o.append(one[0])
+                    p.append(-1)
+                one[s] = i
+                if i >= n_old and one[0] >= 0 and one[1] >= 0 and near(one[0], one[1]):
+                    o.append(one[0])
+                    p.append(one[1])
+                    one[:] = -1
+            out_o.append(np.array(o, int))
+            out_p.append(np.array(p, int))
         wm = state.getCurrentWatermarkMs()
-        due = None
-        for k, one in list(pending.items()):
-            end = int((max(x[0] for x in one if x) + bound) * 1000) + 1
-            if end <= wm:
-                del pending[k]
-                if one[0]:
-                    out.append((False, k, one[0][1], None, one[0][0], None))
-            else:
-                due = end if due is None else min(due, end)
-        if pending:
-            state.update((json.dumps(pending),))
-            state.setTimeoutTimestamp(due)
+        held = held[(held >= 0).any(axis=1)]
+        last = np.where(held >= 0, t[held], -np.inf).max(axis=1)
+        end = np.trunc((last + bound) * 1000).astype(np.int64) + 1
+        gone = held[end <= wm, 0]
+        out_o.append(gone[gone >= 0])
+        out_p.append(np.full(len(out_o[-1]), -1))
+        keep = held[end > wm].ravel()
+        if len(keep):
+            table = pa.Table.from_pandas(rows.iloc[np.sort(keep[keep >= 0])], preserve_index=False)
+            buf = pa.BufferOutputStream()
+            with pa.ipc.new_stream(buf, table.schema) as w:
+                w.write_table(table)
+            state.update((buf.getvalue().to_pybytes(),))
+            state.setTimeoutTimestamp(int(end[end > wm].min()))
         elif state.exists:
             state.remove()
-        if out:
-            yield pd.DataFrame(out, columns=out_cols)
+        o, p = np.concatenate(out_o), np.concatenate(out_p)
+        if len(o):
+            yield pd.DataFrame({
+                "matched": p >= 0, "key": key[o], "order_json": pay[o],
+                "payment_json": np.where(p >= 0, pay[p], None),
+                "order_t": t[o], "payment_t": np.where(p >= 0, t[p], np.nan)})
 
     return events.groupBy("_b").applyInPandasWithState(
-        step, out_schema, "pending string", "append", GroupStateTimeout.EventTimeTimeout)
+        step, out_schema, "pending binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def dedup_keyed_stream(committed: DataFrame, id_col: str, event_time_col: str | None = None,
