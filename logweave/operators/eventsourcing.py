@@ -58,10 +58,10 @@ CLASS_FIELDS = {
 SUBCLASS_FIELDS = ("customer", "amount", "method", "carrier", "tracking", "reason")
 
 
-def _status_of_type(t: Column) -> Column:
+def _status_of_place(i: Column) -> Column:
     out = None
-    for k, v in STATUS_OF.items():
-        out = F.when(t == k, v) if out is None else out.when(t == k, v)
+    for n, v in enumerate(STATUS_OF.values()):
+        out = F.when(i == n, v) if out is None else out.when(i == n, v)
     return out
 
 
@@ -121,28 +121,48 @@ def whatif(df: DataFrame, scenario: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- fold (AG5)
-def _fold_aggs(id_col: str, seq_col: str) -> list[Column]:
+def _event_parts(seq_col: str) -> dict[str, Column]:
+    """What one event adds to the fold.  The type goes as its place in ``STATUS_OF``: with
+    numbers only, Spark aggregates by hashing and needs no sort."""
     et, amt, seq = F.col("event_type"), F.col("amount"), F.col(seq_col)
     is_c, is_p = et == CREATED, et == PAYMENT
-    is_set = et.isin(list(STATUS_OF))
+    place = None
+    for i, k in enumerate(STATUS_OF):
+        place = F.when(et == k, i) if place is None else place.when(et == k, i)
+    return {"_paid": F.when(is_p, amt.cast(MONEY)),
+            "amount": F.when(is_c, amt),
+            "_c_seq": F.when(is_c, seq),
+            "_l_seq": F.when(et.isin(list(STATUS_OF)), seq),
+            "_l_type": place,
+            "_p_seq": F.when(is_p, seq),
+            "_neg": is_p & (amt < 0)}
+
+
+def _merge_aggs(p: dict[str, Column]) -> list[Column]:
+    """Aggregates of the parts of events; they have the same form, so parts of more events can
+    be added to them later, in any order."""
     return [
-        F.coalesce(F.sum(F.when(is_p, amt.cast(MONEY))), F.lit(0).cast(MONEY)).alias("_paid"),
-        F.max_by(F.when(is_c, amt), F.when(is_c, seq)).alias("amount"),
-        F.max(F.when(is_c, seq)).alias("_c_seq"),
-        F.max(F.when(is_set, seq)).alias("_l_seq"),
-        F.max_by(F.when(is_set, et), F.when(is_set, seq)).alias("_l_type"),
-        F.max(F.when(is_p, seq)).alias("_p_seq"),
-        F.max(is_p & (amt < 0)).alias("_neg"),
+        F.coalesce(F.sum(p["_paid"]), F.lit(0).cast(MONEY)).alias("_paid"),
+        F.max_by(p["amount"], p["_c_seq"]).alias("amount"),
+        F.max(p["_c_seq"]).alias("_c_seq"),
+        F.max(p["_l_seq"]).alias("_l_seq"),
+        F.max_by(p["_l_type"], p["_l_seq"]).alias("_l_type"),
+        F.max(p["_p_seq"]).alias("_p_seq"),
+        F.max(p["_neg"]).alias("_neg"),
     ]
 
 
+def _fold_aggs(id_col: str, seq_col: str) -> list[Column]:
+    return _merge_aggs(_event_parts(seq_col))
+
+
 def _status_from_aggs() -> Column:
     paid_after_l = F.col("_p_seq").isNotNull() & (
         F.col("_l_seq").isNull() | (F.col("_p_seq") > F.col("_l_seq")))
     enough = F.col("_paid") >= F.coalesce(
         F.when(F.col("_c_seq").isNotNull(), F.col("amount").cast(MONEY)), F.lit(0).cast(MONEY))
     return (F.when(paid_after_l & enough, "PAID")
-            .when(F.col("_l_seq").isNotNull(), _status_of_type(F.col("_l_type")))
+            .when(F.col("_l_seq").isNotNull(), _status_of_place(F.col("_l_type")))
             .otherwise("UNKNOWN"))
 
 
@@ -212,6 +232,57 @@ def fold_states(df: DataFrame, id_col: str = "aggregate_id", seq_col: str = "seq
     return simple.unionByName(last)
 
 
+# ------------------------------------------------- fold of a growing log (AG5)
+#: Statuses by number (from 1), as the replayed ones are kept in a fold.
+STATUSES = ("UNKNOWN", "CREATED", "PAID", "SHIPPED", "CANCELLED")
+#: Holds the sums of a fold; ``sum`` over MONEY gives the same type.
+PAID_SUM = "decimal(28,2)"
+
+
+def negative_payments(df: DataFrame) -> DataFrame:
+    """Events whose aggregates :func:`fold_onto` needs a replay of."""
+    return df.filter((F.col("event_type") == PAYMENT) & (F.col("amount") < 0))
+
+
+def replayed_status(df: DataFrame, id_col: str = "aggregate_id", seq_col: str = "seq") -> DataFrame:
+    """order_id, _replayed: number of the status that the whole history of an aggregate leads to,
+    step by step.  ``df`` has all events of the aggregates in it."""
+    names = F.array(*[F.lit(s) for s in STATUSES])
+    return (running_state(df, id_col, seq_col).groupBy(F.col(id_col).alias("order_id"))
+            .agg(F.max_by("status", F.col(seq_col)).alias("_s"))
+            .select("order_id", F.array_position(names, F.col("_s")).cast("int").alias("_replayed")))
+
+
+def fold_onto(old: DataFrame | None, df: DataFrame, replayed: DataFrame | None = None,
+              id_col: str = "aggregate_id", seq_col: str = "seq") -> DataFrame:
+    """:func:`fold_states` of the events in ``old`` (a result of this function) and ``df``
+    together; the events in ``old`` are not read again.
+
+    Output: order_id and what later events are added to; :func:`states_of` makes states of it.
+    ``replayed`` gives the status of aggregates in ``df`` that have a negative payment in
+    ``df`` or before; others keep the one they have."""
+    parts = _event_parts(seq_col)
+    rows = df.select(F.col(id_col).alias("order_id"), *[c.alias(n) for n, c in parts.items()],
+                     F.lit(None).cast("int").alias("_exact"))
+    if old is not None:
+        rows = old.select(*rows.columns).unionByName(rows)
+    out = rows.groupBy("order_id").agg(*_merge_aggs({n: F.col(n) for n in parts}),
+                                       F.max("_exact").alias("_exact"))
+    if replayed is not None:
+        out = out.join(replayed, "order_id", "left").withColumn(
+            "_exact", F.coalesce("_replayed", "_exact")).drop("_replayed")
+    return out.withColumn("_paid", F.col("_paid").cast(PAID_SUM))
+
+
+def states_of(folded: DataFrame) -> DataFrame:
+    """order_id, status, paid, amount of a result of :func:`fold_onto`."""
+    exact = F.element_at(F.array(*[F.lit(s) for s in STATUSES]), F.col("_exact"))
+    return folded.select(
+        "order_id", F.when(F.coalesce(F.col("_neg"), F.lit(False)), exact)
+        .otherwise(_status_from_aggs()).alias("status"),
+        F.col("_paid").cast("double").alias("paid"), "amount")
+
+
 def rebuild_state(df: DataFrame, aggregate_id, id_col: str = "aggregate_id",
                   seq_col: str = "seq") -> DataFrame:
     """State of one aggregate (AG4): order_id, status, paid, amount, customer,

@@ -101,12 +101,11 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("OrderCreated").alias("event_type"), F.col("o_totalprice").alias("amount"),
         _s("o_custkey").alias("customer"), null_s.alias("method"), null_s.alias("carrier"),
         null_s.alias("tracking"), null_s.alias("reason"), base_epoch.alias("order_epoch"))
+    # Lines that tie up to the price and flag make equal events, whatever their order.
     w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
-        "l_quantity", "l_discount", "l_tax", "l_linestatus", "l_shipdate")
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag")
     paid = (li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-                      "l_returnflag", "l_quantity", "l_discount", "l_tax", "l_linestatus",
-                      "l_shipdate")
+                      "l_returnflag")
             .withColumn("seq", (F.lit(10) + F.row_number().over(w)).cast("bigint"))
             .join(o.select(F.col("o_orderkey").alias("l_orderkey"),
                            base_epoch.alias("order_epoch")), "l_orderkey")

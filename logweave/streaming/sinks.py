@@ -98,9 +98,12 @@ def fold_sink(events_path: str, states_path: str, commits_path: str, key: str =
               state_key: str = "order_id", n_buckets: int = N_BUCKETS, query: str = "fold"):
     """Keep the folded state of every aggregate up to date (AG4, AG5 on a stream).
 
-    A batch is added to a log in hash buckets by aggregate; the aggregates it touches are folded
-    anew from their buckets (a semi join), and replace their rows in the state table.  Events may
-    come in any order: the fold goes by their sequence."""
+    A batch is added to a log in hash buckets by aggregate, and its events are folded onto the
+    buckets of the state table that it touches; their rows hold what later events are added
+    to, and :func:`read_states` makes states of them.  The log is not read again, but for
+    aggregates with a negative payment: these are replayed from their buckets of the log when
+    events of theirs come.  Events may come in any order: the fold goes by their sequence.
+    Events without an aggregate stay in the log and have no state."""
     def body(batch: DataFrame, batch_id: int, state: dict, log: CommitLog) -> dict:
         events = Table(log, "events", events_path, key, n_buckets)
         states = Table(log, "states", states_path, state_key, n_buckets)
@@ -108,20 +111,29 @@ def fold_sink(events_path: str, states_path: str, commits_path: str, key: str =
         if not new:
             return {}
         seen = {**state, "schemas": {**state["schemas"], **schema}}
-        fresh = [f for fs in new.values() for f, _ in fs]
-        ids = events.read(seen, folders=fresh).select(key).distinct()
-        history = events.read(seen, folders=events.folders(state, new) + fresh)
-        folded = es.fold_states(history.join(ids, key, "left_semi"))
+        fresh = events.read(seen, folders=[f for fs in new.values() for f, _ in fs]) \
+            .filter(F.col(key).isNotNull())
         old = states.read(state, new)
+        hard = es.negative_payments(fresh).select(key)
         if old is not None:
-            folded = old.join(ids.withColumnRenamed(key, state_key), state_key, "left_anti") \
-                .unionByName(folded)
+            hard = hard.unionByName(old.filter("_neg").select(F.col(state_key).alias(key)))
+        buckets = events.touched(hard)
+        if buckets:
+            hard = hard.join(fresh.select(key), key, "left_semi").distinct()
+            buckets = events.touched(hard)
+        replayed = None
+        if buckets:
+            history = events.read(seen, folders=events.folders(state, buckets)
+                                  + [f for b in buckets for f, _ in new[b]])
+            replayed = es.replayed_status(history.join(hard, key, "left_semi"), key)
+        folded = es.fold_onto(old, fresh, replayed, key)
         return joined({"schemas": schema}, events.appended(seen, new), states.replace(folded))
     return exactly_once(commits_path, query, body)
 
 
 def read_states(spark: SparkSession, states_path: str, commits_path: str) -> DataFrame | None:
-    return read_table(spark, "states", states_path, commits_path)
+    rows = read_table(spark, "states", states_path, commits_path)
+    return None if rows is None else es.states_of(rows)
 
 
 # ------------------------------------------------------------ ledger (SNK5, EO3)

@@ -187,6 +187,43 @@ def test_fold_equals_batch_after_every_batch(spark, root, n_batches):
         assert key(got) == key(es.fold_states(so_far).select(*got.columns))
 
 
+def test_fold_reads_old_events_only_for_negative_payments(spark, root, monkeypatch):
+    """A later batch is folded onto the states: it reads its own events, and of those before it only
+    the buckets of aggregates in it that have a negative payment, now or before."""
+    schema = "aggregate_id long, seq long, event_type string, amount double"
+    batches = [
+        [(a, 0, "OrderCreated", 10.0) for a in range(40)] + [(None, 0, "OrderCreated", 1.0)],
+        [(a, 12, "PaymentReceived", 10.0) for a in range(40)],
+        [(a, 11, "OrderShipped", None) for a in range(30)] + [(a, 14, "Noted", None) for a in range(30, 40)],
+        [(7, 13, "PaymentReceived", -3.0)],
+        [(7, 10, "PaymentReceived", 3.0)],
+        [(a, 9, "PaymentReceived", 1.0) for a in range(8, 12)]]
+    fn = sinks.fold_sink(f"{root}/e", f"{root}/s", f"{root}/c", n_buckets=4)
+    log = commits.CommitLog(spark, f"{root}/c")
+    asked = []
+    read = commits.Table.read
+
+    def spy(self, state=None, buckets=None, folders=None):
+        if self.name == "events":
+            asked.append(set(folders))
+        return read(self, state, buckets, folders)
+    monkeypatch.setattr(commits.Table, "read", spy)
+    so_far = spark.createDataFrame([], schema)
+    older = []
+    for b, rows in enumerate(batches):
+        part = spark.createDataFrame(rows, schema)
+        before = set(commits.Table(log, "events", f"{root}/e").folders(log.state()))
+        asked.clear()
+        fn(part, b)
+        older.append(len(set().union(*asked) & before))
+        so_far = so_far.unionByName(part.filter("aggregate_id IS NOT NULL"))
+        got = sinks.read_states(spark, f"{root}/s", f"{root}/c")
+        assert got.columns == ["order_id", "status", "paid", "amount"]
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, es.fold_states(so_far).collect()))
+    assert older[:3] == [0, 0, 0] and older[5] == 0     # no events of one with a negative payment
+    assert 0 < older[3] <= 3 and 0 < older[4] <= 4      # of its bucket alone: a folder a batch
+
+
 # ------------------------------------------------------------- ledger (SNK5)
 def test_new_ids_read_no_ledger_folder(spark, root):
     fn = sinks.ledger_sink(f"{root}/l", f"{root}/c", "id", amount_col=None, n_buckets=4)
